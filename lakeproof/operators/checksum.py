@@ -86,7 +86,7 @@ def sample_candidates(same: DataFrame, key: str = "rel_key", size: str = "size")
 
 
 def normal_type_name(file_type: Column) -> Column:
-    return F.lower(F.ltrim(F.lit("."), file_type))
+    return F.lower(F.ltrim(file_type, F.lit(".")))
 
 
 def stratified_sample(candidates: DataFrame, fraction: float = 0.05,

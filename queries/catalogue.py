@@ -1,5 +1,5 @@
 """All registered queries."""
-from queries import inventory_queries, recon_queries  # noqa: F401
+from queries import drift_queries, inventory_queries, object_queries, recon_queries  # noqa: F401
 from queries.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
