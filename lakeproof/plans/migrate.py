@@ -128,7 +128,7 @@ def _each_batch(plan: DataFrame, work: Callable[[list[Row]], None]) -> list[Row]
 
 def load_dataset(spark: SparkSession, plan: DataFrame, inventory: DataFrame, schema: T.StructType,
                  table: str, root: str, spec: PartitionSpec = DEFAULT,
-                 replace_partitions: bool = False) -> DataFrame:
+                 replace_partitions: bool = False, location: str | None = None) -> DataFrame:
     """Loads planned partitions into the managed table; load status per partition.
 
     Footers tell beforehand which partitions cannot be read; all others go through one
@@ -138,7 +138,7 @@ def load_dataset(spark: SparkSession, plan: DataFrame, inventory: DataFrame, sch
     captured = cut_lineage(footers.capture_files(partition_files(inventory, plan, spec)))
     bad = cut_lineage(unloadable(captured, schema))
     good = plan.join(bad, ["partition_path"], "left_anti")
-    tb.create_table(spark, table, schema, spec)
+    tb.create_table(spark, table, schema, spec, location)
 
     def append(rows: list[Row]) -> None:
         data = tb.read_partitions(spark, root, [r.partition_path for r in rows], schema)

@@ -42,9 +42,11 @@ def decode_report_list(rows: DataFrame, column: str = "list_of_files") -> DataFr
 def latest_reports(reports: DataFrame) -> DataFrame:
     """The newest report per family path; names are times, so the largest name wins.
 
-    Each map task keeps one row per path before the shuffle.
+    Prefixes that share a family each keep their row.  Each map task keeps one row per
+    group before the shuffle.
     """
-    rank = F.row_number().over(Window.partitionBy("path").orderBy(F.desc("name")))
+    family = [c for c in ("bucket_name", "prefix", "path") if c in reports.columns]
+    rank = F.row_number().over(Window.partitionBy(*family).orderBy(F.desc("name")))
     return reports.withColumn("__rank", rank).filter(F.col("__rank") == 1).drop("__rank")
 
 

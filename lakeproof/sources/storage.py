@@ -16,15 +16,24 @@ def resolve(path: str) -> tuple[fs.FileSystem, str]:
         return fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
     # A percent sign belongs to the object's name, so the name is not parsed as a URL.
     scheme, rest = path.split("://", 1)
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
     bucket = rest.split("/", 1)[0]
     system, _ = fs.FileSystem.from_uri(f"{scheme}://{bucket}/")
     return system, rest
 
 
 def children(path: str, deep: bool) -> list[fs.FileInfo]:
-    """Entries of a folder, of all levels when ``deep``; every name counts."""
+    """Entries of a folder, of all levels when ``deep``; every name counts.
+
+    On a local disk Spark keeps a checksum file ``.name.crc`` beside each file; as in
+    Hadoop's own listing those are not objects.
+    """
     system, inner = resolve(path)
-    return system.get_file_info(fs.FileSelector(inner.rstrip("/") or "/", recursive=deep))
+    found = system.get_file_info(fs.FileSelector(inner.rstrip("/") or "/", recursive=deep))
+    if isinstance(system, fs.LocalFileSystem):
+        found = [e for e in found
+                 if not (e.base_name.startswith(".") and e.base_name.endswith(".crc"))]
+    return found
 
 
 def md5_of(path: str) -> str:
