@@ -25,13 +25,13 @@ def object_key(path: Column | str, bucket: Column | str, scheme: str = "s3://")
 
 
 def file_name(path: Column | str) -> Column:
-    return F.regexp_extract(_as_column(path), "([^/]*)$", 1)
+    return F.substring_index(_as_column(path), "/", -1)
 
 
 def extension(name: Column | str) -> Column:
     """Text after the last dot of a file name; null without a dot."""
     name = _as_column(name)
-    return F.when(F.contains(name, F.lit(".")), F.regexp_extract(name, r"\.([^.]*)$", 1))
+    return F.when(F.contains(name, F.lit(".")), F.substring_index(name, ".", -1))
 
 
 def file_type(key: Column | str) -> Column:
@@ -43,7 +43,8 @@ def file_type(key: Column | str) -> Column:
 
 def partition_key(key: Column | str) -> Column:
     """All ``name=`` tokens of the lower-cased key, joined by comma and blank."""
-    names = F.regexp_extract_all(F.lower(_as_column(key)), F.lit("([a-zA-Z0-9_]+)="))
+    # The look-behind only saves work: a match cannot start inside a word.
+    names = F.regexp_extract_all(F.lower(_as_column(key)), F.lit("(?<![a-z0-9_])([a-z0-9_]++)="))
     return F.when(F.size(names) > 0, F.array_join(names, ", "))
 
 
@@ -66,7 +67,9 @@ def lenient_date(value: Column | str) -> Column:
 
 def parent(key: Column | str) -> Column:
     """Everything before the last slash; the key itself without a slash."""
-    return F.regexp_replace(_as_column(key), "/[^/]*$", "")
+    key = _as_column(key)
+    above = F.length(key) - F.length(file_name(key)) - F.lit(1)
+    return F.when(F.contains(key, F.lit("/")), key.substr(F.lit(1), above)).otherwise(key)
 
 
 def partition_path(bucket: Column | str, key: Column | str, scheme: str = "s3://") -> Column:
@@ -74,7 +77,8 @@ def partition_path(bucket: Column | str, key: Column | str, scheme: str = "s3://
 
 
 def dataset_name(prefix: Column | str) -> Column:
-    return F.regexp_extract(_as_column(prefix), "([^/]+)/?$", 1)
+    """Last segment of a prefix, one trailing slash allowed."""
+    return file_name(F.regexp_replace(_as_column(prefix), "/$", ""))
 
 
 def partition_structure(path: Column | str) -> Column:

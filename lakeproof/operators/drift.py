@@ -101,6 +101,15 @@ def effective_schemas(catalog: DataFrame, latest: DataFrame, spec: PartitionSpec
     return hits.groupBy(*keys).agg(first)
 
 
+def latest_readable_schemas(catalog: DataFrame, partitions: DataFrame, spec: PartitionSpec = DEFAULT,
+                            by: list[str] | None = None, salt: int = SALT) -> DataFrame:
+    """Schema of the newest of the given partitions that could be read, per dataset."""
+    by = by or ["bucket_prefix"]
+    found = effective_schemas(catalog, partitions.distinct(), spec, by, salt)
+    newest = F.max_by(F.struct(spec.run, spec.date, "schema_json"), F.struct(spec.date, spec.run))
+    return found.groupBy(*by).agg(newest.alias("n")).select(*by, "n.*")
+
+
 def newest_schemas(catalog: DataFrame, by: list[str], time: str = "run_timestamp") -> DataFrame:
     """Schema captured last per dataset, the older rule for the read schema."""
     newest = F.max_by("schema_json", F.struct(time, "file_path")).alias("schema_json")

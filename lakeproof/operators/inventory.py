@@ -5,8 +5,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeproof.functions import paths
-from lakeproof.operators.lookup import SALT, lookup
+from lakeproof.operators.lookup import SALT, is_small, lookup
 from lakeproof.operators.merge import absent_rows, upsert
+from lakeproof.session import cut_lineage
 from lakeproof.spec import DEFAULT, PartitionSpec
 
 DATASET = ["s3_bucket_name", "bucket_prefix"]
@@ -21,15 +22,17 @@ def newer_files(listing: DataFrame, inventory: DataFrame, by: list[str] = DATASE
                 late: bool = False, salt: int = SALT) -> DataFrame:
     """Listed files modified after the newest stored one; all files of an unknown dataset.
 
-    With ``late`` files of the very same time are kept as well unless their key is stored
-    already; ``listing`` then needs a ``key`` column.
+    The marks, one row per dataset, are computed at once and broadcast when they are few,
+    so that the listing is not shuffled.  With ``late`` files of the very same time are kept
+    as well unless their key is stored already; ``listing`` then needs a ``key`` column.
     """
-    marked = lookup(listing, high_water_marks(inventory, by), by, "left", salt)
+    marks = cut_lineage(high_water_marks(inventory, by))
+    marked = lookup(listing, marks, by, "left", salt, is_small(marks))
     mark, time = F.col("stored_until"), F.col("last_modified_time")
     if not late:
         return marked.filter(mark.isNull() | (time > mark)).drop("stored_until")
     kept = marked.filter(mark.isNull() | (time >= mark)).drop("stored_until")
-    return absent_rows(inventory, kept, [*by, "key"], salt)
+    return absent_rows(inventory, kept, [*by, "key"], 1)  # an object is listed once
 
 
 def mapped_only(listing: DataFrame, mapping: DataFrame, by: list[str] = DATASET,

@@ -1,45 +1,42 @@
 """Joins of many rows to a side that has one row per key.
 
-The many side may hold a third of its rows under one key.  Rows are spread over
-``salt`` sub-keys and the one-row-per-key side is repeated once per sub-key, so no
-task ever receives a whole hot key.  Without a broadcast hint Spark still
-broadcasts the small side when its measured size allows it.
+The many side may hold a third of its rows under one key.  Two ways keep it whole:
+
+* the lookup side was measured and is small: it is broadcast, the many side is not moved;
+* otherwise rows are spread over ``salt`` sub-keys and the one-row-per-key side is
+  repeated once per sub-key, so no task ever receives a whole hot key.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 SALT = 8
+BROADCAST_ROWS = 100_000  # lookup rows are a few short columns: some megabytes at most
 _SALT = "__salt"
 
 
-def _hashable(df: DataFrame) -> list[Column]:
-    plain = (T.MapType, T.VariantType)
-    return [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, plain)]
-
-
-def _row_salt(df: DataFrame, salt: int) -> Column:
-    """Repeatable sub-key: row content, plus the task's number to part equal rows."""
-    return F.pmod(F.xxhash64(*_hashable(df)) + F.spark_partition_id(), F.lit(salt)).cast("int")
-
-
-def _every_salt(salt: int) -> Column:
-    return F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))
+def is_small(table: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """True when ``table`` has at most ``rows`` rows.  Meant for materialised tables."""
+    return table.limit(rows + 1).count() <= rows
 
 
 def lookup(rows: DataFrame, table: DataFrame, on: list[str], how: str = "inner",
-           salt: int = SALT) -> DataFrame:
+           salt: int = SALT, small: bool = False) -> DataFrame:
     """Equi-join of ``rows`` with ``table`` on same-named columns.
 
     ``how`` is one of inner, left, left_semi, left_anti: the kinds in which only
-    ``rows`` may be repeated-key, so repeating ``table`` changes no result.
+    ``rows`` may be repeated-key, so repeating ``table`` changes no result.  ``small`` says
+    that ``table`` was checked to be within the broadcast bound.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"lookup cannot run as {how}")
+    if small:
+        return rows.join(F.broadcast(table), on, how)
     if salt <= 1:
         return rows.join(table, on, how)
-    left = rows.withColumn(_SALT, _row_salt(rows, salt))
-    right = table.withColumn(_SALT, _every_salt(salt))
-    return left.join(right, [*on, _SALT], how).drop(_SALT)
+    # The task's number is the same when the task runs again, reads no column, and differs
+    # between the many tasks over which the rows of a hot key are spread.
+    left = rows.withColumn(_SALT, F.pmod(F.spark_partition_id(), F.lit(salt)))
+    every = F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))
+    return left.join(table.withColumn(_SALT, every), [*on, _SALT], how).drop(_SALT)

@@ -32,19 +32,19 @@ def absent_rows(target: DataFrame, source: DataFrame, keys: list[str],
 
 def update_matched(target: DataFrame, source: DataFrame, keys: list[str],
                    sets: Mapping[str, Column | str], guard: Column | None = None,
-                   salt: int = SALT) -> DataFrame:
+                   salt: int = SALT, small: bool = False) -> DataFrame:
     """Updates target rows that have a source row with the same keys.
 
     ``sets`` maps a target column to an expression.  Expressions and ``guard`` see the
     target columns as ``t.name`` and the source columns as ``s.name``; a plain string
-    is short for ``s.<string>``.
+    is short for ``s.<string>``.  ``small``: the source was checked to fit a broadcast.
     """
     columns = target.columns
     values = [c for c in source.columns if c not in keys]
     folded = source.groupBy(*keys).agg(
         F.first(F.struct(*(values or [F.lit(True).alias("present")]))).alias("s"),
         F.count(F.lit(1)).alias("__n"))
-    joined = lookup(target, folded, keys, "left", salt)
+    joined = lookup(target, folded, keys, "left", salt, small)
     # The target columns keep their names; alias them as ``t`` for the expressions.
     joined = joined.alias("t")
     hit = F.col("__n").isNotNull()

@@ -86,10 +86,13 @@ def classify(source: DataFrame, target: DataFrame, compare: str = "time") -> Dat
     return pair.filter(~one_sided_marker).withColumn("status", status)
 
 
-def with_checksums(classified: DataFrame, mismatched: DataFrame, salt: int = 1) -> DataFrame:
-    """Turns SAME into the checksum class for keys whose content was found to differ."""
+def with_checksums(classified: DataFrame, mismatched: DataFrame, small: bool = False) -> DataFrame:
+    """Turns SAME into the checksum class for keys whose content was found to differ.
+
+    ``small``: the list of such keys was checked to fit a broadcast.
+    """
     bad = mismatched.select(*KEY).distinct().withColumn("__bad", F.lit(True))
-    joined = lookup(classified, bad, KEY, "left", salt)
+    joined = lookup(classified, bad, KEY, "left", 1, small)
     wrong = F.col("__bad") & (F.col("status") == schemas.SAME)
     status = F.when(wrong, F.lit(schemas.OTHER_CHECKSUM)).otherwise(F.col("status"))
     return joined.withColumn("status", status).drop("__bad")

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from lakeproof import schemas
 from lakeproof.functions import paths
 from lakeproof.operators.inventory import DATASET
-from lakeproof.operators.lookup import SALT, lookup
+from lakeproof.operators.lookup import BROADCAST_ROWS, SALT, is_small, lookup
+from lakeproof.session import cut_lineage
 from lakeproof.spec import DEFAULT, PartitionSpec
 
 
@@ -92,9 +93,16 @@ def latest_partitions(df: DataFrame, columns: list[str], n: int = 1,
             .filter(F.col("__rank") <= n).drop("__rank"))
 
 
-def restrict(df: DataFrame, partitions: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows of the given partitions (null-safe), by semi join; Spark sizes the join itself."""
+def restrict(df: DataFrame, partitions: DataFrame, columns: list[str],
+             at_most: int | None = None) -> DataFrame:
+    """Rows of the given partitions (null-safe), by semi join.
+
+    ``at_most`` is a bound on the number of partitions the caller can prove (a limit); within
+    the broadcast bound the rows are then filtered where they lie.
+    """
     keys = partitions.select(*[F.col(c).alias(f"__{c}") for c in columns])
+    if at_most is not None and at_most <= BROADCAST_ROWS:
+        keys = F.broadcast(keys)
     same = [df[c].eqNullSafe(keys[f"__{c}"]) for c in columns]
     condition = same[0]
     for one in same[1:]:
@@ -194,5 +202,6 @@ def source_rows(data: DataFrame, tags: DataFrame, inventory: DataFrame, dataset:
                                  for x in (rows, tracked, listed))
     if tracked.isEmpty() or listed.isEmpty():
         return rows
-    wanted = tracked.join(listed, keys, "left_semi")
-    return lookup(rows, wanted, keys, "left_semi", salt)
+    # The data is far larger than its list of partitions: measure the list, move no data.
+    wanted = cut_lineage(tracked.join(listed, keys, "left_semi"))
+    return lookup(rows, wanted, keys, "left_semi", salt, is_small(wanted))

@@ -5,7 +5,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeproof.operators import checksum as cs, objects as ob
+from lakeproof.operators.lookup import is_small
 from lakeproof.operators.merge import update_matched
+from lakeproof.schemas import SAME
 from lakeproof.session import cut_lineage
 from lakeproof.sources import bytes as by, reports as rp
 
@@ -37,12 +39,11 @@ def compare_batch(details: DataFrame, mapping: DataFrame, compare: str = "time",
     if not check_content:
         return found
     found = cut_lineage(found)
-    from lakeproof.schemas import SAME
     population = cs.sample_candidates(found.filter(F.col("status") == SAME), size="src_size")
     sample = (cs.hash_sample(population, fraction, fractions) if repeatable
               else cs.stratified_sample(population, fraction, fractions))
-    contents = cut_lineage(by.compare_contents(sample, scheme))
-    return ob.with_checksums(found, by.mismatched(contents))
+    wrong = by.mismatched(cut_lineage(by.compare_contents(sample, scheme)))
+    return ob.with_checksums(found, wrong, is_small(wrong))
 
 
 def finish_mapping(mapping: DataFrame, verdicts: DataFrame, summary: DataFrame, run: str) -> DataFrame:

@@ -5,6 +5,7 @@ loops on the driver run over datasets and over bounded batches of partition path
 """
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from itertools import groupby
 
@@ -17,13 +18,15 @@ from lakeproof import schemas
 from lakeproof.functions import paths
 from lakeproof.functions.types import captured_columns
 from lakeproof.operators import drift, inventory as inv, partitions as parts
-from lakeproof.operators.lookup import lookup
-from lakeproof.operators.merge import delete_where, update_matched, update_where
+from lakeproof.operators.lookup import is_small, lookup
+from lakeproof.operators.merge import update_matched
 from lakeproof.plans.state import Tables
 from lakeproof.session import cut_lineage
 from lakeproof.sources import footers, listing, tables as tb
 from lakeproof.spec import DEFAULT, PartitionSpec
 
+LOG = logging.getLogger(__name__)
+
 # Column types that the Parquet reader widens by itself.
 WIDENS = {("tinyint", "smallint"), ("tinyint", "int"), ("tinyint", "bigint"), ("smallint", "int"),
           ("smallint", "bigint"), ("int", "bigint"), ("float", "double"), ("int", "double")}
@@ -43,7 +46,8 @@ def take_inventory(spark: SparkSession, tables: Tables, execution_id: str,
     rows = cut_lineage(inv.new_inventory(found, stored, mapping, execution_id, spec))
     touched = cut_lineage(rows.select(*inv.DATASET).distinct())
     tb.append_rows(rows, tables.inventory)
-    fresh = lookup(spark.table(tables.inventory), touched, inv.DATASET, "left_semi")
+    fresh = lookup(spark.table(tables.inventory), touched, inv.DATASET, "left_semi",
+                   small=is_small(touched))
     metrics = inv.candidate_metrics(fresh)
     tb.replace_table(inv.upsert_candidates(spark.table(tables.candidates), metrics, execution_id),
                      tables.candidates)
@@ -109,8 +113,9 @@ def _run_isolating(rows: list[Row], work: Callable[[list[Row]], None]) -> list[R
     try:
         work(rows)
         return []
-    except PySparkException:
+    except PySparkException as error:
         if len(rows) == 1:
+            LOG.warning("could not take %s: %s", rows[0].partition_path, error)
             return rows
     half = len(rows) // 2
     return _run_isolating(rows[:half], work) + _run_isolating(rows[half:], work)
@@ -155,7 +160,7 @@ def load_dataset(spark: SparkSession, plan: DataFrame, inventory: DataFrame, sch
 
 
 def record_status(inventory: DataFrame, status: DataFrame, spec: PartitionSpec = DEFAULT,
-                  guard: Column | None = None) -> DataFrame:
+                  guard: Column | None = None, small: bool = False) -> DataFrame:
     """Load status into inventory rows that have none yet (or that meet ``guard``).
 
     Several folders of one partition pair count as loaded only when all are.
@@ -164,55 +169,100 @@ def record_status(inventory: DataFrame, status: DataFrame, spec: PartitionSpec =
     one = status.withColumnRenamed("bucket_name", "s3_bucket_name").groupBy(*keys).agg(
         F.min("load_status").alias("load_status"))  # 'failed' sorts before 'loaded'
     waiting = F.col("t.load_status").isNull() if guard is None else guard
-    return update_matched(inventory, one, keys, {"load_status": "load_status"}, waiting)
+    return update_matched(inventory, one, keys, {"load_status": "load_status"}, waiting, small=small)
+
+
+def finish_load(candidates: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Marks the managed tables of the loaded datasets as created."""
+    return update_matched(candidates, loaded.select(*inv.DATASET).distinct(), inv.DATASET,
+                          {"managed_table_created": F.lit("true")},
+                          F.col("t.managed_table_created").isNull())
+
 
+def note_errors(candidates: DataFrame, failed: DataFrame) -> DataFrame:
+    """Notes on uncreated candidates that their dataset could not be processed."""
+    return update_matched(candidates, failed.select(*inv.DATASET).distinct(), inv.DATASET,
+                          {"error_message": F.lit("Failed to Process")},
+                          F.col("t.managed_table_created").isNull())
 
-def finish_load(candidates: DataFrame, bucket: str, prefix: str) -> DataFrame:
-    """Marks the managed table of a dataset as created."""
-    mine = ((F.col("s3_bucket_name") == bucket) & (F.col("bucket_prefix") == prefix)
-            & F.col("managed_table_created").isNull())
-    return update_where(candidates, mine, {"managed_table_created": "true"})
 
+def release(claims: DataFrame, returned: DataFrame) -> DataFrame:
+    """Claims without the returned ones."""
+    keys = ["execution_id", *inv.DATASET]
+    return lookup(claims, returned.select(*keys).distinct(), keys, "left_anti")
 
-def release(candidates: DataFrame, claims: DataFrame, execution_id: str, bucket: str,
-            prefix: str) -> tuple[DataFrame, DataFrame]:
-    """After an error: notes it on the candidate and gives the claim back."""
-    mine = (F.col("s3_bucket_name") == bucket) & (F.col("bucket_prefix") == prefix)
-    noted = update_where(candidates, mine & F.col("managed_table_created").isNull(),
-                         {"error_message": "Failed to Process"})
-    return noted, delete_where(claims, mine & (F.col("execution_id") == execution_id))
+
+def settle(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT) -> None:
+    """Merges pending load status into inventory and candidates, all datasets at once.
+
+    Status is appended as each dataset finishes and merged once per run, so the inventory is
+    rewritten once however many datasets there are.  Runs first as well, for what a run that
+    was cut off has left.
+    """
+    pending = cut_lineage(spark.table(tables.pending))
+    if pending.isEmpty():
+        return
+    small = is_small(pending)
+    first, again = pending.filter(F.col("was").isNull()), pending.filter(F.col("was") == "failed")
+    inventory = record_status(spark.table(tables.inventory), first, spec, small=small)
+    inventory = record_status(inventory, again, spec, F.col("t.load_status") == "failed", small)
+    tb.replace_table(inventory, tables.inventory)
+    loaded = first.withColumnRenamed("bucket_name", "s3_bucket_name")
+    tb.replace_table(finish_load(spark.table(tables.candidates), loaded), tables.candidates)
+    tb.empty_like(pending, tables.pending)
+
+
+def _load_one(spark: SparkSession, tables: Tables, row: Row, spec: PartitionSpec,
+              replace_partitions: bool) -> DataFrame | None:
+    """Loads one claimed dataset; None when nothing waits for loading."""
+    mine = (F.col("s3_bucket_name") == row.s3_bucket_name) & (F.col("bucket_prefix") == row.bucket_prefix)
+    inventory = spark.table(tables.inventory).filter(mine)
+    plan = cut_lineage(parts.load_plan(inventory, spark.table(tables.tags), spec))
+    if plan.isEmpty():
+        return None
+    catalog = spark.table(tables.catalog).filter(mine)
+    found = drift.latest_readable_schemas(catalog, plan, spec, inv.DATASET).first()
+    if found is None:
+        raise LookupError(f"no captured schema for {row.bucket_prefix}")
+    schema = drift.read_schema(found.schema_json, spec)
+    return load_dataset(spark, plan, inventory, schema, row.managed_table_name, row.root_path, spec,
+                        replace_partitions)
 
 
 def load(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT,
          replace_partitions: bool = False) -> DataFrame:
-    """Claims open candidates and loads each claimed dataset; returns status per partition."""
+    """Claims open candidates and loads each claimed dataset; returns status per partition.
+
+    A dataset that fails, or has nothing to load, gives its claim back; the others go on.
+    """
+    settle(spark, tables, spec)
     claims = cut_lineage(parts.claim(spark.table(tables.candidates), spark.table(tables.claims)))
     tb.append_rows(claims, tables.claims)
     targets = parts.table_targets(spark.table(tables.mapping), spec.scheme)
     out = spark.createDataFrame([], schemas.load_status(spec))
+    failed, returned = [], []
     for row in claims.join(targets, inv.DATASET, "inner").toLocalIterator():
-        mine = (F.col("s3_bucket_name") == row.s3_bucket_name) & (F.col("bucket_prefix") == row.bucket_prefix)
-        inventory = spark.table(tables.inventory).filter(mine)
+        key = (row.execution_id, row.s3_bucket_name, row.bucket_prefix)
         try:
-            plan = cut_lineage(parts.load_plan(inventory, spark.table(tables.tags), spec))
-            if plan.isEmpty():  # nothing to load is a normal result
-                continue
-            latest = parts.latest_snapshot(plan, inv.DATASET, spec)
-            catalog = spark.table(tables.catalog).filter(mine)
-            found = drift.effective_schemas(catalog, latest, spec, inv.DATASET).first()
-            if found is None:
-                raise LookupError(f"no captured schema for {row.bucket_prefix}")
-            status = load_dataset(spark, plan, inventory, drift.read_schema(found.schema_json, spec),
-                                  row.managed_table_name, row.root_path, spec, replace_partitions)
-            tb.replace_table(record_status(spark.table(tables.inventory), status, spec), tables.inventory)
-            tb.replace_table(finish_load(spark.table(tables.candidates), row.s3_bucket_name,
-                                         row.bucket_prefix), tables.candidates)
-            out = out.unionByName(status)
-        except (PySparkException, LookupError, ValueError):
-            noted, kept = release(spark.table(tables.candidates), spark.table(tables.claims),
-                                  row.execution_id, row.s3_bucket_name, row.bucket_prefix)
-            tb.replace_table(noted, tables.candidates)
-            tb.replace_table(kept, tables.claims)
+            status = _load_one(spark, tables, row, spec, replace_partitions)
+        except (PySparkException, LookupError, ValueError) as error:
+            LOG.warning("could not load %s: %s", row.bucket_prefix, error)
+            failed.append(key)
+            returned.append(key)
+            continue
+        if status is None:
+            returned.append(key)
+            continue
+        tb.append_rows(status.withColumn("was", F.lit(None).cast("string")), tables.pending)
+        out = out.unionByName(status)
+    settle(spark, tables, spec)
+    keys = "execution_id string, s3_bucket_name string, bucket_prefix string"
+    if failed:
+        tb.replace_table(note_errors(spark.table(tables.candidates),
+                                     spark.createDataFrame(failed, keys)), tables.candidates)
+    if returned:
+        tb.replace_table(release(spark.table(tables.claims),
+                                 spark.createDataFrame(returned, keys)), tables.claims)
     return out
 
 
@@ -280,6 +330,7 @@ def reopen(candidates: DataFrame, summary: DataFrame) -> DataFrame:
 def remediate(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT,
               lenient: bool = False, fill_missing: bool = False) -> DataFrame:
     """Repairs failed partitions of every dataset that has a base schema."""
+    settle(spark, tables, spec)
     failed = cut_lineage(parts.failed_partitions(spark.table(tables.inventory),
                                                  spark.table(tables.mapping), spec))
     targets = parts.table_targets(spark.table(tables.mapping), spec.scheme)
@@ -288,22 +339,21 @@ def remediate(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT
         mine = (F.col("s3_bucket_name") == row.s3_bucket_name) & (F.col("bucket_prefix") == row.bucket_prefix)
         inventory = spark.table(tables.inventory).filter(mine)
         loaded = parts.work_files(inventory, spec, F.col("load_status") == "loaded")
-        latest = parts.latest_snapshot(parts.blessed_partitions(
-            parts.partition_rows(loaded, spec), spark.table(tables.tags), spec), inv.DATASET, spec)
-        found = drift.effective_schemas(spark.table(tables.catalog).filter(mine), latest, spec,
-                                        inv.DATASET).first()
+        tracked = parts.blessed_partitions(parts.partition_rows(loaded, spec),
+                                           spark.table(tables.tags), spec)
+        found = drift.latest_readable_schemas(spark.table(tables.catalog).filter(mine), tracked, spec,
+                                              inv.DATASET).first()
         if found is None:  # a dataset without a schema is skipped whole
             continue
         outcome = remediate_dataset(spark, failed.filter(mine), inventory,
                                     drift.read_schema(found.schema_json, spec),
                                     row.managed_table_name, row.root_path, spec, lenient, fill_missing)
-        status = outcome.withColumnRenamed("s3_bucket_name", "bucket_name")
-        tb.replace_table(record_status(spark.table(tables.inventory), status, spec,
-                                       F.col("t.load_status") == "failed"), tables.inventory)
-        summary = cut_lineage(remediation_summary(outcome))
-        tb.replace_table(reopen(spark.table(tables.candidates), summary), tables.candidates)
-        tb.append_rows(summary, tables.remediation)
-        log = log.unionByName(summary)
+        status = outcome.withColumnRenamed("s3_bucket_name", "bucket_name").withColumn("was", F.lit("failed"))
+        tb.append_rows(status.select(*schemas.pending_status(spec).names), tables.pending)
+        log = log.unionByName(cut_lineage(remediation_summary(outcome)))
+    settle(spark, tables, spec)
+    tb.replace_table(reopen(spark.table(tables.candidates), log), tables.candidates)
+    tb.append_rows(log, tables.remediation)
     return log
 
 
@@ -315,6 +365,6 @@ def rows_in_failed(spark: SparkSession, failed: DataFrame, root: str, schema: T.
     """
     data = tb.read_partitions(spark, root, schema=schema, lenient=True)
     keys = [spec.run, spec.date]
-    wanted = failed.select(*keys).distinct()
-    return lookup(data.select(*keys), wanted, keys, "left_semi").groupBy(*keys).agg(
+    wanted = cut_lineage(failed.select(*keys).distinct())
+    return lookup(data.select(*keys), wanted, keys, "left_semi", small=is_small(wanted)).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("rows"))

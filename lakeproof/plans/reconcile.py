@@ -11,6 +11,7 @@ from lakeproof import schemas
 from lakeproof.functions.numeric import TOLERANCE_PCT
 from lakeproof.functions.types import describe_columns
 from lakeproof.operators import drift, inventory as inv, partitions as parts, recon
+from lakeproof.operators.lookup import is_small
 from lakeproof.plans.state import Tables
 from lakeproof.session import cut_lineage
 from lakeproof.sources import tables as tb
@@ -78,13 +79,19 @@ def source_side(spark: SparkSession, tables: Tables, bucket: str, prefix: str, d
     if spec.floor:
         loaded = loaded.filter(F.col(spec.date) >= F.lit(spec.floor).cast("date"))
     tracked = parts.blessed_partitions(parts.partition_rows(loaded, spec), tags, spec)
-    found = drift.effective_schemas(
-        spark.table(tables.catalog).filter(mine),
-        parts.latest_snapshot(tracked, inv.DATASET, spec), spec, inv.DATASET).first()
+    found = drift.latest_readable_schemas(spark.table(tables.catalog).filter(mine), tracked, spec,
+                                          inv.DATASET).first()
     if found is None:
         return None
-    data = tb.read_partitions(spark, f"{spec.scheme}{bucket}/{prefix}",
-                              schema=drift.read_schema(found.schema_json, spec), lenient=True)
+    root, schema = f"{spec.scheme}{bucket}/{prefix}", drift.read_schema(found.schema_json, spec)
+    # Name the folders of tracked partitions, so that no other is listed or opened.
+    listed = parts.work_files(inventory, spec, F.col("load_status").isin("loaded", "failed"))
+    wanted = cut_lineage(parts.blessed_partitions(parts.partition_rows(listed, spec), tags, spec)
+                         .select("partition_path").distinct())
+    if is_small(wanted, tb.BATCH):
+        paths = [r.partition_path for r in wanted.toLocalIterator()]
+        return above_floor(tb.read_partitions(spark, root, paths, schema, lenient=True), spec)
+    data = tb.read_partitions(spark, root, schema=schema, lenient=True)
     return parts.source_rows(data, tags, inventory, dataset, spec)
 
 
@@ -96,12 +103,11 @@ def reconcile_all(spark: SparkSession, tables: Tables, bucket: str | None = None
                                      bucket, only, only_open)
     stored = spark.createDataFrame([], schemas.RECON_RESULTS)
     for row in work.toLocalIterator():
-        table, run = row.target_table_name, row.execution_id
         rows = cut_lineage(_one_table(spark, tables, row, spec, options))
         tb.append_rows(rows, tables.results)
-        verdict = recon.rollup(rows.filter((F.col("table_name") == table) & (F.col("execution_id") == run)))
-        tb.replace_table(recon.merge_rollup(spark.table(tables.candidates), verdict), tables.candidates)
         stored = stored.unionByName(rows)
+    tb.replace_table(recon.merge_rollup(spark.table(tables.candidates), recon.rollup(stored)),
+                     tables.candidates)
     return stored
 
 

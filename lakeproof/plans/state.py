@@ -18,6 +18,7 @@ class Tables:
     tags: str = "partition_tags"
     catalog: str = "parquet_schemas"
     claims: str = "migration_status"
+    pending: str = "pending_load_status"
     results: str = "recon_results"
     remediation: str = "recon_remediation"
     comparison: str = "schema_comparison_results"
@@ -31,6 +32,7 @@ def create_state(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFA
     for name, schema in ((tables.mapping, schemas.MAPPING), (tables.inventory, schemas.inventory(spec)),
                          (tables.candidates, schemas.CANDIDATES), (tables.tags, schemas.PARTITION_TAGS),
                          (tables.catalog, schemas.SCHEMA_CATALOG), (tables.claims, schemas.CLAIMS),
+                         (tables.pending, schemas.pending_status(spec)),
                          (tables.results, schemas.RECON_RESULTS),
                          (tables.remediation, schemas.REMEDIATION_LOG),
                          (tables.comparison, schemas.SCHEMA_COMPARISON)):

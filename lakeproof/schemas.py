@@ -58,6 +58,11 @@ def load_status(spec: PartitionSpec = DEFAULT) -> T.StructType:
         f"`{spec.run}` string, `{spec.date}` date, load_status string")
 
 
+def pending_status(spec: PartitionSpec = DEFAULT) -> T.StructType:
+    """Load status not merged into the inventory yet; ``was`` is the status it replaces."""
+    return load_status(spec).add("was", "string")
+
+
 RECON_RESULTS = _struct(
     "execution_id string, table_name string, recon_type string, exec_timestamp timestamp, "
     "exec_duration double, status string, source_metrics string, target_metrics string, "

@@ -18,12 +18,13 @@ DEFAULTS = {
 }
 
 
-def local_session(cpus: int = 8, name: str = "lakeproof", memory: str = "8g") -> SparkSession:
+def local_session(cpus: int = 8, name: str = "lakeproof", memory: str = "8g",
+                  extra: dict[str, str] | None = None) -> SparkSession:
     """A local session for tests and benchmarks; a cluster brings its own."""
     builder = (SparkSession.builder.master(f"local[{cpus}]").appName(name)
                .config("spark.driver.memory", memory)
                .config("spark.sql.shuffle.partitions", str(cpus)))
-    for key, value in DEFAULTS.items():
+    for key, value in {**DEFAULTS, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -108,17 +108,27 @@ def write_partitioned(df: DataFrame, path: str, columns: list[str]) -> None:
 
 
 def ensure_table(spark: SparkSession, table: str, schema: T.StructType) -> None:
-    if not spark.catalog.tableExists(table):
+    """Creates an empty table unless it exists, or finishes a replacement cut off half-way."""
+    if spark.catalog.tableExists(table):
+        return
+    if spark.catalog.tableExists(_following(table)):
+        spark.sql(f"ALTER TABLE {_following(table)} RENAME TO {table}")
+    else:
         spark.createDataFrame([], schema).write.saveAsTable(table)
 
 
+def _following(table: str) -> str:
+    return f"{table}__next"
+
+
 def replace_table(df: DataFrame, table: str) -> None:
     """Puts a new state in place of a table that ``df`` may itself be computed from.
 
-    The new state is complete on storage before the old one goes.
+    The new state is complete on storage before the old one goes; ``ensure_table`` takes up
+    a replacement that was cut off in between.
     """
     spark = df.sparkSession
-    following = f"{table}__next"
+    following = _following(table)
     spark.sql(f"DROP TABLE IF EXISTS {following}")
     df.write.saveAsTable(following)
     spark.sql(f"DROP TABLE IF EXISTS {table}")

@@ -31,7 +31,7 @@ def ingest_listings(spark: SparkSession, folder: str, schema: T.StructType, targ
             "last_modified_time", "partition_key", spec.run, spec.date,
             F.lit(None).cast("string").alias("load_status"))
         stored = spark.read.schema(rows.schema).parquet(target)
-        absent_rows(stored, rows, keys).write.mode("append").parquet(target)
+        absent_rows(stored, rows, keys, 1).write.mode("append").parquet(target)
 
     # The table exists from the start, so the first batch can look into it.
     empty = inv.parse_keys(spark.createDataFrame([], schema), spec).select(

@@ -264,7 +264,7 @@ SELECT s.* FROM recon_src s JOIN top t ON s.snapshot_date = t.snapshot_date AND
 def restrict_to_latest(spark, sf):
     rows = view(spark, sf, "recon_src")
     columns = ["snapshot_date", "run_id"]
-    return parts.restrict(rows, parts.latest_partitions(rows, columns, 3), columns)
+    return parts.restrict(rows, parts.latest_partitions(rows, columns, 3), columns, at_most=3)
 
 
 @query("newest_rows", """

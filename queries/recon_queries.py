@@ -190,7 +190,7 @@ lt AS (SELECT * FROM recon_tgt WHERE (snapshot_date, run_id) = (SELECT (snapshot
 
 def latest_pair(spark, sf):
     from lakeproof.operators.partitions import latest_partitions, restrict
-    return [restrict(x, latest_partitions(x, PARTITION, 1), PARTITION) for x in pair(spark, sf)]
+    return [restrict(x, latest_partitions(x, PARTITION, 1), PARTITION, at_most=1) for x in pair(spark, sf)]
 
 
 @query("recon_checksum", "WITH " + _LATEST + ", " + _HASHED.format(by="", row=_ROW, src="ls", tgt="lt") + " "
