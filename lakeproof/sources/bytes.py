@@ -16,7 +16,7 @@ from lakeproof.sources import storage
 def folder_checksums(spark: SparkSession, root: str) -> DataFrame:
     """MD5 of every visible file below a folder, by Spark's own byte reader."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root))
-    marker = F.lit(root.rstrip("/") + "/")
+    marker = root.rstrip("/") + "/"
     # Spark reports paths with their scheme; the relative key starts after the root.
     return files.select(F.substring_index("path", marker, -1).alias("rel_key"),
                         F.col("length").alias("size"), F.md5("content").alias("md5"))
