@@ -116,13 +116,17 @@ def newest_schemas(catalog: DataFrame, by: list[str], time: str = "run_timestamp
     return catalog.filter(~F.col("is_corrupted")).groupBy(*by).agg(newest)
 
 
+def stored_schema(schema_json: str) -> T.StructType:
+    """A captured schema as Spark's type."""
+    fields = json.loads(schema_json)["fields"]
+    return T.StructType.fromJson({
+        "type": "struct", "fields": [{**f, "metadata": f.get("metadata") or {}} for f in fields]})
+
+
 def read_schema(schema_json: str, spec: PartitionSpec = DEFAULT) -> T.StructType:
     """Schema to read a dataset with: the captured one plus the partition pair."""
-    captured = json.loads(schema_json)
-    fields = [f for f in captured["fields"] if f["name"] not in (spec.run, spec.date)]
-    schema = T.StructType.fromJson({
-        "type": "struct",
-        "fields": [{**f, "metadata": f.get("metadata") or {}} for f in fields]})
+    pair = (spec.run.lower(), spec.date.lower())
+    schema = T.StructType([f for f in stored_schema(schema_json).fields if f.name.lower() not in pair])
     return schema.add(spec.run, T.StringType(), True).add(spec.date, T.DateType(), True)
 
 

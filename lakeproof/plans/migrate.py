@@ -270,11 +270,13 @@ def load(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT,
 
 def remediate_dataset(spark: SparkSession, failed: DataFrame, inventory: DataFrame,
                       base: T.StructType, table: str, root: str, spec: PartitionSpec = DEFAULT,
-                      lenient: bool = False, fill_missing: bool = False) -> DataFrame:
+                      lenient: bool = False, fill_missing: bool = False,
+                      partitions_from: str = "path") -> DataFrame:
     """Casts failed partitions to the base schema and appends them; outcome per partition.
 
     Partitions are grouped by their captured schema, of which a dataset has few; each
-    group is one read and one append.  The partition columns come from the path.
+    group is one read and one append.  The partition columns come from the path, or with
+    ``partitions_from="data"`` from the files where those hold them.
     """
     failed = cut_lineage(failed)
     captured = footers.capture_files(partition_files(inventory, failed, spec))
@@ -287,8 +289,12 @@ def remediate_dataset(spark: SparkSession, failed: DataFrame, inventory: DataFra
     for kind in readable.select("schema_json").distinct().toLocalIterator():
         raw = drift.read_schema(kind.schema_json, spec)
 
-        def append(rows: list[Row], raw=raw) -> None:
-            data = tb.read_partitions(spark, root, [r.partition_path for r in rows], raw)
+        def append(rows: list[Row], raw=raw, text=kind.schema_json) -> None:
+            folders = [r.partition_path for r in rows]
+            if partitions_from == "data":
+                data = tb.read_as_stored(spark, folders, drift.stored_schema(text), spec)
+            else:
+                data = tb.read_partitions(spark, root, folders, raw)
             tb.append_evolving(drift.align(data, base, lenient, fill_missing), table, spec)
 
         late += _each_batch(readable.filter(F.col("schema_json") == kind.schema_json), append)

@@ -61,7 +61,7 @@ def compare_contents(sample: DataFrame, scheme: str = "s3://", decode: bool = Tr
     def url(side: str):
         raw = paths.object_url(f"{side}_bucket", f"{side}_prefix", "rel_key", scheme)
         return paths.percent_decode(raw) if decode else raw
-    located = sample.withColumns({"src_path": url("src"), "dest_path": url("dest")})
+    located = sample.select(*KEY, url("src").alias("src_path"), url("dest").alias("dest_path"))
     hashed = file_checksums(located, {"src_path": "src_md5", "dest_path": "dest_md5"}, tasks)
     return hashed.withColumn("checksum_valid", F.col("src_md5") == F.col("dest_md5"))
 

@@ -14,24 +14,29 @@ from lakeproof.session import cut_lineage
 from lakeproof.sources import storage
 
 
+ROWS = 10_000  # rows handed to Spark at a time
+
+
 def _lister(deep: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for root in batch.to_dict("records"):
-                folder = root.pop("__folder")
-                shown = folder.rstrip("/")
-                _, inner = storage.resolve(folder)
-                inner = inner.rstrip("/")
-                try:
-                    found = storage.children(folder, deep)
-                except (OSError, ValueError):
-                    continue  # an unreadable folder is skipped
-                rows = [{**root, "path": shown + entry.path[len(inner):],
-                         "is_dir": not entry.is_file,
-                         "size": entry.size if entry.is_file else 0,
-                         "last_modified_time": entry.mtime} for entry in found]
-                for start in range(0, len(rows), 10_000):
-                    yield pd.DataFrame(rows[start:start + 10_000])
+                waiting = [root.pop("__folder").rstrip("/")]
+                while waiting:
+                    shown = waiting.pop()
+                    inner = storage.resolve(shown)[1]
+                    try:
+                        found = storage.children(shown)
+                    except (OSError, ValueError):
+                        continue  # an unreadable folder is skipped
+                    rows = [{**root, "path": shown + entry.path[len(inner):],
+                             "is_dir": not entry.is_file,
+                             "size": entry.size if entry.is_file else 0,
+                             "last_modified_time": entry.mtime} for entry in found]
+                    for start in range(0, len(rows), ROWS):
+                        yield pd.DataFrame(rows[start:start + ROWS])
+                    if deep:
+                        waiting += [r["path"] for r in rows if r["is_dir"]]
     return run
 
 
@@ -47,7 +52,8 @@ def list_files(roots: DataFrame, path: str = "path", split_levels: int = 2,
     """One row per object below each root, with the other columns of ``roots``.
 
     The first ``split_levels`` levels are listed level by level, so that the folders of
-    one huge root become work for many tasks; only then does a task list a whole subtree.
+    one huge root become work for many tasks; only then does a task walk a whole subtree,
+    holding one folder's entries at a time.
     With ``folders`` empty and inner folders are rows too, their path ending in a slash.
     """
     tasks = tasks or roots.sparkSession.sparkContext.defaultParallelism

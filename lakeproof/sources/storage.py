@@ -22,14 +22,14 @@ def resolve(path: str) -> tuple[fs.FileSystem, str]:
     return system, rest
 
 
-def children(path: str, deep: bool) -> list[fs.FileInfo]:
-    """Entries of a folder, of all levels when ``deep``; every name counts.
+def children(path: str) -> list[fs.FileInfo]:
+    """Direct entries of a folder; every name counts.
 
     On a local disk Spark keeps a checksum file ``.name.crc`` beside each file; as in
     Hadoop's own listing those are not objects.
     """
     system, inner = resolve(path)
-    found = system.get_file_info(fs.FileSelector(inner.rstrip("/") or "/", recursive=deep))
+    found = system.get_file_info(fs.FileSelector(inner.rstrip("/") or "/"))
     if isinstance(system, fs.LocalFileSystem):
         found = [e for e in found
                  if not (e.base_name.startswith(".") and e.base_name.endswith(".crc"))]

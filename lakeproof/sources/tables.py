@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeproof import schemas
+from lakeproof.functions.paths import partition_date, partition_value
 from lakeproof.spec import DEFAULT, PartitionSpec
 
 BATCH = 5000  # partition paths named in one read
@@ -33,6 +34,21 @@ def read_partitions(spark: SparkSession, root: str, paths: list[str] | None = No
     return reader.parquet(*(paths or [root]))
 
 
+def read_as_stored(spark: SparkSession, folders: list[str], schema: T.StructType,
+                   spec: PartitionSpec = DEFAULT) -> DataFrame:
+    """Partition folders whose files may hold the partition columns themselves.
+
+    Columns in the data win; what the data lacks is taken from the path.
+    """
+    data = spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*folders)
+    have, path = {c.lower() for c in data.columns}, F.col("_metadata.file_path")
+    if spec.run.lower() not in have:
+        data = data.withColumn(spec.run, partition_value(path, spec.run))
+    if spec.date.lower() not in have:
+        data = data.withColumn(spec.date, partition_date(path, spec.date))
+    return data
+
+
 def batches(rows: Iterable, size: int = BATCH) -> Iterator[list]:
     """Rows in lists of bounded length, for readers that want paths by name."""
     rows = iter(rows)

@@ -10,35 +10,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeproof.operators import inventory as inv
-from lakeproof.operators.merge import absent_rows
 from lakeproof.spec import DEFAULT, PartitionSpec
 
 
 def ingest_listings(spark: SparkSession, folder: str, schema: T.StructType, target: str,
                     checkpoint: str, mapping: DataFrame, execution_id: str,
                     spec: PartitionSpec = DEFAULT, files_per_batch: int = 100) -> None:
-    """Reads every listing that has arrived since the last call and appends its new files.
+    """Reads every listing that has arrived since the last call and adds its files.
 
-    A batch that is repeated after a crash adds nothing: files already stored under the
-    same key and time are left out.
+    Each micro-batch owns one folder ``batch=N`` of the target and overwrites it, so a batch
+    that runs again after a crash leaves no doubled rows and nothing stored is read again.
     """
-    keys = [*inv.DATASET, "key", "last_modified_time"]
-
-    def add(batch: DataFrame, _: int) -> None:
+    def add(batch: DataFrame, number: int) -> None:
         parsed = inv.parse_keys(inv.mapped_only(batch, mapping), spec)
         rows = parsed.select(
             F.lit(execution_id).alias("execution_id"), *inv.DATASET, "key", "extension", "size",
             "last_modified_time", "partition_key", spec.run, spec.date,
             F.lit(None).cast("string").alias("load_status"))
-        stored = spark.read.schema(rows.schema).parquet(target)
-        absent_rows(stored, rows, keys, 1).write.mode("append").parquet(target)
+        rows.write.mode("overwrite").parquet(f"{target}/batch={number}")
 
-    # The table exists from the start, so the first batch can look into it.
-    empty = inv.parse_keys(spark.createDataFrame([], schema), spec).select(
-        F.lit("").alias("execution_id"), *inv.DATASET, "key", "extension", "size",
-        "last_modified_time", "partition_key", spec.run, spec.date,
-        F.lit(None).cast("string").alias("load_status"))
-    empty.write.mode("append").parquet(target)
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
               .parquet(folder))
     query = (stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)

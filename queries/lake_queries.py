@@ -182,7 +182,7 @@ def _write_report(spark, folder: str, bucket: str, name: str, when: str, rows: D
     else:
         writer.format(kind.lower()).save(data)
     ending = "gz" if kind == "CSV" else kind.lower()
-    written = [e.path for e in storage.children(data, False) if e.path.endswith(ending)]
+    written = [e.path for e in storage.children(data) if e.path.endswith(ending)]
     system, inner = storage.resolve(f"{folder}/{family}/{when}/manifest.json")
     system.create_dir(inner.rsplit("/", 1)[0])
     import json
@@ -202,22 +202,22 @@ def _report_rows(objects: DataFrame) -> DataFrame:
 
 
 @query("report_ingest", """
-SELECT s3_batch_copy_id, rel_key, src_size, dest_size, status FROM object_pairs WHERE s3_batch_copy_id IN ('batch-0', 'batch-2', 'batch-4')""")
+SELECT s3_batch_copy_id, rel_key, src_size, dest_size, status FROM object_pairs""")
 def report_ingest(spark, sf):
     """Discovery, manifests, data files and comparison, over reports in two formats."""
     folder = fresh_folder(spark, "reports")
-    batches = F.col("s3_batch_copy_id").isin("batch-0", "batch-2", "batch-4")
-    source = view(spark, sf, "src_objects").filter(batches)
-    dest = view(spark, sf, "dest_objects").filter(batches)
-    old = _report_rows(source.limit(5))
-    _write_report(spark, folder, "bkt-0", "daily", "2025-01-01T01-00Z", old, "CSV")
-    # bkt-0 holds exactly the even datasets, all of them in one report of several files
+    source, dest = view(spark, sf, "src_objects"), view(spark, sf, "dest_objects")
     rows = _report_rows(source).withColumn("IsLatest", F.when(F.col("ETag") == "old", "false").otherwise(""))
-    _write_report(spark, folder, "bkt-0", "daily", "2025-01-02T01-00Z", rows.repartition(3), "CSV")
+    for bucket in ("bkt-0", "bkt-1"):  # the source buckets; each report covers several datasets
+        mine = rows.filter(F.col("Bucket") == bucket)
+        older = mine.withColumn("Size", F.lit("1"))
+        _write_report(spark, folder, bucket, "daily", "2025-01-01T01-00Z", older, "CSV")
+        _write_report(spark, folder, bucket, "daily", "2025-01-02T01-00Z", mine.repartition(3), "CSV")
     _write_report(spark, folder, "bkt-copy", "daily", "2025-01-02T01-00Z", _report_rows(dest), "Parquet")
-    mapping = view(spark, sf, "copy_mapping").filter(batches).withColumns({
+    mapping = view(spark, sf, "copy_mapping").withColumns({
         "src_inventory_s3_location": F.lit(folder), "dest_inventory_s3_location": F.lit(folder),
-        "src_inventory_name": F.lit("daily"), "dest_inventory_name": F.lit("daily")})
+        "src_inventory_name": F.lit("daily"), "dest_inventory_name": F.lit("daily"),
+        "enabled": F.lit(True)})
     reports = spark.createDataFrame([], schemas.REPORT_LIST)
     details = spark.createDataFrame([], "Bucket string, Key string, Size string, LastModifiedDate string, "
                                         "ETag string, inventory_s3_location string, path string, name string, "
@@ -238,7 +238,7 @@ def streaming_inventory(spark, sf):
         F.col("modified").alias("last_modified_time"))
     rows.repartition(4).write.parquet(f"{folder}/arrived")
     mapping = view(spark, sf, "dataset_mapping")
-    for attempt in ("a", "b"):
+    for _ in range(2):
         ingest_listings(spark, f"{folder}/arrived", rows.schema, f"{folder}/inventory",
-                        f"{folder}/state-{attempt}", mapping, "run-1")
-    return spark.read.parquet(f"{folder}/inventory").drop("load_status")
+                        f"{folder}/state", mapping, "run-1", files_per_batch=3)
+    return spark.read.parquet(f"{folder}/inventory").drop("load_status", "batch")
