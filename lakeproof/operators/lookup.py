@@ -5,13 +5,16 @@ The many side may hold a third of its rows under one key.  Two ways keep it whol
 * the lookup side was measured and is small: it is broadcast, the many side is not moved;
 * otherwise rows are spread over ``salt`` sub-keys and the one-row-per-key side is
   repeated once per sub-key, so no task ever receives a whole hot key.
+
+Lookup sides hold a row per dataset, partition or folder and are small beside the rows.
+Adaptive execution may split what is still uneven after that; nothing here depends on it.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALT = 8
+SALT = 32
 BROADCAST_ROWS = 100_000  # lookup rows are a few short columns: some megabytes at most
 _SALT = "__salt"
 

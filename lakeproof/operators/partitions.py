@@ -127,8 +127,8 @@ def restrict_to_values(df: DataFrame, rows: list, columns: list[str]) -> DataFra
 def newest_rows(df: DataFrame, by: list[str], time: str = "last_modified_time",
                 salt: int = SALT) -> DataFrame:
     """Every row at the newest time of its group, ties included."""
-    newest = df.groupBy(*by).agg(F.max(time).alias(time))
-    return lookup(df, newest, [*by, time], "left_semi", salt)
+    newest = cut_lineage(df.groupBy(*by).agg(F.max(time).alias(time)))
+    return lookup(df, newest, [*by, time], "left_semi", salt, is_small(newest))
 
 
 def failed_partitions(inventory: DataFrame, mapping: DataFrame, spec: PartitionSpec = DEFAULT,

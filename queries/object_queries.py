@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from lakeproof.functions import paths
 from lakeproof.operators import checksum as cs, copyplan, objects as ob
+from lakeproof.session import cut_lineage
 from queries.registry import query
 from queries.views import table, view
 
@@ -38,7 +39,7 @@ def object_copies(spark, sf):
 
 def with_content(spark, sf):
     """Classes after a content check that found the objects with another ETag broken."""
-    found = classified(spark, sf)
+    found = cut_lineage(classified(spark, sf))  # used twice, as in the comparison plan
     broken = found.filter("status = 'EXISTS_IN_SRC_AND_DEST_SAME' AND src_etag <> dest_etag")
     return ob.with_checksums(found, broken)
 
