@@ -52,7 +52,7 @@ def load_plan(inventory: DataFrame, tags: DataFrame, spec: PartitionSpec = DEFAU
 
 
 def claimable(candidates: DataFrame, claims: DataFrame, low: int | None = None,
-              high: int | None = None) -> DataFrame:
+              high: int | None = None, bucket: str | None = None) -> DataFrame:
     """Decided, uncreated candidates no run has claimed.  The verdict only advises."""
     keys = ["execution_id", *DATASET]
     ready = candidates.filter(
@@ -60,6 +60,8 @@ def claimable(candidates: DataFrame, claims: DataFrame, low: int | None = None,
         & F.col("managed_table_created").isNull())
     if low is not None:
         ready = ready.filter(F.col("structured_file_count").between(low, high))
+    if bucket is not None:
+        ready = ready.filter(F.col("s3_bucket_name") == bucket)
     taken = claims.filter(F.col("migration_status") == schemas.CLAIMED).select(*keys).distinct()
     return lookup(ready.select(*keys, "table_name").distinct(), taken, keys, "left_anti")
 
@@ -132,8 +134,17 @@ def newest_rows(df: DataFrame, by: list[str], time: str = "last_modified_time",
 
 
 def failed_partitions(inventory: DataFrame, mapping: DataFrame, spec: PartitionSpec = DEFAULT,
+                      bucket: str | None = None, datasets: list[str] | None = None,
                       salt: int = SALT) -> DataFrame:
-    """Distinct failed partitions with the managed schema of their dataset."""
+    """Distinct failed partitions with the managed schema of their dataset.
+
+    Optionally of one bucket, or of the named datasets as far as they are mapped.
+    """
+    if bucket is not None:
+        inventory = inventory.filter(F.col("s3_bucket_name") == bucket)
+    if datasets is not None:
+        inventory = inventory.filter(paths.dataset_name("bucket_prefix").isin(*datasets))
+        mapping = mapping.filter(F.col("dataset_name").isin(*datasets))
     failed = work_files(inventory, spec, F.col("load_status") == "failed")
     failed = failed.filter(F.col(spec.run).isNotNull() & F.col(spec.date).isNotNull())
     if spec.floor:
@@ -144,7 +155,8 @@ def failed_partitions(inventory: DataFrame, mapping: DataFrame, spec: PartitionS
         paths.partition_path("s3_bucket_name", "key", spec.scheme).alias("partition_path")).distinct()
     target = mapping.select(*DATASET, "dataset_name",
                             F.col("dbx_managed_table_schema").alias("managed_schema")).distinct()
-    return lookup(rows, target, [*DATASET, "dataset_name"], "left", salt)
+    how = "left" if datasets is None else "inner"
+    return lookup(rows, target, [*DATASET, "dataset_name"], how, salt)
 
 
 def table_targets(mapping: DataFrame, scheme: str = "s3://") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lakeproof.operators import checksum as cs, objects as ob
 from lakeproof.operators.lookup import is_small
-from lakeproof.operators.merge import update_matched
+from lakeproof.operators.merge import mark_done, update_matched, update_where
 from lakeproof.schemas import SAME
 from lakeproof.session import cut_lineage
 from lakeproof.sources import bytes as by, reports as rp
@@ -46,6 +46,13 @@ def compare_batch(details: DataFrame, mapping: DataFrame, compare: str = "time",
     return ob.with_checksums(found, wrong, is_small(wrong))
 
 
+def finish_reports(report_list: DataFrame, details: DataFrame, run: str) -> tuple[DataFrame, DataFrame]:
+    """Marks the compared reports and their rows as processed."""
+    waiting = report_list.filter(F.col("processed") == "false")
+    done = mark_done(report_list, waiting, ["bucket_name", "path"], run)
+    return done, update_where(details, F.col("processed") == "false", {"processed": "true"})
+
+
 def finish_mapping(mapping: DataFrame, verdicts: DataFrame, summary: DataFrame, run: str) -> DataFrame:
     """Verdict, detail and time of the run into the enabled mappings."""
     outcome = verdicts.select("s3_batch_copy_id", F.col("status").alias("new_status")).join(

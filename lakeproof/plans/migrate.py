@@ -230,13 +230,13 @@ def _load_one(spark: SparkSession, tables: Tables, row: Row, spec: PartitionSpec
 
 
 def load(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT,
-         replace_partitions: bool = False) -> DataFrame:
+         replace_partitions: bool = False, **limits) -> DataFrame:
     """Claims open candidates and loads each claimed dataset; returns status per partition.
 
-    A dataset that fails, or has nothing to load, gives its claim back; the others go on.
+    ``limits`` are those of ``partitions.claimable``: bucket and range of file counts.  A dataset that fails, or has nothing to load, gives its claim back; the others go on.
     """
     settle(spark, tables, spec)
-    claims = cut_lineage(parts.claim(spark.table(tables.candidates), spark.table(tables.claims)))
+    claims = cut_lineage(parts.claim(spark.table(tables.candidates), spark.table(tables.claims), **limits))
     tb.append_rows(claims, tables.claims)
     targets = parts.table_targets(spark.table(tables.mapping), spec.scheme)
     out = spark.createDataFrame([], schemas.load_status(spec))
@@ -334,11 +334,11 @@ def reopen(candidates: DataFrame, summary: DataFrame) -> DataFrame:
 
 
 def remediate(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT,
-              lenient: bool = False, fill_missing: bool = False) -> DataFrame:
+              bucket: str | None = None, datasets: list[str] | None = None, **options) -> DataFrame:
     """Repairs failed partitions of every dataset that has a base schema."""
     settle(spark, tables, spec)
     failed = cut_lineage(parts.failed_partitions(spark.table(tables.inventory),
-                                                 spark.table(tables.mapping), spec))
+                                                 spark.table(tables.mapping), spec, bucket, datasets))
     targets = parts.table_targets(spark.table(tables.mapping), spec.scheme)
     log = spark.createDataFrame([], schemas.REMEDIATION_LOG)
     for row in failed.select(*inv.DATASET).distinct().join(targets, inv.DATASET, "inner").toLocalIterator():
@@ -353,7 +353,7 @@ def remediate(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT
             continue
         outcome = remediate_dataset(spark, failed.filter(mine), inventory,
                                     drift.read_schema(found.schema_json, spec),
-                                    row.managed_table_name, row.root_path, spec, lenient, fill_missing)
+                                    row.managed_table_name, row.root_path, spec, **options)
         status = outcome.withColumnRenamed("s3_bucket_name", "bucket_name").withColumn("was", F.lit("failed"))
         tb.append_rows(status.select(*schemas.pending_status(spec).names), tables.pending)
         log = log.unionByName(cut_lineage(remediation_summary(outcome)))

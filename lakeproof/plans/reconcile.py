@@ -1,7 +1,9 @@
 """Reconciling managed tables with their source folders."""
 from __future__ import annotations
 
-from functools import reduce
+import time
+from collections.abc import Callable
+from functools import partial, reduce
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -30,41 +32,74 @@ def _newest(counts: DataFrame, side: str, columns: list[str], n: int) -> list[Ro
             .select(*columns).collect())
 
 
-def reconcile_pair(source: DataFrame, target: DataFrame, table: str, execution_id: str,
-                   spec: PartitionSpec = DEFAULT, latest: int = 1, strict: bool = False,
-                   tolerance_pct: float = TOLERANCE_PCT, extra: bool = False) -> DataFrame:
-    """All checks of one table pair as result rows.
+Check = tuple[str, Callable[[], DataFrame]]
+
+
+def pair_checks(source: DataFrame, target: DataFrame, table: str, execution_id: str,
+                spec: PartitionSpec = DEFAULT, latest: int = 1, strict: bool = False,
+                tolerance_pct: float = TOLERANCE_PCT, extra: bool = False) -> list[Check]:
+    """The checks of one table pair, each a name and a function that builds its result row.
 
     One pass per side over the partition columns gives the counts; checksum and profile
     then read only the latest partitions, chosen by literals that reach the scan.
     ``extra`` adds the record counts per partition.
     """
-    columns = spec.columns
+    columns, spark = spec.columns, source.sparkSession
     counts = cut_lineage(recon.partition_counts(source, target, columns))
     src_cols = describe_columns(source, table, "source")
     tgt_cols = describe_columns(target, table, "target")
-    rows = [recon.row_count(counts, table, execution_id),
-            recon.column_count(src_cols, tgt_cols, execution_id),
-            recon.schema_check(src_cols, tgt_cols, execution_id),
-            recon.partition_set(counts, columns, table, execution_id)]
+    checks: list[Check] = [
+        ("ROW_COUNT", lambda: recon.row_count(counts, table, execution_id)),
+        ("COLUMN_COUNT", lambda: recon.column_count(src_cols, tgt_cols, execution_id)),
+        ("SCHEMA_VALIDATION", lambda: recon.schema_check(src_cols, tgt_cols, execution_id)),
+        ("Partiton_Data_count", lambda: recon.partition_set(counts, columns, table, execution_id))]
     if extra:
-        rows.append(recon.partition_record_count(counts, columns, table, execution_id))
+        checks.append(("PARTITION_RECORD_COUNT",
+                       lambda: recon.partition_record_count(counts, columns, table, execution_id)))
     src_keys = _newest(counts, "source_count", columns, latest)
     tgt_keys = _newest(counts, "target_count", columns, latest)
     if not src_keys or not tgt_keys:
-        for check in ("CHECKSUM_VALIDATION", "VERIFIED"):
-            rows.append(recon.error_result(source.sparkSession, table, check,
-                                           "No latest partition found", execution_id, "SKIP"))
-        return reduce(DataFrame.unionByName, rows)
-    one_src = parts.restrict_to_values(source, src_keys[:1], columns)
-    one_tgt = parts.restrict_to_values(target, tgt_keys[:1], columns)
-    rows.append(recon.checksum(one_src, one_tgt, columns, table, execution_id,
-                               src_keys[0].asDict(), tgt_keys[0].asDict(), strict))
-    rows.append(recon.verify(
+        return checks + [(check, partial(recon.error_result, spark, table, check,
+                                         "No latest partition found", execution_id, "SKIP"))
+                         for check in ("CHECKSUM_VALIDATION", "VERIFIED")]
+    checks.append(("CHECKSUM_VALIDATION", lambda: recon.checksum(
+        parts.restrict_to_values(source, src_keys[:1], columns),
+        parts.restrict_to_values(target, tgt_keys[:1], columns), columns, table, execution_id,
+        src_keys[0].asDict(), tgt_keys[0].asDict(), strict)))
+    checks.append(("VERIFIED", lambda: recon.verify(
         parts.restrict_to_values(source, src_keys, columns),
         parts.restrict_to_values(target, tgt_keys, columns), columns, table, execution_id,
-        [r.asDict() for r in src_keys], tolerance_pct))
-    return reduce(DataFrame.unionByName, rows)
+        [r.asDict() for r in src_keys], tolerance_pct)))
+    return checks
+
+
+def reconcile_pair(source: DataFrame, target: DataFrame, table: str, execution_id: str,
+                   spec: PartitionSpec = DEFAULT, **options) -> DataFrame:
+    """All checks of one table pair as result rows, in one plan."""
+    checks = pair_checks(source, target, table, execution_id, spec, **options)
+    return reduce(DataFrame.unionByName, [build() for _, build in checks])
+
+
+def run_checks(checks: list[Check], spark: SparkSession, table: str, execution_id: str) -> DataFrame:
+    """Runs the checks one by one: each is timed, and one that fails stops no other.
+
+    A check yields one row, so the rows collected here are as many as there are checks.
+    """
+    rows: list[Row] = []
+    for name, build in checks:
+        start = time.monotonic()
+        try:
+            found = build().collect()
+        except Exception as error:  # becomes the check's own result
+            found = recon.error_result(spark, table, name, f"{name} failed: {_first_line(error)}",
+                                       execution_id).collect()
+        seconds = time.monotonic() - start
+        rows += [Row(**{**r.asDict(), "exec_duration": seconds}) for r in found]
+    return spark.createDataFrame(rows, schemas.RECON_RESULTS)
+
+
+def _first_line(error: Exception) -> str:
+    return (str(error).splitlines() or [type(error).__name__])[0]
 
 
 def source_side(spark: SparkSession, tables: Tables, bucket: str, prefix: str, dataset: str,
@@ -103,7 +138,7 @@ def reconcile_all(spark: SparkSession, tables: Tables, bucket: str | None = None
                                      bucket, only, only_open)
     stored = spark.createDataFrame([], schemas.RECON_RESULTS)
     for row in work.toLocalIterator():
-        rows = cut_lineage(_one_table(spark, tables, row, spec, options))
+        rows = _one_table(spark, tables, row, spec, options)
         tb.append_rows(rows, tables.results)
         stored = stored.unionByName(rows)
     tb.replace_table(recon.merge_rollup(spark.table(tables.candidates), recon.rollup(stored)),
@@ -126,9 +161,9 @@ def _one_table(spark: SparkSession, tables: Tables, row: Row, spec: PartitionSpe
             [x for x in (row.target_catalog_name, row.target_schema_name, table) if x])), spec)
     except PySparkException as error:
         return recon.error_result(spark, table, schemas.READ_ERROR,
-                                  f"Failed to read source or target data: {error}", run)
+                                  f"Failed to read source or target data: {_first_line(error)}", run)
     try:
-        return cut_lineage(reconcile_pair(source, target, table, run, spec, **options))
+        return run_checks(pair_checks(source, target, table, run, spec, **options), spark, table, run)
     except Exception as error:  # recorded, so that the other tables are still checked
         return recon.error_result(spark, table, schemas.CRITICAL_ERROR,
-                                  f"Critical processing error: {error}", run)
+                                  f"Critical processing error: {_first_line(error)}", run)

@@ -65,6 +65,12 @@ def create_table(spark: SparkSession, table: str, schema: T.StructType,
               f"PARTITIONED BY (`{spec.run}`, `{spec.date}`){place}")
 
 
+def partition_columns_of(spark: SparkSession, table: str, default: list[str] | None = None) -> list[str]:
+    """Partition columns of a catalog table in name order; the default when it has none."""
+    found = sorted(c.name for c in spark.catalog.listColumns(table) if c.isPartition)
+    return found or list(default or [])
+
+
 def merged_schema(have: T.StructType, new: T.StructType) -> T.StructType:
     """Columns of both; a column both know must have one type."""
     known = {f.name.lower(): f for f in have.fields}

@@ -104,6 +104,13 @@ def schema_type_report(spark, sf):
     return report.groupBy(*keys).agg(F.sum("partitions").alias("partitions"))
 
 
+@query("schema_comparison_rows", _REPORT + """ SELECT DISTINCT CASE WHEN base_type IS NOT NULL THEN upper(column_name) END AS Base_Column_Name,
+  base_type AS Base_Data_Type, CASE WHEN failed_type IS NOT NULL THEN upper(column_name) END AS Failed_Column_Name,
+  failed_type AS Failed_Data_Type, status AS Status, rtrim(substr(bucket_prefix, 9), '/') AS dataset_name FROM rep""")
+def schema_comparison_rows(spark, sf):
+    return drift.comparison_rows(_type_report(spark, sf)).distinct()
+
+
 @query("schema_column_outcome", _REPORT + """ SELECT bucket_prefix, column_name, bool_or(status = 'PASS') AS ever_matched,
   bool_or(status <> 'PASS') AS ever_mismatched, CAST(count(*) FILTER (status = 'PASS') AS BIGINT) AS partitions_matched,
   CAST(count(*) FILTER (status <> 'PASS') AS BIGINT) AS partitions_mismatched FROM rep GROUP BY 1, 2""")

@@ -119,3 +119,21 @@ def test_one_failed_folder_fails_its_pair(spark, rows):
     status = spark.createDataFrame([("b", "p", "R", "2024-01-01", "loaded"), ("b", "p", "R", "2024-01-01", "failed")],
                                    "bucket_name string, bucket_prefix string, run_id string, snapshot_date string, load_status string")
     assert migrate.record_status(stored, status).first().load_status == "failed"
+
+
+def test_hot_key_is_spread(spark):
+    """A third of all rows under one key: no task of the join gets a large share of them."""
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false",
+             "spark.sql.shuffle.partitions": "64"}
+    before = {k: spark.conf.get(k) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        rows_ = spark.range(0, 96000, 1, 96).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
+        table = rows_.distinct().withColumn("v", F.lit(1))
+        got = lookup(rows_, table, ["k"], "left").groupBy(F.spark_partition_id()).count()
+        sizes = [r["count"] for r in got.collect()]
+        assert sum(sizes) == 96000 and max(sizes) < 96000 * 0.08
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

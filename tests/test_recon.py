@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from lakeproof import PartitionSpec
 from lakeproof.operators import checksum as cs, partitions as parts, profile as pf, recon
-from lakeproof.plans.reconcile import reconcile_pair
+from lakeproof.plans.reconcile import pair_checks, reconcile_pair, run_checks
 from queries.views import view
 
 SPEC = PartitionSpec(floor=None)
@@ -150,3 +150,15 @@ def test_two_spellings_of_a_date_repeat_no_row(spark):
     assert parts.source_rows(data, tags, stored, "ds").count() == 1
     assert parts.source_rows(data, tags.limit(0), stored, "ds").count() == 1  # floor alone
     assert parts.source_rows(data, tags, stored, "ds", PartitionSpec(floor="2025-01-01")).count() == 0
+
+
+def test_one_broken_check_stops_no_other(spark, data):
+    def broken():
+        return data.select(F.raise_error(F.lit("boom")).cast("string").alias("x"))
+    checks = pair_checks(data, data, "t", "r", SPEC)
+    checks[1] = ("COLUMN_COUNT", broken)
+    got = {r.recon_type: r for r in run_checks(checks, spark, "t", "r").collect()}
+    assert len(got) == 6 and got["COLUMN_COUNT"].status == "ERROR" and "boom" in got["COLUMN_COUNT"].error_log
+    assert {r.status for r in got.values()} == {"PASS", "ERROR"}
+    assert all(r.exec_duration > 0 for r in got.values())
+    assert recon.rollup(run_checks(checks, spark, "t", "r")).first().recon_status == "FAIL"

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeproof import PartitionSpec, schemas
-from lakeproof.plans.compare import compare_batch, finish_mapping, ingest_reports
+from lakeproof.plans.compare import compare_batch, finish_mapping, finish_reports, ingest_reports
 from lakeproof.operators import objects as ob
 from lakeproof.sources import footers, listing, reports as rp, tables as tb
 
@@ -81,6 +81,7 @@ def test_append_adds_columns_and_replaces_partitions(spark):
     schema = T.StructType().add("v", "integer").add("run_id", "string").add("snapshot_date", "date")
     tb.create_table(spark, "src_t.evolving", schema, spec)
     tb.create_table(spark, "src_t.evolving", schema, spec)  # exists already
+    assert tb.partition_columns_of(spark, "src_t.evolving") == ["run_id", "snapshot_date"]
     base = spark.sql("SELECT 1 V, 'R' run_id, date'2024-01-01' snapshot_date")
     tb.append_evolving(base, "src_t.evolving", spec)
     tb.append_evolving(base.withColumn("more", F.lit("x")), "src_t.evolving", spec)
@@ -154,6 +155,9 @@ def test_reports_from_discovery_to_verdict(spark, tmp_path, kind):
     waiting = details.filter("processed = 'false' AND Bucket = 's'")
     assert waiting.count() == 3 and {r.name for r in waiting.collect()} == {"2025-01-03T01-00Z"}
     assert {r.processed for r in reports.filter("runId = 'r1:r2'").collect()} == {"ignored"}
+    reports, details = finish_reports(reports, details, "r3")
+    assert {(r.processed, r.runId) for r in reports.collect()} == {("ignored", "r1:r2"), ("true", "r3")}
+    assert {r.processed for r in details.collect()} == {"ignore", "true"}
 
 
 def test_no_new_reports(spark):
