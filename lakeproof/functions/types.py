@@ -34,8 +34,8 @@ def normal_type(token: Column | str) -> Column:
     for name, spellings in TOKENS.items():
         case = case.when(text.isin(*spellings), F.lit(name))
     case = case.when(F.startswith(text, F.lit("timestamp")), F.lit("timestamp"))
-    nested = F.rlike(text, F.lit(r'^(array|map|struct)<|^\{'))
-    return case.when(nested, text)
+    nested = F.rlike(text, F.lit("^(array|map|struct)<"))
+    return case.when(nested, text).when(F.startswith(text, F.lit("{")), token)
 
 
 def canonical_schema(schema: T.StructType) -> str:

@@ -9,19 +9,18 @@ import logging
 from collections.abc import Callable
 from itertools import groupby
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeproof import schemas
 from lakeproof.functions import paths
-from lakeproof.functions.types import captured_columns
+from lakeproof.functions.types import canonical_schema, captured_columns
 from lakeproof.operators import drift, inventory as inv, partitions as parts
 from lakeproof.operators.lookup import is_small, lookup
 from lakeproof.operators.merge import update_matched
 from lakeproof.plans.state import Tables
-from lakeproof.session import cut_lineage
+from lakeproof.session import SPARK_ERRORS, cut_lineage
 from lakeproof.sources import footers, listing, tables as tb
 from lakeproof.spec import DEFAULT, PartitionSpec
 
@@ -84,16 +83,21 @@ def assess_drift(spark: SparkSession, tables: Tables, bucket: str, low: int = 0,
 
 # --- load --------------------------------------------------------------------------
 
+def _any_null(data_type: str) -> Column:
+    """A nested type's text without regard to what inside it may be null."""
+    return F.regexp_replace(data_type, '"(containsNull|valueContainsNull|nullable)":\\s*(true|false)',
+                            '"$1":true')
+
+
 def unloadable(captured: DataFrame, schema: T.StructType) -> DataFrame:
     """Partition paths with an unreadable file or a column the read schema cannot take."""
-    expected = captured.sparkSession.createDataFrame(
-        [(f.name.lower(), f.dataType.simpleString()) for f in schema.fields],
-        "column_name string, wanted string")
+    wanted = captured.sparkSession.createDataFrame([(canonical_schema(schema),)], "schema_json string")
+    expected = captured_columns(wanted, []).select("column_name", _any_null("data_type").alias("wanted"))
     files = captured.groupBy("partition_path", "is_corrupted", "schema_json").agg(F.count(F.lit(1)))
     kinds = files.filter(~F.col("is_corrupted")).select("schema_json").distinct()
     pair = F.concat_ws(">", "data_type", "wanted")
     clash = (captured_columns(kinds.withColumn("text", F.col("schema_json")), ["text"])
-             .join(expected, ["column_name"], "inner")
+             .withColumn("data_type", _any_null("data_type")).join(expected, ["column_name"], "inner")
              .filter((F.col("data_type") != F.col("wanted"))
                      & ~pair.isin(*[f"{a}>{b}" for a, b in sorted(WIDENS)]))
              .select(F.col("text").alias("schema_json")).distinct())
@@ -113,7 +117,7 @@ def _run_isolating(rows: list[Row], work: Callable[[list[Row]], None]) -> list[R
     try:
         work(rows)
         return []
-    except PySparkException as error:
+    except (*SPARK_ERRORS, ValueError) as error:
         if len(rows) == 1:
             LOG.warning("could not take %s: %s", rows[0].partition_path, error)
             return rows
@@ -142,8 +146,10 @@ def load_dataset(spark: SparkSession, plan: DataFrame, inventory: DataFrame, sch
     plan = cut_lineage(plan)
     captured = cut_lineage(footers.capture_files(partition_files(inventory, plan, spec)))
     bad = cut_lineage(unloadable(captured, schema))
-    good = plan.join(bad, ["partition_path"], "left_anti")
     tb.create_table(spark, table, schema, spec, location)
+    if not tb.fits(spark.table(table).schema, schema):  # nothing can be appended
+        bad = plan.select("partition_path").distinct()
+    good = plan.join(bad, ["partition_path"], "left_anti")
 
     def append(rows: list[Row]) -> None:
         data = tb.read_partitions(spark, root, [r.partition_path for r in rows], schema)
@@ -245,7 +251,7 @@ def load(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT,
         key = (row.execution_id, row.s3_bucket_name, row.bucket_prefix)
         try:
             status = _load_one(spark, tables, row, spec, replace_partitions)
-        except (PySparkException, LookupError, ValueError) as error:
+        except (*SPARK_ERRORS, LookupError, ValueError) as error:
             LOG.warning("could not load %s: %s", row.bucket_prefix, error)
             failed.append(key)
             returned.append(key)
@@ -351,9 +357,13 @@ def remediate(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT
                                               inv.DATASET).first()
         if found is None:  # a dataset without a schema is skipped whole
             continue
-        outcome = remediate_dataset(spark, failed.filter(mine), inventory,
-                                    drift.read_schema(found.schema_json, spec),
-                                    row.managed_table_name, row.root_path, spec, **options)
+        try:
+            outcome = remediate_dataset(spark, failed.filter(mine), inventory,
+                                        drift.read_schema(found.schema_json, spec),
+                                        row.managed_table_name, row.root_path, spec, **options)
+        except (*SPARK_ERRORS, ValueError) as error:
+            LOG.warning("could not remediate %s: %s", row.bucket_prefix, error)
+            continue
         status = outcome.withColumnRenamed("s3_bucket_name", "bucket_name").withColumn("was", F.lit("failed"))
         tb.append_rows(status.select(*schemas.pending_status(spec).names), tables.pending)
         log = log.unionByName(cut_lineage(remediation_summary(outcome)))

@@ -5,7 +5,6 @@ import time
 from collections.abc import Callable
 from functools import partial, reduce
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +14,7 @@ from lakeproof.functions.types import describe_columns
 from lakeproof.operators import drift, inventory as inv, partitions as parts, recon
 from lakeproof.operators.lookup import is_small
 from lakeproof.plans.state import Tables
-from lakeproof.session import cut_lineage
+from lakeproof.session import SPARK_ERRORS, cut_lineage
 from lakeproof.sources import tables as tb
 from lakeproof.spec import DEFAULT, PartitionSpec
 
@@ -159,7 +158,7 @@ def _one_table(spark: SparkSession, tables: Tables, row: Row, spec: PartitionSpe
                                       "Source data is not present", run)
         target = above_floor(spark.table(".".join(
             [x for x in (row.target_catalog_name, row.target_schema_name, table) if x])), spec)
-    except PySparkException as error:
+    except SPARK_ERRORS as error:
         return recon.error_result(spark, table, schemas.READ_ERROR,
                                   f"Failed to read source or target data: {_first_line(error)}", run)
     try:

@@ -4,8 +4,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
+# What a Spark call may raise: analysis and other known errors, and failed jobs as such.
+SPARK_ERRORS = (PySparkException, Py4JError)
+
 # Defaults for a session this library builds itself.  A session handed in by the
 # caller is used as it is.
 DEFAULTS = {
@@ -14,6 +19,7 @@ DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 

@@ -79,12 +79,21 @@ def merged_schema(have: T.StructType, new: T.StructType) -> T.StructType:
         old = known.get(field.name.lower())
         if old is None:
             out = out.add(T.StructField(field.name, field.dataType, True))
-        elif old.dataType != field.dataType:
+        elif old.dataType.simpleString() != field.dataType.simpleString():  # nulls aside
             raise ValueError(f"{field.name}: table has {old.dataType.simpleString()}, "
                              f"data has {field.dataType.simpleString()}")
     return out
 
 
+def fits(have: T.StructType, new: T.StructType) -> bool:
+    """True when rows of the new schema can be appended to a table of the old one."""
+    try:
+        merged_schema(have, new)
+    except ValueError:
+        return False
+    return True
+
+
 def append_evolving(df: DataFrame, table: str, spec: PartitionSpec = DEFAULT,
                     replace_partitions: bool = False) -> None:
     """Appends rows; columns the table lacks are added to it, ones the data lacks are null.

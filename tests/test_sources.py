@@ -7,7 +7,8 @@ from pyspark.sql import types as T
 
 from lakeproof import PartitionSpec, schemas
 from lakeproof.plans.compare import compare_batch, finish_mapping, finish_reports, ingest_reports
-from lakeproof.operators import objects as ob
+from lakeproof.operators import drift, inventory as inv, objects as ob, partitions as parts_op
+from lakeproof.plans import migrate
 from lakeproof.sources import footers, listing, reports as rp, tables as tb
 
 
@@ -169,3 +170,61 @@ def test_report_list_text(spark):
     text = '[{"file": "s3://i/b/n", "name": "2025/", "size": 0.0, "modificationTime": "2025-01-01T00:00:00Z"}, {"file": "f", "name": "2024/"}]'
     got = rp.decode_report_list(spark.createDataFrame([("b", text)], "bucket_name string, list_of_files string"))
     assert [(r.path, r.name, r["size"]) for r in got.collect()] == [("s3://i/b/n", "2025/", 0.0), ("f", "2024/", None)]
+
+
+def lake_of(spark, tmp_path, parts):
+    """A one-dataset lake from (day, frame) pairs: spec, inventory, plan."""
+    spec = PartitionSpec(scheme=f"{tmp_path}/")
+    for day, frame in parts:
+        frame.coalesce(1).write.parquet(f"{tmp_path}/b/ds/run_id=R/snapshot_date={day}")
+    mapping = spark.createDataFrame([("ds", "b", "ds/")], "dataset_name string, s3_bucket_name string, bucket_prefix string")
+    found = listing.list_files(listing.dataset_roots(mapping, spec.scheme))
+    rows = inv.new_inventory(found, spark.createDataFrame([], schemas.inventory(spec)), mapping, "r", spec).cache()
+    return spec, rows, parts_op.partition_rows(parts_op.work_files(rows, spec), spec)
+
+
+def test_nested_columns_load(spark, tmp_path):
+    df = spark.sql("SELECT 1 v, array(named_struct('x', 1.5D)) l, map('k', 1L) m")
+    spec, rows, plan = lake_of(spark, tmp_path, [("2024-01-01", df), ("2024-01-02", df.withColumn("v", F.lit("t")))])
+    schema = df.schema.add("run_id", "string").add("snapshot_date", "date")
+    spark.sql("CREATE DATABASE IF NOT EXISTS src_t")
+    status = migrate.load_dataset(spark, plan, rows, schema, "src_t.nested", f"{tmp_path}/b/ds/", spec)
+    assert {str(r.snapshot_date): r.load_status for r in status.collect()} == {"2024-01-01": "loaded", "2024-01-02": "failed"}
+    assert spark.table("src_t.nested").first().m == {"k": 1}
+    # the table's type is fixed: a schema that contradicts it loads nothing and fails every partition
+    other = migrate.load_dataset(spark, plan, rows, drift.read_schema(
+        '{"fields": [{"name": "v", "type": "string", "nullable": true}]}', spec), "src_t.nested", f"{tmp_path}/b/ds/", spec)
+    assert {r.load_status for r in other.collect()} == {"failed"} and spark.table("src_t.nested").count() == 1
+
+
+def test_widening_is_no_failure_and_bad_pages_are_isolated(spark, tmp_path):
+    one = spark.range(2000).select(F.col("id").cast("int").alias("v"), F.expr("uuid()").alias("t"))
+    spec, rows, plan = lake_of(spark, tmp_path, [(f"2024-01-0{i}", one) for i in range(1, 6)])
+    # damage the data pages of one file: its footer still reads
+    folder = tmp_path / "b" / "ds" / "run_id=R" / "snapshot_date=2024-01-03"
+    name = next(n for n in os.listdir(folder) if n.endswith(".parquet"))
+    content = bytearray((folder / name).read_bytes())
+    content[4:4 + len(content) // 2] = os.urandom(len(content) // 2)
+    (folder / name).write_bytes(bytes(content))
+    for sidecar in os.listdir(folder):
+        if sidecar.endswith(".crc"):
+            os.unlink(folder / sidecar)
+    schema = T.StructType().add("v", "long").add("t", "string").add("run_id", "string").add("snapshot_date", "date")
+    status = migrate.load_dataset(spark, plan, rows, schema, "src_t.wide", f"{tmp_path}/b/ds/", spec)
+    assert {str(r.snapshot_date)[-1]: r.load_status for r in status.collect()} == {
+        "1": "loaded", "2": "loaded", "3": "failed", "4": "loaded", "5": "loaded"}
+    assert spark.table("src_t.wide").count() == 8000
+
+
+def test_partition_columns_from_data(spark, tmp_path):
+    df = spark.sql("SELECT '7' v, 'inner' run_id")
+    spec, rows, plan = lake_of(spark, tmp_path, [("2024-01-01", df)])
+    base = T.StructType().add("v", "long").add("run_id", "string").add("snapshot_date", "date")
+    spark.sql("CREATE DATABASE IF NOT EXISTS src_t")
+    for source, want in (("path", "R"), ("data", "inner")):
+        table = f"src_t.from_{source}"
+        tb.create_table(spark, table, base, spec)
+        done = migrate.remediate_dataset(spark, plan, rows, base, table, f"{tmp_path}/b/ds/", spec, partitions_from=source)
+        assert done.first().load_status == "loaded"
+        row = spark.table(table).first()
+        assert (row.v, row.run_id, str(row.snapshot_date)) == (7, want, "2024-01-01")
