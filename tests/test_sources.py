@@ -1,11 +1,15 @@
+import datetime as dt
 import json
 import os
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeproof import PartitionSpec, schemas
+from lakeproof.functions.types import canonical_schema
 from lakeproof.plans.compare import compare_batch, finish_mapping, finish_reports, ingest_reports
 from lakeproof.operators import drift, inventory as inv, objects as ob, partitions as parts_op
 from lakeproof.plans import migrate
@@ -42,7 +46,7 @@ def test_folders_and_missing_roots(spark, tree):
 def test_footers_flag_unreadable_files(spark, tmp_path):
     good, nested = str(tmp_path / "p=1/good.parquet"), str(tmp_path / "p=2/nested.parquet")
     os.makedirs(tmp_path / "p=1"), os.makedirs(tmp_path / "p=2"), os.makedirs(tmp_path / "p=3")
-    spark.sql("SELECT cast(1 AS decimal(10,2)) B, timestamp_ntz'2024-01-01' a").toPandas().to_parquet(good)
+    pq.write_table(pa.table({"B": pa.array([1], pa.decimal128(10, 2)), "a": pa.array([dt.datetime(2024, 1, 1)], pa.timestamp("us"))}), good)
     spark.sql("SELECT array(1) l, named_struct('x', 1L) s").coalesce(1).write.parquet(str(tmp_path / "w"))
     written = [f for f in os.listdir(tmp_path / "w") if f.endswith(".parquet")][0]
     os.link(tmp_path / "w" / written, nested)
@@ -228,3 +232,36 @@ def test_partition_columns_from_data(spark, tmp_path):
         assert done.first().load_status == "loaded"
         row = spark.table(table).first()
         assert (row.v, row.run_id, str(row.snapshot_date)) == (7, want, "2024-01-01")
+
+
+def arrow_files(folder):
+    """Files of other writers with types Spark maps in its own way."""
+    when = [dt.datetime(2024, 1, 1)]
+    tables = {
+        "plain": pa.table({"B": [1], "a": ["x"], "d": [dt.date(2024, 1, 1)], "f": pa.array([1.0], pa.float32()), "z": [b"x"]}),
+        "unsigned": pa.table({n: pa.array([1], t) for n, t in
+                              (("u1", pa.uint8()), ("u2", pa.uint16()), ("u4", pa.uint32()), ("u8", pa.uint64()), ("i1", pa.int8()))}),
+        "times": pa.table({"ntz": pa.array(when, pa.timestamp("us")), "ltz": pa.array(when, pa.timestamp("ms", "UTC"))}),
+        "decimals": pa.table({"d": pa.array([1], pa.decimal128(20, 3)), "fixed": pa.array([b"ab"], pa.binary(2))}),
+        "nested": pa.table({"l": [[1, 2]], "s": [{"x": 1, "y": ["a"]}], "m": pa.array([[("k", 1.5)]], pa.map_(pa.string(), pa.float64()))}),
+        "required": pa.table({"r": [1]}, pa.schema([pa.field("r", pa.int64(), nullable=False)])),
+        "coded": pa.table({"c": pa.array(["a", "b"]).dictionary_encode()}),
+    }
+    for name, table in tables.items():
+        pq.write_table(table, f"{folder}/{name}.parquet")
+    pq.write_table(pa.table({"t": pa.array(when, pa.timestamp("ns"))}), f"{folder}/int96.parquet",
+                   use_deprecated_int96_timestamps=True)
+    return [*tables, "int96"]
+
+
+def test_footer_schema_is_what_spark_reads(spark, tmp_path):
+    for name in arrow_files(tmp_path):
+        path = f"{tmp_path}/{name}.parquet"
+        assert canonical_schema(footers.footer_schema(path)) == canonical_schema(spark.read.parquet(path).schema), name
+    df = spark.sql("SELECT 1 v, cast('a' AS varchar(3)) c, timestamp'2024-01-01' t, array(1) l, interval '1' day i")
+    df.coalesce(1).write.parquet(f"{tmp_path}/own")
+    own = next(f for f in os.listdir(f"{tmp_path}/own") if f.endswith(".parquet"))
+    assert canonical_schema(footers.footer_schema(f"{tmp_path}/own/{own}")) == canonical_schema(spark.read.parquet(f"{tmp_path}/own").schema)
+    pq.write_table(pa.table({"t": pa.array([1], pa.timestamp("ns"))}), f"{tmp_path}/nanos.parquet")
+    with pytest.raises(ValueError, match="nanoseconds"):
+        footers.footer_schema(f"{tmp_path}/nanos.parquet")
