@@ -9,6 +9,7 @@ from lakeproof.operators.lookup import SALT, lookup
 
 # Levels below the root at which a tree is cut, by copy depth.
 LEVELS = {2: 2, 3: 4}
+SHOWN = 5  # offending folders named in an error
 
 
 def copy_units(objects: DataFrame, source_root: str, dest_root: str, depth: int = 2,
@@ -72,6 +73,15 @@ def _sides(pairs: DataFrame, columns: tuple[str, str]) -> DataFrame:
     return side(columns[0]).unionByName(side(columns[1]))
 
 
+def check_pairs(pairs: DataFrame, columns: tuple[str, str] = ("src", "dst")) -> None:
+    """Raises when a folder is listed twice or lies inside another listed one."""
+    for what, found in (("duplicate", duplicate_folders(pairs, columns)),
+                        ("nested", nested_folders(pairs, columns))):
+        shown = [tuple(r) for r in found.limit(SHOWN).collect()]
+        if shown:
+            raise ValueError(f"{what} folders in the copy list, for example {shown}")
+
+
 def nested_folders(pairs: DataFrame, columns: tuple[str, str] = ("src", "dst"),
                    salt: int = SALT) -> DataFrame:
     """(side, child, parent) where one listed folder lies below another listed one.

@@ -50,13 +50,12 @@ def picked(df: DataFrame, exclude: list[str], per_group: int = PER_GROUP,
     return dict(flat[:limit])
 
 
-def profile(df: DataFrame, columns: dict[str, str], by: list[str] | None = None) -> DataFrame:
+def profile(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """One pass over the data: min, max of every column, abs_sum of numeric ones.
 
-    Result rows are (by..., column_name, stat, value as text).  A missing column is left
+    Result rows are (column_name, stat, value as text).  A missing column is left
     out.  Whole numbers are summed as decimals, which do not overflow at any table size.
     """
-    by = by or []
     df = lower_names(df)
     present = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     aggregates, shape = [], []
@@ -76,16 +75,16 @@ def profile(df: DataFrame, columns: dict[str, str], by: list[str] | None = None)
             shape.append((name, "abs_sum"))
     if not aggregates:
         raise ValueError("none of the chosen columns exists")
-    wide = df.groupBy(*by).agg(*aggregates)
+    wide = df.agg(*aggregates)
     entries = F.array(*[F.struct(F.lit(n).alias("column_name"), F.lit(s).alias("stat"),
                                  F.col(f"`{n}.{s}`").alias("value")) for n, s in shape])
-    return wide.select(*by, F.explode(entries).alias("e")).select(*by, "e.*")
+    return wide.select(F.explode(entries).alias("e")).select("e.*")
 
 
-def compare_profiles(source: DataFrame, target: DataFrame, by: list[str] | None = None,
+def compare_profiles(source: DataFrame, target: DataFrame,
                      tolerance_pct: float = TOLERANCE_PCT) -> DataFrame:
     """Common statistics side by side: abs_sum by tolerance, the rest by text."""
-    keys = [*(by or []), "column_name", "stat"]
+    keys = ["column_name", "stat"]
     pair = source.withColumnRenamed("value", "source_value").join(
         target.withColumnRenamed("value", "target_value"), keys, "inner")
     s, t = F.col("source_value"), F.col("target_value")

@@ -172,8 +172,9 @@ def record_status(inventory: DataFrame, status: DataFrame, spec: PartitionSpec =
     Several folders of one partition pair count as loaded only when all are.
     """
     keys = [*inv.DATASET, spec.run, spec.date]
+    whole = F.bool_and(F.col("load_status") == "loaded")
     one = status.withColumnRenamed("bucket_name", "s3_bucket_name").groupBy(*keys).agg(
-        F.min("load_status").alias("load_status"))  # 'failed' sorts before 'loaded'
+        F.when(whole, F.lit("loaded")).otherwise(F.lit("failed")).alias("load_status"))
     waiting = F.col("t.load_status").isNull() if guard is None else guard
     return update_matched(inventory, one, keys, {"load_status": "load_status"}, waiting, small=small)
 

@@ -221,20 +221,20 @@ _PROFILED = [("l_orderkey", "int"), ("l_linenumber", "int"), ("quantity", "decim
              ("l_returnflag", "string"), ("ship_date", "date")]
 
 
-def _profile_sql(source: str, by: str = "") -> str:
+def _profile_sql(source: str) -> str:
     parts = []
     for name, group in _PROFILED:
         for stat in ("min", "max") + (("abs_sum",) if group in pf.NUMERIC else ()):
             value = f"sum(abs({name}))" if stat == "abs_sum" else f"{stat}({name})"
-            parts.append(f"SELECT {by} '{name}' AS column_name, '{stat}' AS stat, CAST({value} AS VARCHAR) AS value "
-                         f"FROM {source} {'GROUP BY ALL' if by else ''}")
+            parts.append(f"SELECT '{name}' AS column_name, '{stat}' AS stat, CAST({value} AS VARCHAR) AS value "
+                         f"FROM {source}")
     return " UNION ALL ".join(parts)
 
 
-@query("recon_profile", _profile_sql("recon_src", "run_id,"))
+@query("recon_profile", _profile_sql("recon_src"))
 def recon_profile(spark, sf):
     source, _ = pair(spark, sf)
-    return pf.profile(source, pf.picked(source, PARTITION), ["run_id"])
+    return pf.profile(source, pf.picked(source, PARTITION))
 
 
 _COMPARED = """cmp AS (SELECT p.column_name, p.stat, p.value AS source_value, q.value AS target_value,

@@ -129,6 +129,11 @@ def test_copy_pairs(spark):
     nested = {tuple(r) for r in copyplan.nested_folders(pairs).collect()}
     assert nested == {("src", "s3://a/x/y", "s3://a/x"), ("src", "s3://b/z/w", "s3://b/z"), ("dst", "s3://e/f/g", "s3://e")}
     assert {tuple(r) for r in copyplan.duplicate_folders(pairs).collect()} == {("dst", "s3://d/2", 2)}
+    with pytest.raises(ValueError, match="duplicate"):
+        copyplan.check_pairs(pairs)
+    with pytest.raises(ValueError, match="nested"):
+        copyplan.check_pairs(pairs.filter("dst <> 's3://d/2/'"))
+    copyplan.check_pairs(pairs.limit(1))
 
 
 def test_copy_summary_without_copies(spark):
