@@ -31,10 +31,11 @@ def copy_units(objects: DataFrame, source_root: str, dest_root: str, depth: int
     deep = levels > cut
     unit = F.when(deep, F.concat(head, F.lit("/"))).otherwise(F.col("rel"))
     kind = F.when(deep | marker, F.lit("dir")).otherwise(F.lit("file"))
-    units = inside.groupBy(unit.alias("unit"), kind.alias("type"), levels_below(levels, cut).alias("levels")).agg(
+    units = inside.groupBy(unit.alias("unit"), kind.alias("type"),
+                           F.least(levels, F.lit(cut)).alias("levels")).agg(
         F.sum("size").alias("size"), F.count_if(~marker).alias("files"))
     # Folders that hold some unit: the marker of such a folder is not empty.
-    level = F.explode(F.sequence(F.lit(0), F.least(F.col("levels"), F.lit(cut)) - F.lit(1)))
+    level = F.explode(F.sequence(F.lit(0), F.col("levels") - F.lit(1)))
     above = (units.filter(F.col("levels") > 0).select("unit", level.alias("keep"))
              .select(_folder("unit", F.col("keep")).alias("unit")).distinct()
              .withColumn("type", F.lit("dir")))
@@ -47,11 +48,6 @@ def copy_units(objects: DataFrame, source_root: str, dest_root: str, depth: int
         F.col("size").cast("bigint").alias("size"), "files")
 
 
-def levels_below(levels: Column, cut: int) -> Column:
-    """Depth of a unit: folders below the cut all count as lying at the cut."""
-    return F.least(levels, F.lit(cut))
-
-
 def _folder(unit: str, keep: Column) -> Column:
     """The first ``keep`` segments of a path as a folder; the root is the empty text."""
     head = F.array_join(F.slice(F.split(unit, "/"), F.lit(1), keep), "/")

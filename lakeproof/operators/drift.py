@@ -85,7 +85,8 @@ def merge_verdict(candidates: DataFrame, verdict: DataFrame) -> DataFrame:
     return update_matched(candidates, verdict.select(*RUN, *columns), RUN, {c: c for c in columns})
 
 
-def _partition_of(catalog: DataFrame, spec: PartitionSpec) -> DataFrame:
+def with_partition(catalog: DataFrame, spec: PartitionSpec = DEFAULT) -> DataFrame:
+    """Adds the partition pair read from each captured path."""
     return (catalog.withColumn(spec.run, paths.partition_value("file_path", spec.run))
             .withColumn(spec.date, paths.partition_date("file_path", spec.date)))
 
@@ -95,7 +96,7 @@ def effective_schemas(catalog: DataFrame, latest: DataFrame, spec: PartitionSpec
     """Captured schema of each dataset's latest partition (smallest path on several files)."""
     by = by or ["bucket_prefix"]
     keys = [*by, spec.run, spec.date]
-    readable = _partition_of(catalog, spec).filter(~F.col("is_corrupted"))
+    readable = with_partition(catalog, spec).filter(~F.col("is_corrupted"))
     hits = lookup(readable, latest.select(*keys), keys, "left_semi", salt)
     first = F.min_by("schema_json", "file_path").alias("schema_json")
     return hits.groupBy(*keys).agg(first)
@@ -140,7 +141,7 @@ def type_report(catalog: DataFrame, failed: DataFrame, base: DataFrame,
     """
     by = by or ["bucket_prefix"]
     keys = [*by, spec.run, spec.date]
-    readable = _partition_of(catalog, spec).filter(~F.col("is_corrupted"))
+    readable = with_partition(catalog, spec).filter(~F.col("is_corrupted"))
     wanted = lookup(readable, failed.select(*keys).distinct(), keys, "left_semi", salt)
     # Partitions of a dataset share few schemas: compare each schema once per partition set.
     parts = wanted.groupBy(*keys).agg(F.min_by("schema_json", "file_path").alias("schema_json"))

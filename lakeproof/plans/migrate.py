@@ -240,7 +240,8 @@ def load(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT,
          replace_partitions: bool = False, **limits) -> DataFrame:
     """Claims open candidates and loads each claimed dataset; returns status per partition.
 
-    ``limits`` are those of ``partitions.claimable``: bucket and range of file counts.  A dataset that fails, or has nothing to load, gives its claim back; the others go on.
+    ``limits`` are those of ``partitions.claimable``: bucket and range of file counts.  A
+    dataset that fails, or has nothing to load, gives its claim back; the others go on.
     """
     settle(spark, tables, spec)
     claims = cut_lineage(parts.claim(spark.table(tables.candidates), spark.table(tables.claims), **limits))

@@ -59,7 +59,7 @@ eff AS (SELECT pc.bucket_prefix, pc.run_id, pc.snapshot_date, arg_min(schema_jso
 
 
 def _latest(spark, sf):
-    catalog = drift._partition_of(view(spark, sf, "schema_catalog"), drift.DEFAULT).filter("NOT is_corrupted")
+    catalog = drift.with_partition(view(spark, sf, "schema_catalog")).filter("NOT is_corrupted")
     return parts.latest_snapshot(catalog, ["bucket_prefix"])
 
 
@@ -90,7 +90,7 @@ rep AS (SELECT coalesce(g.bucket_prefix, c.bucket_prefix) AS bucket_prefix, coal
 
 def _type_report(spark, sf):
     catalog = view(spark, sf, "schema_catalog")
-    failed = drift._partition_of(catalog, drift.DEFAULT).select("bucket_prefix", "run_id", "snapshot_date").distinct()
+    failed = drift.with_partition(catalog).select("bucket_prefix", "run_id", "snapshot_date").distinct()
     usual = '{"fields":[{"name":"amt","nullable":true,"type":"DecimalType(18,2)"},{"name":"ID","nullable":true,"type":"long"}]}'
     base = catalog.select("bucket_prefix", F.lit(usual).alias("schema_json")).distinct()
     return drift.type_report(catalog, failed, base)
