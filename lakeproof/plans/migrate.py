@@ -137,14 +137,16 @@ def _each_batch(plan: DataFrame, work: Callable[[list[Row]], None]) -> list[Row]
 
 def load_dataset(spark: SparkSession, plan: DataFrame, inventory: DataFrame, schema: T.StructType,
                  table: str, root: str, spec: PartitionSpec = DEFAULT,
-                 replace_partitions: bool = False, location: str | None = None) -> DataFrame:
+                 replace_partitions: bool = False, location: str | None = None,
+                 captured: DataFrame | None = None) -> DataFrame:
     """Loads planned partitions into the managed table; load status per partition.
 
-    Footers tell beforehand which partitions cannot be read; all others go through one
-    strict read and one append per batch.
+    Footers tell beforehand which partitions cannot be read (``captured``, else they are
+    read here); all others go through one strict read and one append per batch.
     """
     plan = cut_lineage(plan)
-    captured = cut_lineage(footers.capture_files(partition_files(inventory, plan, spec)))
+    if captured is None:
+        captured = cut_lineage(footers.capture_files(partition_files(inventory, plan, spec)))
     bad = cut_lineage(unloadable(captured, schema))
     tb.create_table(spark, table, schema, spec, location)
     if not tb.fits(spark.table(table).schema, schema):  # nothing can be appended
@@ -219,21 +221,10 @@ def settle(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT) -
     tb.empty_like(pending, tables.pending)
 
 
-def _load_one(spark: SparkSession, tables: Tables, row: Row, spec: PartitionSpec,
-              replace_partitions: bool) -> DataFrame | None:
-    """Loads one claimed dataset; None when nothing waits for loading."""
-    mine = (F.col("s3_bucket_name") == row.s3_bucket_name) & (F.col("bucket_prefix") == row.bucket_prefix)
-    inventory = spark.table(tables.inventory).filter(mine)
-    plan = cut_lineage(parts.load_plan(inventory, spark.table(tables.tags), spec))
-    if plan.isEmpty():
-        return None
-    catalog = spark.table(tables.catalog).filter(mine)
-    found = drift.latest_readable_schemas(catalog, plan, spec, inv.DATASET).first()
-    if found is None:
-        raise LookupError(f"no captured schema for {row.bucket_prefix}")
-    schema = drift.read_schema(found.schema_json, spec)
-    return load_dataset(spark, plan, inventory, schema, row.managed_table_name, row.root_path, spec,
-                        replace_partitions)
+def _of(df: DataFrame, row: Row) -> DataFrame:
+    """Rows of one dataset."""
+    return df.filter((F.col("s3_bucket_name") == row.s3_bucket_name)
+                     & (F.col("bucket_prefix") == row.bucket_prefix))
 
 
 def load(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT,
@@ -246,21 +237,36 @@ def load(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT,
     settle(spark, tables, spec)
     claims = cut_lineage(parts.claim(spark.table(tables.candidates), spark.table(tables.claims), **limits))
     tb.append_rows(claims, tables.claims)
+    # Plan, footers and read schemas of all claimed datasets at once; the loop only appends.
+    inventory, mine = spark.table(tables.inventory), claims.select(*inv.DATASET).distinct()
+    small = is_small(mine)
+    plan = cut_lineage(lookup(parts.load_plan(inventory, spark.table(tables.tags), spec), mine,
+                              inv.DATASET, "left_semi", small=small))
+    captured = cut_lineage(footers.capture_files(partition_files(inventory, plan, spec)))
+    catalog = lookup(spark.table(tables.catalog), mine, inv.DATASET, "left_semi", small=small)
+    found = drift.latest_readable_schemas(catalog, plan, spec, inv.DATASET)
     targets = parts.table_targets(spark.table(tables.mapping), spec.scheme)
+    work = (claims.join(targets, inv.DATASET, "inner")
+            .join(found.select(*inv.DATASET, "schema_json"), inv.DATASET, "left"))
     out = spark.createDataFrame([], schemas.load_status(spec))
     failed, returned = [], []
-    for row in claims.join(targets, inv.DATASET, "inner").toLocalIterator():
+    for row in work.toLocalIterator():
         key = (row.execution_id, row.s3_bucket_name, row.bucket_prefix)
+        part = _of(plan, row)
+        if part.isEmpty():
+            returned.append(key)
+            continue
         try:
-            status = _load_one(spark, tables, row, spec, replace_partitions)
+            if row.schema_json is None:
+                raise LookupError("no captured schema")
+            status = load_dataset(spark, part, inventory, drift.read_schema(row.schema_json, spec),
+                                  row.managed_table_name, row.root_path, spec, replace_partitions,
+                                  captured=_of(captured, row))
         except (*SPARK_ERRORS, LookupError, ValueError) as error:
             LOG.warning("could not load %s: %s", row.bucket_prefix, error)
             failed.append(key)
             returned.append(key)
             continue
-        if status is None:
-            returned.append(key)
-            continue
         tb.append_rows(status.withColumn("was", F.lit(None).cast("string")), tables.pending)
         out = out.unionByName(status)
     settle(spark, tables, spec)
@@ -279,7 +285,7 @@ def load(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT,
 def remediate_dataset(spark: SparkSession, failed: DataFrame, inventory: DataFrame,
                       base: T.StructType, table: str, root: str, spec: PartitionSpec = DEFAULT,
                       lenient: bool = False, fill_missing: bool = False,
-                      partitions_from: str = "path") -> DataFrame:
+                      partitions_from: str = "path", captured: DataFrame | None = None) -> DataFrame:
     """Casts failed partitions to the base schema and appends them; outcome per partition.
 
     Partitions are grouped by their captured schema, of which a dataset has few; each
@@ -287,7 +293,8 @@ def remediate_dataset(spark: SparkSession, failed: DataFrame, inventory: DataFra
     ``partitions_from="data"`` from the files where those hold them.
     """
     failed = cut_lineage(failed)
-    captured = footers.capture_files(partition_files(inventory, failed, spec))
+    if captured is None:
+        captured = footers.capture_files(partition_files(inventory, failed, spec))
     kinds = cut_lineage(captured.groupBy("partition_path").agg(
         F.bool_or("is_corrupted").alias("is_corrupted"),
         F.count_distinct("schema_json").alias("kinds"), F.min("schema_json").alias("schema_json")))
@@ -347,22 +354,25 @@ def remediate(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT
     settle(spark, tables, spec)
     failed = cut_lineage(parts.failed_partitions(spark.table(tables.inventory),
                                                  spark.table(tables.mapping), spec, bucket, datasets))
+    inventory, mine = spark.table(tables.inventory), failed.select(*inv.DATASET).distinct()
+    small = is_small(mine)
+    captured = cut_lineage(footers.capture_files(partition_files(inventory, failed, spec)))
+    loaded = lookup(parts.work_files(inventory, spec, F.col("load_status") == "loaded"), mine,
+                    inv.DATASET, "left_semi", small=small)
+    tracked = parts.blessed_partitions(parts.partition_rows(loaded, spec), spark.table(tables.tags), spec)
+    catalog = lookup(spark.table(tables.catalog), mine, inv.DATASET, "left_semi", small=small)
+    found = drift.latest_readable_schemas(catalog, tracked, spec, inv.DATASET)
     targets = parts.table_targets(spark.table(tables.mapping), spec.scheme)
+    # A dataset without a schema is skipped whole: it has no row here.
+    work = mine.join(targets, inv.DATASET, "inner").join(
+        found.select(*inv.DATASET, "schema_json"), inv.DATASET, "inner")
     log = spark.createDataFrame([], schemas.REMEDIATION_LOG)
-    for row in failed.select(*inv.DATASET).distinct().join(targets, inv.DATASET, "inner").toLocalIterator():
-        mine = (F.col("s3_bucket_name") == row.s3_bucket_name) & (F.col("bucket_prefix") == row.bucket_prefix)
-        inventory = spark.table(tables.inventory).filter(mine)
-        loaded = parts.work_files(inventory, spec, F.col("load_status") == "loaded")
-        tracked = parts.blessed_partitions(parts.partition_rows(loaded, spec),
-                                           spark.table(tables.tags), spec)
-        found = drift.latest_readable_schemas(spark.table(tables.catalog).filter(mine), tracked, spec,
-                                              inv.DATASET).first()
-        if found is None:  # a dataset without a schema is skipped whole
-            continue
+    for row in work.toLocalIterator():
         try:
-            outcome = remediate_dataset(spark, failed.filter(mine), inventory,
-                                        drift.read_schema(found.schema_json, spec),
-                                        row.managed_table_name, row.root_path, spec, **options)
+            outcome = remediate_dataset(spark, _of(failed, row), inventory,
+                                        drift.read_schema(row.schema_json, spec),
+                                        row.managed_table_name, row.root_path, spec,
+                                        captured=_of(captured, row), **options)
         except (*SPARK_ERRORS, ValueError) as error:
             LOG.warning("could not remediate %s: %s", row.bucket_prefix, error)
             continue

@@ -12,7 +12,7 @@ from lakeproof import schemas
 from lakeproof.functions.numeric import TOLERANCE_PCT
 from lakeproof.functions.types import describe_columns
 from lakeproof.operators import drift, inventory as inv, partitions as parts, recon
-from lakeproof.operators.lookup import is_small
+from lakeproof.operators.lookup import is_small, lookup
 from lakeproof.plans.state import Tables
 from lakeproof.session import SPARK_ERRORS, cut_lineage
 from lakeproof.sources import tables as tb
@@ -101,32 +101,50 @@ def _first_line(error: Exception) -> str:
     return (str(error).splitlines() or [type(error).__name__])[0]
 
 
-def source_side(spark: SparkSession, tables: Tables, bucket: str, prefix: str, dataset: str,
+def source_index(spark: SparkSession, tables: Tables, datasets: DataFrame,
+                 spec: PartitionSpec = DEFAULT) -> tuple[DataFrame, DataFrame]:
+    """For all given datasets at once: read schema per dataset, partition folders to read.
+
+    The schema is that of the latest loaded and tracked partition; the folders are those of
+    tracked partitions that were loaded or failed to load.
+    """
+    mine = cut_lineage(datasets.select(*inv.DATASET).distinct())
+    small = is_small(mine)
+
+    def only(df: DataFrame) -> DataFrame:
+        return lookup(df, mine, inv.DATASET, "left_semi", small=small)
+
+    def tracked(*status: str) -> DataFrame:
+        files = parts.work_files(only(spark.table(tables.inventory)), spec, F.col("load_status").isin(*status))
+        return parts.blessed_partitions(parts.partition_rows(above_floor(files, spec), spec),
+                                        spark.table(tables.tags), spec)
+
+    found = drift.latest_readable_schemas(only(spark.table(tables.catalog)), tracked("loaded"), spec,
+                                          inv.DATASET)
+    folders = tracked("loaded", "failed").select(*inv.DATASET, "partition_path", spec.run, spec.date)
+    return cut_lineage(found.select(*inv.DATASET, "schema_json")), cut_lineage(folders.distinct())
+
+
+def source_side(spark: SparkSession, index: tuple[DataFrame, DataFrame], bucket: str, prefix: str,
                 spec: PartitionSpec = DEFAULT) -> DataFrame | None:
-    """Source rows of a dataset under the schema of its latest loaded partition.
+    """Source rows of a dataset; None when no schema is known for it.
 
-    None when no loaded partition is tracked or no schema was captured for it.
+    Folders are named to the reader, so that no other is listed or opened; a dataset of very
+    many folders is read by its root and restricted by a semi join instead.
     """
     mine = (F.col("s3_bucket_name") == bucket) & (F.col("bucket_prefix") == prefix)
-    inventory, tags = spark.table(tables.inventory).filter(mine), spark.table(tables.tags)
-    loaded = parts.work_files(inventory, spec, F.col("load_status") == "loaded")
-    if spec.floor:
-        loaded = loaded.filter(F.col(spec.date) >= F.lit(spec.floor).cast("date"))
-    tracked = parts.blessed_partitions(parts.partition_rows(loaded, spec), tags, spec)
-    found = drift.latest_readable_schemas(spark.table(tables.catalog).filter(mine), tracked, spec,
-                                          inv.DATASET).first()
+    found = index[0].filter(mine).first()
     if found is None:
         return None
     root, schema = f"{spec.scheme}{bucket}/{prefix}", drift.read_schema(found.schema_json, spec)
-    # Name the folders of tracked partitions, so that no other is listed or opened.
-    listed = parts.work_files(inventory, spec, F.col("load_status").isin("loaded", "failed"))
-    wanted = cut_lineage(parts.blessed_partitions(parts.partition_rows(listed, spec), tags, spec)
-                         .select("partition_path").distinct())
-    if is_small(wanted, tb.BATCH):
-        paths = [r.partition_path for r in wanted.toLocalIterator()]
+    folders = index[1].filter(mine)
+    if is_small(folders, tb.BATCH):
+        paths = [r.partition_path for r in folders.select("partition_path").toLocalIterator()]
         return above_floor(tb.read_partitions(spark, root, paths, schema, lenient=True), spec)
-    data = tb.read_partitions(spark, root, schema=schema, lenient=True)
-    return parts.source_rows(data, tags, inventory, dataset, spec)
+    data = above_floor(tb.read_partitions(spark, root, schema=schema, lenient=True), spec)
+    keys = [spec.run, spec.date]
+    wanted = cut_lineage(folders.select(*keys).distinct())
+    return lookup(data, wanted, keys, "left_semi", small=is_small(wanted))
 
 
 def reconcile_all(spark: SparkSession, tables: Tables, bucket: str | None = None,
@@ -135,9 +153,12 @@ def reconcile_all(spark: SparkSession, tables: Tables, bucket: str | None = None
     """Checks every mapped table, stores results and verdicts; one failure stops no other."""
     work = parts.reconciliation_work(spark.table(tables.mapping), spark.table(tables.candidates),
                                      bucket, only, only_open)
+    index = source_index(spark, tables, work.select(
+        F.col("source_s3_bucket").alias("s3_bucket_name"),
+        F.col("source_bucket_prefix").alias("bucket_prefix")), spec)
     stored = spark.createDataFrame([], schemas.RECON_RESULTS)
     for row in work.toLocalIterator():
-        rows = _one_table(spark, tables, row, spec, options)
+        rows = _one_table(spark, index, row, spec, options)
         tb.append_rows(rows, tables.results)
         stored = stored.unionByName(rows)
     tb.replace_table(recon.merge_rollup(spark.table(tables.candidates), recon.rollup(stored)),
@@ -145,14 +166,14 @@ def reconcile_all(spark: SparkSession, tables: Tables, bucket: str | None = None
     return stored
 
 
-def _one_table(spark: SparkSession, tables: Tables, row: Row, spec: PartitionSpec,
-               options: dict) -> DataFrame:
+def _one_table(spark: SparkSession, index: tuple[DataFrame, DataFrame], row: Row,
+               spec: PartitionSpec, options: dict) -> DataFrame:
     table, run = row.target_table_name, row.execution_id
     if not row.source_s3_bucket or not row.source_bucket_prefix:
         return recon.error_result(spark, table, schemas.SOURCE_ERROR,
                                   "Missing bucket or prefix in mapping", run)
     try:
-        source = source_side(spark, tables, row.source_s3_bucket, row.source_bucket_prefix, table, spec)
+        source = source_side(spark, index, row.source_s3_bucket, row.source_bucket_prefix, spec)
         if source is None:
             return recon.error_result(spark, table, schemas.READ_ERROR,
                                       "Source data is not present", run)
