@@ -3,8 +3,9 @@ import pytest
 from compare import compare, duck
 
 import __spark_entry__ as entry
+from queries import catalogue
 
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = catalogue.QUERIES, catalogue.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -14,6 +15,7 @@ def con(sf):
 
 def test_all_have_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
