@@ -15,7 +15,7 @@ from lakeproof.session import fresh_folder
 # Rows of one output batch; bounds what a task holds when texts are long.
 SLICE = 256
 # Upper bound of a memo of words in one Python worker; it is emptied when full.
-MEMO = 800_000
+MEMO = 600_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

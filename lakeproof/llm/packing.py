@@ -35,6 +35,18 @@ from lakeproof.llm.bpe import pack_ids
 from lakeproof.llm.common import MEMO, SLICE, stored, texts, to_batch
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
+# Latin letters up to here have one code point each in normal form, but for the dotted capital I.
+LAST_PLAIN, DOTTED = "\u017f", "\u0130"
+
+
+def byte_letters() -> dict[int, str]:
+    """Byte-level BPE writes printable bytes as themselves, the others from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+BYTE_LETTERS = byte_letters()
 MARKS = (b".", b",", b"!", b"?", b":", b";")
 
 
@@ -48,6 +60,7 @@ class ChunkCodes:
     def __init__(self, tokenizer_file: bytes):
         self.tokenizer = Tokenizer.from_str(tokenizer_file.decode())
         self.tokenizer.encode_special_tokens = True
+        self.merges = self.tokenizer.model
         self.known: dict[bytes, bytes] = {}
         self._code(list(MARKS))
         self.marks = dict(self.known)
@@ -64,11 +77,20 @@ class ChunkCodes:
             self.known[chunk] = self.known[core] + self.marks[chunk[-1:]]
 
     def _code(self, chunks: list[bytes]) -> None:
-        for at in range(0, len(chunks), 4096):
-            part = chunks[at:at + 4096]
-            coded = self.tokenizer.encode_batch_fast([c.decode() for c in part],
-                                                     add_special_tokens=False)
-            self.known.update(zip(part, (pack_ids(e.ids) for e in coded), strict=True))
+        rest = []
+        for c in chunks:
+            word = c.decode()
+            # Letters composed already: one piece whatever its normal form and case, so the
+            # merges can be asked for directly.
+            if word.isalpha() and max(word) <= LAST_PLAIN and DOTTED not in word:
+                spelt = "".join(map(BYTE_LETTERS.__getitem__, word.lower().encode()))
+                self.known[c] = pack_ids([t.id for t in self.merges.tokenize(spelt)])
+            else:
+                rest.append((c, word))
+        for at in range(0, len(rest), 4096):
+            part = rest[at:at + 4096]
+            coded = self.tokenizer.encode_batch_fast([w for _, w in part], add_special_tokens=False)
+            self.known.update((c, pack_ids(e.ids)) for (c, _), e in zip(part, coded, strict=True))
 
     def encode(self, texts_: list[str]) -> list[bytes]:
         # The tokenizer lower-cases; doing so for A-Z beforehand changes nothing.
