@@ -3,10 +3,11 @@
 Base rules fail a text of fewer than 50 words, or one in which over half of the words lie in
 three-word windows that the text repeats. For the others an isolation forest gives the mean
 length of the path that isolates their statistics by random splits; short paths are
-anomalous. The forest is grown on a bounded sample of rows labelled good (``SAMPLE`` rows,
-``PER_TREE`` of them for each tree). The threshold looks at every labelled row, through a
-histogram of scores: it is the lowest at which at most ``CLEAN_LOSS`` of the good rows that
-pass the base rules would be rejected.
+anomalous. The forest is grown on a bounded sample of labelled rows that pass the base rules
+(``SAMPLE`` rows, ``PER_TREE`` of them for each tree), whatever their label: a statistic that
+is the same in all good texts could not be split on otherwise. The threshold looks at every
+labelled row, through a histogram of scores: it is the lowest at which at most ``CLEAN_LOSS``
+of the good rows that pass the base rules would be rejected.
 
 Defined results: null and empty texts have zero counts and fail the base rules; without
 labelled rows nothing but the base rules rejects; repeated rows are judged each by itself;
@@ -24,15 +25,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeproof.llm.common import stored
-from lakeproof.llm.text_stats import COUNTS, counts, features, statistics, vectorised
+from lakeproof.llm.text_stats import COUNTS, FEATURES, counts, features, statistics, vectorised
 
 SAMPLE = 20_000
 TREES, PER_TREE, SEED = 128, 256, 7
-CLEAN_LOSS = 0.002
+CLEAN_LOSS = 0.005
 BINS = 10_000
 MIN_WORDS, REPEAT_PERCENT = 50, 50
 # What the forest looks at, by place in FEATURES.
-RULES = (1, 2, 3, 4, 5, 6, 7, 8, 9)
+RULES = tuple(map(FEATURES.index, ("word_length", "symbols", "repeated", "upper", "distinct",
+                                   "top_word", "marks")))
 JUDGED = ("doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
           "n_repeat_words long, base_failed boolean, anomaly double, kept boolean")
 
@@ -114,9 +116,9 @@ def fit(stats: DataFrame, labels: DataFrame, sample: int = SAMPLE,
     """Forest and threshold from the statistics of labelled rows (``doc_id, quality``)."""
     labelled = stats.join(labels.where("quality is not null").groupBy("doc_id")
                           .agg(F.min("quality").alias("quality")), "doc_id")
-    good = labelled.where(f"quality = 1 and n_words >= {MIN_WORDS} and "
-                          f"100 * n_repeat_words <= {REPEAT_PERCENT} * n_words")
-    rows = good.orderBy(F.xxhash64("doc_id"), "doc_id", *COUNTS).limit(sample).select(*COUNTS).toPandas()
+    passing = labelled.where(f"n_words >= {MIN_WORDS} and 100 * n_repeat_words <= {REPEAT_PERCENT} * n_words")
+    good = passing.where("quality = 1")
+    rows = passing.orderBy(F.xxhash64("doc_id"), "doc_id", *COUNTS).limit(sample).select(*COUNTS).toPandas()
     if not len(rows):
         return Rules(None, math.inf)
     trial = Rules(Forest(features(rows.to_numpy())[:, RULES]), math.inf)
