@@ -17,7 +17,7 @@ indexed shingle or a frequent one, and then both sets have their pairs indexed.
 
 Within the index entry of a signature, candidates are tested by the size of the sets and by
 the parity bitmaps of 1024 bits, whose differing bits never outnumber the differing
-shingles. Two rounds avoid all pairs of a group: the first takes a spanning forest of the
+shingles; larger sets are tested again with larger bitmaps before whole sets are compared. Two rounds avoid all pairs of a group: the first takes a spanning forest of the
 candidates of each entry, verifies it on whole sets and contracts the components found; the
 second verifies the candidates that remain between different components. Entries of more
 than ``BLOCK`` sets are cut into blocks that meet in separate tasks. No link is lost and
@@ -46,14 +46,14 @@ from pyspark.sql.types import StructType
 from lakeproof.llm.common import Memo, by_rows, stored, texts
 from lakeproof.llm.components import components
 
-FREQUENT = 256      # sets sharing a shingle, from which on it counts as frequent
+FREQUENT = 64       # sets sharing a shingle, from which on it counts as frequent
 BLOCK = 2048        # sets of one index entry that meet in one task
 SMALL = 500_000     # rows of a lookup side that may be broadcast after counting them
 WORDS = 16          # 64-bit words of a bitmap
 
 U = np.uint64
 PREPARED = ("row long, doc_id long, text_hash long, n long, print binary, head array<long>, "
-            "bits binary")
+            "bits binary, wide binary")
 SETS = "row long, print binary, shingles array<long>"
 
 
@@ -63,7 +63,7 @@ def word_code(word: bytes) -> int:
 
 @functools.cache
 def word_codes() -> Memo:
-    return Memo(word_code)
+    return Memo(word_code, 100_000)     # cheap to compute again
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -86,13 +86,25 @@ def shingles(text: str | None, width: int) -> np.ndarray:
     return np.unique(hashed.view(np.int64))
 
 
-def bitmap(tokens: np.ndarray) -> bytes:
-    """Parity of the number of tokens in each of 1024 places."""
-    place = mixed(tokens.view(U) + U(1)) & U(64 * WORDS - 1)
-    odd = (np.bincount(place.astype(np.int64), minlength=64 * WORDS) & 1).astype(np.uint8)
+def bitmap(tokens: np.ndarray, places: int = 64 * WORDS) -> bytes:
+    """Parity of the number of tokens in each of so many places, a power of two."""
+    place = mixed(tokens.view(U) + U(1)) & U(places - 1)
+    odd = (np.bincount(place.astype(np.int64), minlength=places) & 1).astype(np.uint8)
     return np.packbits(odd, bitorder="little").tobytes()
 
 
+def wide_bitmap(tokens: np.ndarray) -> bytes | None:
+    """A bitmap of twice as many places as tokens, where the common size is less than that."""
+    places = 1 << (2 * len(tokens) - 1).bit_length()
+    return bitmap(tokens, places) if places > 64 * WORDS else None
+
+
+def apart(x: bytes, y: bytes) -> int:
+    """Differing bits of two bitmaps; the larger is folded to the size of the smaller."""
+    a, b = sorted((np.frombuffer(x, U), np.frombuffer(y, U)), key=len)
+    return int(np.bitwise_count(a ^ np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)).sum())
+
+
 def prepare(df: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """``PREPARED``: size, fingerprint, extended prefix and bitmap of each set."""
     def start() -> Callable[..., tuple]:
@@ -100,11 +112,11 @@ def prepare(df: DataFrame, width: int, num: int, den: int) -> DataFrame:
             tokens = shingles(text, width)
             n = len(tokens)
             if not n:
-                return row, doc, text_hash, 0, None, [], None
+                return row, doc, text_hash, 0, None, [], None, None
             differ = n * (den - num) // num
             # Without room for a difference only equal sets link, and those are one class.
             head = tokens[:2 * differ + 2] if differ else tokens[:0]
-            return (row, doc, text_hash, n, set_print(tokens), head, bitmap(tokens))
+            return (row, doc, text_hash, n, set_print(tokens), head, bitmap(tokens), wide_bitmap(tokens))
         return one
     return by_rows(df, PREPARED, start)
 
@@ -265,9 +277,29 @@ def near_duos(duos: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     return both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, schema)
 
 
+def near_wide(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs that also pass the test with bitmaps that grow with the sets."""
+    def side(name: str) -> DataFrame:
+        return sets.select(F.col("row").alias(name), F.col("n").alias(f"n_{name}"), F.col("bits").alias(f"bits_{name}"),
+                           F.col("wide").alias(f"wide_{name}"))
+    schema = StructType.fromDDL("a long, b long")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            most = (total + 2 * (-num * total // (num + den))).tolist()
+            near = [apart(x.as_py(), y.as_py()) <= m for x, y, m in
+                    zip(batch.column("x"), batch.column("y"), most, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return both.select("a", "b", "n_a", "n_b", F.coalesce("wide_a", "bits_a").alias("x"),
+                       F.coalesce("wide_b", "bits_b").alias("y")).mapInArrow(run, schema)
+
+
 def verified(pairs: DataFrame, sets: DataFrame, source: DataFrame, width: int, num: int,
              den: int) -> DataFrame:
     """The pairs whose whole sets reach the similarity."""
+    pairs = stored(near_wide(pairs, sets, num, den), "near")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
     wanted = stored(ids.join(sets.select("row", "doc_id", "text_hash", "print"), "row"), "wanted")
     named = lookup(wanted.select("row", F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), "print"))
