@@ -21,13 +21,13 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that the quality classifier accepts."""
     stats = stored(statistics(docs), "quality")
     model = quality_classifier.fit(stats, table(spark, sf_dir, "labels"))
-    return docs.where(quality_classifier.accepted(model, F.col("text"))).select(*COLUMNS)
+    return quality_classifier.accept(docs.select(*COLUMNS), model)
 
 
 def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents that the quality rules keep."""
     rules = quality_rules.fit(stored(statistics(docs), "rules"), table(spark, sf_dir, "labels"))
-    return docs.where(quality_rules.kept(rules, F.col("text"))).select(*COLUMNS)
+    return quality_rules.keep(docs.select(*COLUMNS), rules)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,8 +14,8 @@ from lakeproof.session import fresh_folder
 
 # Rows of one output batch; bounds what a task holds when texts are long.
 SLICE = 256
-# Upper bound of a memo of words in one Python worker; it is emptied when full.
-MEMO = 600_000
+# Words in each generation of a memo in one Python worker.
+MEMO = 250_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,20 @@ def by_rows(df: DataFrame, schema: str | StructType,
     return df.mapInArrow(run, schema)
 
 
+def keep_where(df: DataFrame, text_col: str,
+               decide: Callable[[list[str | None]], list[bool]]) -> DataFrame:
+    """Rows of ``df``, all columns, whose text is decided to stay; a few texts at a time."""
+    at_text, schema = df.columns.index(text_col), df.schema
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                mask = decide(part.column(at_text).to_pylist())
+                yield part.filter(pa.array(mask, pa.bool_()))
+    return df.mapInArrow(run, schema)
+
+
 def to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) if rows else [()] * len(schema)
     return pa.RecordBatch.from_arrays(
@@ -66,16 +80,24 @@ def to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 class Memo(dict):
-    """A bounded cache of a pure function of one value."""
+    """A bounded cache of a pure function of one text; long ones are not kept.
+
+    Two generations: when the young one is full it becomes the old one, and what is asked for
+    again moves up, so frequent texts stay.
+    """
 
-    def __init__(self, fn: Callable, limit: int = MEMO):
+    def __init__(self, fn: Callable, limit: int = MEMO, longest: int = 64):
         super().__init__()
-        self.fn, self.limit = fn, limit
+        self.fn, self.limit, self.longest, self.old = fn, limit, longest, {}
 
     def __missing__(self, key):
+        if len(key) > self.longest:
+            return self.fn(key)
+        value = self.old[key] if key in self.old else self.fn(key)
         if len(self) >= self.limit:
+            self.old = dict(self)
             self.clear()
-        value = self[key] = self.fn(key)
+        self[key] = value
         return value
 
 

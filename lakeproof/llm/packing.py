@@ -21,6 +21,7 @@ empty.
 from __future__ import annotations
 
 import functools
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -32,11 +33,13 @@ from pyspark.sql.types import StructType
 from tokenizers import Tokenizer
 
 from lakeproof.llm.bpe import pack_ids
-from lakeproof.llm.common import MEMO, SLICE, stored, texts, to_batch
+from lakeproof.llm.common import SLICE, Memo, stored, texts, to_batch
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
-# Latin letters up to here have one code point each in normal form, but for the dotted capital I.
-LAST_PLAIN, DOTTED = "\u017f", "\u0130"
+MARKS = (b".", b",", b"!", b"?", b":", b";")
+# The pieces of a chunk of composed Latin letters, ASCII digits and marks. Without an
+# apostrophe the tokenizer splits it in just these.
+PLAIN = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+|[0-9]|[!-&(-/:-@\\[-`{-~]+")
 
 
 def byte_letters() -> dict[int, str]:
@@ -47,7 +50,6 @@ def byte_letters() -> dict[int, str]:
 
 
 BYTE_LETTERS = byte_letters()
-MARKS = (b".", b",", b"!", b"?", b":", b";")
 
 
 class ChunkCodes:
@@ -61,43 +63,28 @@ class ChunkCodes:
         self.tokenizer = Tokenizer.from_str(tokenizer_file.decode())
         self.tokenizer.encode_special_tokens = True
         self.merges = self.tokenizer.model
-        self.known: dict[bytes, bytes] = {}
-        self._code(list(MARKS))
-        self.marks = dict(self.known)
-
-    def learn(self, chunks: set[bytes]) -> None:
-        missing = chunks - self.known.keys()
-        if len(self.known) + len(missing) > MEMO:
-            self.known, missing = {}, chunks
-        # A mark behind an ASCII letter or digit is a piece of its own.
-        cores = {c: c[:-1] for c in missing if c[-1:] in MARKS and c[-2:-1].isalnum()}
-        self._code([c for c in missing if c not in cores])
-        self._code([c for c in set(cores.values()) if c not in self.known])
-        for chunk, core in cores.items():
-            self.known[chunk] = self.known[core] + self.marks[chunk[-1:]]
-
-    def _code(self, chunks: list[bytes]) -> None:
-        rest = []
-        for c in chunks:
-            word = c.decode()
-            # Letters composed already: one piece whatever its normal form and case, so the
-            # merges can be asked for directly.
-            if word.isalpha() and max(word) <= LAST_PLAIN and DOTTED not in word:
-                spelt = "".join(map(BYTE_LETTERS.__getitem__, word.lower().encode()))
-                self.known[c] = pack_ids([t.id for t in self.merges.tokenize(spelt)])
-            else:
-                rest.append((c, word))
-        for at in range(0, len(rest), 4096):
-            part = rest[at:at + 4096]
-            coded = self.tokenizer.encode_batch_fast([w for _, w in part], add_special_tokens=False)
-            self.known.update((c, pack_ids(e.ids)) for (c, _), e in zip(part, coded, strict=True))
-
-    def encode(self, texts_: list[str]) -> list[bytes]:
-        # The tokenizer lower-cases; doing so for A-Z beforehand changes nothing.
-        split = [(t or "").encode().lower().split() for t in texts_]
-        self.learn({c for chunks in split for c in chunks})
-        known = self.known
-        return [b"".join([known[c] for c in chunks]) for chunks in split]
+        self.known = Memo(self._code, 300_000)
+
+    def _code(self, chunk: bytes) -> bytes:
+        word = chunk.decode()
+        if chunk.isalpha():     # ASCII letters, lower-cased before
+            return pack_ids([t.id for t in self.merges.tokenize(word)])
+        if chunk[-1:] in MARKS and chunk[:-1].isalpha():
+            return self.known[chunk[:-1]] + self.known[chunk[-1:]]
+        pieces = PLAIN.findall(word)
+        if "".join(pieces) != word:
+            return pack_ids(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        if len(pieces) > 1:
+            return b"".join([self.known[p.encode()] for p in pieces])
+        if not word.isalpha():
+            return pack_ids(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        # One piece whatever its normal form and case: the merges can be asked for directly.
+        spelt = "".join(map(BYTE_LETTERS.__getitem__, word.lower().encode()))
+        return pack_ids([t.id for t in self.merges.tokenize(spelt)])
+
+    def encode(self, text: str | None) -> bytes:
+        """Packed ids; the tokenizer lower-cases, doing so for A-Z beforehand changes nothing."""
+        return b"".join(map(self.known.__getitem__, (text or "").encode().lower().split()))
 
 
 @functools.lru_cache(maxsize=2)
@@ -119,8 +106,8 @@ def tokenised_pieces(df: DataFrame, tokenizer_file: bytes, capacity: int, end_id
             for at in range(0, batch.num_rows, SLICE):
                 docs, bodies = (c.to_pylist() for c in batch.slice(at, SLICE).columns)
                 rows = []
-                for doc, body in zip(docs, codes.encode(bodies), strict=True):
-                    ids = body + end
+                for doc, body in zip(docs, bodies, strict=True):
+                    ids = codes.encode(body) + end
                     rows += [(doc, i, o // 4, min(step, len(ids) - o) // 4, ids[o:o + step])
                              for i, o in enumerate(range(0, len(ids), step))]
                 yield to_batch(rows, arrow)

@@ -20,12 +20,11 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeproof.llm.common import stored
-from lakeproof.llm.text_stats import COUNTS, FEATURES, counts, features, statistics, vectorised
+from lakeproof.llm.common import keep_where, stored
+from lakeproof.llm.text_stats import COUNTS, FEATURES, count_table, features, statistics, vectorised
 
 SAMPLE = 20_000
 TREES, PER_TREE, SEED = 128, 256, 7
@@ -149,10 +148,6 @@ def quality_rules(df: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     return judge_statistics(stats, fit(stats, labels))
 
 
-def kept(rules: Rules, text: Column) -> Column:
-    """Whether the rules keep a text; for use as a filter."""
-    @F.pandas_udf("boolean")
-    def verdict(column: pd.Series) -> pd.Series:
-        table = np.array([counts(t) for t in column], dtype=np.int64).reshape(-1, len(COUNTS))
-        return pd.Series(rules.judge(table)[2])
-    return verdict(text)
+def keep(df: DataFrame, rules: Rules, text_col: str = "text") -> DataFrame:
+    """Rows of ``df`` whose text the rules keep."""
+    return keep_where(df, text_col, lambda part: rules.judge(count_table(part))[2].tolist())

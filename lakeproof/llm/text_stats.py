@@ -61,6 +61,11 @@ def counts(text: str | None) -> tuple[int, ...]:
             text.count("!") + text.count("?"), 0 if ascii_only else len(raw) - len(text))
 
 
+def count_table(some: list[str | None]) -> np.ndarray:
+    """Counts of several texts, a row for each."""
+    return np.array([counts(t) for t in some], dtype=np.int64).reshape(-1, len(COUNTS))
+
+
 def statistics(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id`` and ``COUNTS`` of each whole text."""
     return by_rows(texts(df, id_col, text_col), STATS, lambda: lambda doc, text: (doc, *counts(text)))

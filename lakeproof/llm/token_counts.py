@@ -68,7 +68,7 @@ class Counter:
         score = 0.0
         memo = self.memo
         for word in self.words.findall(text):
-            a, b, c = memo[word] if len(word) <= 64 else self._path(word)
+            a, b, c = memo[word]
             pieces, unknown, score = pieces + a, unknown + b, score + c
         return pieces, unknown, score
 
