@@ -53,7 +53,7 @@ def partition_value(key: Column | str, name: str, lower: bool = False) -> Column
     key = _as_column(key)
     if lower:
         key = F.lower(key)
-    return F.nullif(F.regexp_extract(key, f"(?i){name}=([^/]+)", 1), F.lit(""))
+    return F.nullif(F.regexp_extract(key, rf"(?i)(?:^|/)\Q{name}\E=([^/]+)", 1), F.lit(""))
 
 
 def partition_date(key: Column | str, name: str) -> Column:
@@ -147,8 +147,9 @@ def object_url(bucket: Column | str, prefix: Column | str, key: Column | str,
 def hive_layout(path: Column | str, spec: PartitionSpec = DEFAULT) -> Column:
     """Both partition folders in order, and the date folder only once."""
     path = _as_column(path)
-    ordered = F.rlike(path, F.lit(f"/{spec.run}=[^/]+/{spec.date}=[^/]+/"))
-    repeated = F.rlike(path, F.lit(f"{spec.date}=[^/]+/.*{spec.date}="))
+    run, date = rf"\Q{spec.run}\E", rf"\Q{spec.date}\E"
+    ordered = F.rlike(path, F.lit(f"/{run}=[^/]+/{date}=[^/]+/"))
+    repeated = F.rlike(path, F.lit(f"/{date}=[^/]+/(?:.*/)?{date}="))
     return ordered & ~repeated
 
 

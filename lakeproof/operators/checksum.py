@@ -81,8 +81,7 @@ def compare_checksums(source: DataFrame, target: DataFrame, exclude: list[str],
 def sample_candidates(same: DataFrame, key: str = "rel_key", size: str = "size") -> DataFrame:
     """Non-empty objects with a file type, the population of the checksum sample."""
     typed = same.withColumn("file_type", paths.file_type(key))
-    return typed.filter(F.col("file_type").isNotNull()
-                        & (F.col("file_type") != "validate_storage_marker") & (F.col(size) > 0))
+    return typed.filter(F.col("file_type").isNotNull() & (F.col(size) > 0))
 
 
 def normal_type_name(file_type: Column) -> Column:

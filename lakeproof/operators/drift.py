@@ -46,10 +46,13 @@ def _baseline(groups: DataFrame, by: list[str], order: str) -> DataFrame:
                     F.col("base.partition_structure").alias("baseline_structure")))
 
 
-def drift_verdict(catalog: DataFrame, by: list[str] = RUN, order: str = "path") -> DataFrame:
+def drift_verdict(catalog: DataFrame, by: list[str] = RUN, order: str = "path",
+                  mixed: DataFrame | None = None) -> DataFrame:
     """Counts, consistency flags, candidate flag and JSON summary per dataset.
 
-    A dataset whose partitions are all corrupted gets the verdict false.
+    A dataset whose partitions are all corrupted gets the verdict false.  ``mixed`` names the
+    datasets (``by``) that have a partition with files of several schemas: these are not
+    consistent, though the catalog has one schema for each partition.
     """
     groups = schema_groups(catalog, by, order)
     joined = groups.join(_baseline(groups, by, order), by, "left")
@@ -64,10 +67,13 @@ def drift_verdict(catalog: DataFrame, by: list[str] = RUN, order: str = "path")
         files(good & (F.col("schema_json") == F.col("baseline_schema"))).alias("same_schema"),
         files(good & (F.col("partition_structure") == F.col("baseline_structure")))
         .alias("same_structure"))
-    total = F.col("total_non_corrupted_files")
+    total, whole = F.col("total_non_corrupted_files"), F.lit(True)
+    if mixed is not None:
+        counts = counts.join(mixed.select(*by).distinct().withColumn("__mixed", F.lit(True)), by, "left")
+        whole = F.col("__mixed").isNull()
     flags = counts.select(
         *by, total, "corrupted_files",
-        (F.col("same_schema") == total).alias("schema_consistent"),
+        ((F.col("same_schema") == total) & whole).alias("schema_consistent"),
         (F.col("same_structure") == total).alias("partition_consistent"))
     fields = ["total_non_corrupted_files", "corrupted_files", "schema_consistent",
               "partition_consistent"]

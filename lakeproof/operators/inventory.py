@@ -38,7 +38,8 @@ def newer_files(listing: DataFrame, inventory: DataFrame, by: list[str] = DATASE
 def mapped_only(listing: DataFrame, mapping: DataFrame, by: list[str] = DATASET,
                 salt: int = SALT) -> DataFrame:
     """Rows of mapped datasets only."""
-    return lookup(listing, mapping.select(*by).distinct(), by, "left_semi", salt)
+    mapped = cut_lineage(mapping.select(*by).distinct())
+    return lookup(listing, mapped, by, "left_semi", salt, is_small(mapped))
 
 
 def parse_keys(listing: DataFrame, spec: PartitionSpec = DEFAULT, lower: bool = False) -> DataFrame:
@@ -54,9 +55,11 @@ def parse_keys(listing: DataFrame, spec: PartitionSpec = DEFAULT, lower: bool =
 
 
 def new_inventory(listing: DataFrame, inventory: DataFrame, mapping: DataFrame,
-                  execution_id: str, spec: PartitionSpec = DEFAULT) -> DataFrame:
+                  execution_id: str, spec: PartitionSpec = DEFAULT, late: bool = False) -> DataFrame:
     """Inventory rows to append for one listing, all datasets in one plan."""
-    fresh = newer_files(listing, inventory)
+    if late and "key" not in listing.columns:
+        listing = listing.withColumn("key", paths.object_key("path", "s3_bucket_name", spec.scheme))
+    fresh = newer_files(listing, inventory, late=late)
     parsed = parse_keys(mapped_only(fresh, mapping), spec)
     return parsed.select(
         F.lit(execution_id).alias("execution_id"), *DATASET, "key", "extension", "size",

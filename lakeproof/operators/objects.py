@@ -6,12 +6,25 @@ from pyspark.sql import functions as F
 
 from lakeproof import schemas
 from lakeproof.functions import paths
-from lakeproof.operators.lookup import SALT, lookup
+from lakeproof.operators.lookup import SALT, is_small, lookup
+from lakeproof.session import cut_lineage
 
 KEY = ["s3_batch_copy_id", "rel_key"]
+# Which folder is compared with which; a batch may map several.
+PAIR = ["src_bucket_name", "src_prefix", "dest_bucket_name", "dest_prefix"]
 ATTRIBUTES = ["modified", "size", "etag", "bucket", "prefix"]
 
 
+def keys(objects: DataFrame) -> list[str]:
+    """What names an object: batch, mapped pair of folders (where known) and relative key."""
+    return [*KEY, *(["pair"] if "pair" in objects.columns else [])]
+
+
+def pair_id() -> Column:
+    """One text for a mapped pair of folders."""
+    return F.to_json(F.array(*[F.coalesce(F.col(c), F.lit("")) for c in PAIR]))
+
+
 def enabled_mappings(mapping: DataFrame, batch: str | None = None) -> DataFrame:
     rows = mapping.filter(F.col("enabled"))
     return rows if batch is None else rows.filter(F.col("s3_batch_copy_id") == batch)
@@ -22,7 +35,8 @@ def mapping_side(mapping: DataFrame, side: str) -> DataFrame:
     location = F.col(f"{side}_inventory_s3_location")
     bucket, name = F.col(f"{side}_bucket_name"), F.col(f"{side}_inventory_name")
     return mapping.select(
-        "s3_batch_copy_id", bucket.alias("bucket_name"), F.col(f"{side}_prefix").alias("prefix"),
+        "s3_batch_copy_id", pair_id().alias("pair"), bucket.alias("bucket_name"),
+        F.col(f"{side}_prefix").alias("prefix"),
         name.alias("inventory_name"), location.alias("inventory_s3_location"),
         paths.manifest_root(location, bucket, name).alias("manifest_path"))
 
@@ -32,13 +46,13 @@ def side_objects(details: DataFrame, mapping: DataFrame, side: str, salt: int =
 
     Sizes and times of the report are text; they are compared as numbers and times.
     """
-    where = mapping_side(mapping, side).select(
-        "s3_batch_copy_id", F.col("bucket_name").alias("Bucket"), "prefix",
-        "inventory_s3_location").distinct()
+    where = cut_lineage(mapping_side(mapping, side).select(
+        "s3_batch_copy_id", "pair", F.col("bucket_name").alias("Bucket"), "prefix",
+        "inventory_s3_location").distinct())
     rows = lookup(details.filter(F.col("processed") == "false"), where,
-                  ["Bucket", "prefix", "inventory_s3_location"], "inner", salt)
+                  ["Bucket", "prefix", "inventory_s3_location"], "inner", salt, is_small(where))
     return rows.select(
-        "s3_batch_copy_id", F.col("Bucket").alias("bucket"), "prefix",
+        "s3_batch_copy_id", "pair", F.col("Bucket").alias("bucket"), "prefix",
         paths.strip_root(F.col("Key"), F.col("prefix")).alias("rel_key"),
         F.col("Size").try_cast("bigint").alias("size"),
         F.col("LastModifiedDate").try_cast("timestamp").alias("modified"),
@@ -52,8 +66,9 @@ def current_objects(objects: DataFrame) -> DataFrame:
     the comparison below joins one row to one row.
     """
     newest = F.max(F.struct(*ATTRIBUTES)).alias("o")
-    return (objects.groupBy(*KEY).agg(newest, F.count(F.lit(1)).alias("copies"))
-            .select(*KEY, *[F.col(f"o.{c}").alias(c) for c in ATTRIBUTES], "copies"))
+    key = keys(objects)
+    return (objects.groupBy(*key).agg(newest, F.count(F.lit(1)).alias("copies"))
+            .select(*key, *[F.col(f"o.{c}").alias(c) for c in ATTRIBUTES], "copies"))
 
 
 def classify(source: DataFrame, target: DataFrame, compare: str = "time") -> DataFrame:
@@ -63,11 +78,13 @@ def classify(source: DataFrame, target: DataFrame, compare: str = "time") -> Dat
     class comes from ``with_checksums``).  ``compare="etag"`` is the older rule: size and
     ETag, folder markers kept, objects of the destination alone not reported.
     """
+    key = keys(source)
+
     def side(df: DataFrame, tag: str) -> DataFrame:
         return current_objects(df).select(
-            *KEY, *[F.col(c).alias(f"{tag}_{c}") for c in [*ATTRIBUTES, "copies"]])
+            *key, *[F.col(c).alias(f"{tag}_{c}") for c in [*ATTRIBUTES, "copies"]])
 
-    pair = side(source, "src").join(side(target, "dest"), KEY, "full_outer")
+    pair = side(source, "src").join(side(target, "dest"), key, "full_outer")
     no_src, no_dest = F.col("src_copies").isNull(), F.col("dest_copies").isNull()
     same_size = F.col("src_size") == F.col("dest_size")
     if compare == "etag":
@@ -91,11 +108,20 @@ def with_checksums(classified: DataFrame, mismatched: DataFrame, small: bool = F
 
     ``small``: the list of such keys was checked to fit a broadcast.
     """
-    bad = mismatched.select(*KEY).distinct().withColumn("__bad", F.lit(True))
-    joined = lookup(classified, bad, KEY, "left", 1, small)
+    return _restated(classified, mismatched, schemas.OTHER_CHECKSUM, small)
+
+
+def with_unread(classified: DataFrame, unread: DataFrame, small: bool = False) -> DataFrame:
+    """Turns SAME into UNKNOWN for keys whose content was to be compared and could not be read."""
+    return _restated(classified, unread, schemas.UNKNOWN, small)
+
+
+def _restated(classified: DataFrame, listed: DataFrame, status: str, small: bool) -> DataFrame:
+    key = keys(classified)
+    bad = listed.select(*key).distinct().withColumn("__bad", F.lit(True))
+    joined = lookup(classified, bad, key, "left", 1, small)
     wrong = F.col("__bad") & (F.col("status") == schemas.SAME)
-    status = F.when(wrong, F.lit(schemas.OTHER_CHECKSUM)).otherwise(F.col("status"))
-    return joined.withColumn("status", status).drop("__bad")
+    return joined.withColumn("status", F.when(wrong, F.lit(status)).otherwise(F.col("status"))).drop("__bad")
 
 
 def differences(classified: DataFrame) -> DataFrame:
@@ -114,12 +140,14 @@ def diff_rows(found: DataFrame, mapping: DataFrame, run: str, salt: int = SALT)
     Buckets and prefixes of both sides come from the mapping the row belongs to, so rows
     that exist on one side only keep theirs.
     """
-    sides = mapping.select("s3_batch_copy_id", *[
-        F.col(c).alias(f"map_{c}") for c in ("src_bucket_name", "src_prefix",
-                                             "dest_bucket_name", "dest_prefix")]).distinct()
-    # One batch may map several folders: the side that has the object names its mapping.
-    rows = lookup(found, sides, ["s3_batch_copy_id"], "inner", salt)
-    mine = (F.coalesce(F.col("src_bucket") == F.col("map_src_bucket_name"), F.lit(True))
+    sides = cut_lineage(mapping.select("s3_batch_copy_id", pair_id().alias("pair"), *[
+        F.col(c).alias(f"map_{c}") for c in PAIR]).distinct())
+    known = "pair" in found.columns
+    on = ["s3_batch_copy_id", *(["pair"] if known else [])]
+    rows = lookup(found, sides if known else sides.drop("pair"), on, "inner", salt, is_small(sides))
+    # Without a pair the side that has the object names its mapping.
+    mine = F.lit(True) if known else (
+            F.coalesce(F.col("src_bucket") == F.col("map_src_bucket_name"), F.lit(True))
             & F.coalesce(F.col("src_prefix") == F.col("map_src_prefix"), F.lit(True))
             & F.coalesce(F.col("dest_bucket") == F.col("map_dest_bucket_name"), F.lit(True))
             & F.coalesce(F.col("dest_prefix") == F.col("map_dest_prefix"), F.lit(True)))
@@ -175,8 +203,8 @@ def current_differences(mapping: DataFrame, diffs: DataFrame, batch: str | None
                         status: str | None = None, salt: int = SALT) -> DataFrame:
     """Stored differences of the current run of enabled mappings, one status if given."""
     rows = diffs if status is None else diffs.filter(F.col("status") == status)
-    runs = enabled_mappings(mapping, batch).select("s3_batch_copy_id", "runId").distinct()
-    return lookup(rows, runs, ["s3_batch_copy_id", "runId"], "left_semi", salt)
+    runs = cut_lineage(enabled_mappings(mapping, batch).select("s3_batch_copy_id", "runId").distinct())
+    return lookup(rows, runs, ["s3_batch_copy_id", "runId"], "left_semi", salt, is_small(runs))
 
 
 def sync_plan(missing: DataFrame, scheme: str = "s3://") -> DataFrame:

@@ -11,6 +11,8 @@ from lakeproof.operators.lookup import BROADCAST_ROWS, SALT, is_small, lookup
 from lakeproof.session import cut_lineage
 from lakeproof.spec import DEFAULT, PartitionSpec
 
+NAMED = 64  # partitions named as literals in one filter
+
 
 def work_files(inventory: DataFrame, spec: PartitionSpec = DEFAULT,
                status: Column | None = None) -> DataFrame:
@@ -97,11 +99,13 @@ def latest_partitions(df: DataFrame, columns: list[str], n: int = 1,
 
 def restrict(df: DataFrame, partitions: DataFrame, columns: list[str],
              at_most: int | None = None) -> DataFrame:
-    """Rows of the given partitions (null-safe), by semi join.
+    """Rows of the given partitions (null-safe).
 
-    ``at_most`` is a bound on the number of partitions the caller can prove (a limit); within
-    the broadcast bound the rows are then filtered where they lie.
+    ``at_most`` is a bound on the number of partitions the caller can prove (a limit); a few
+    are then named as literals, which prune the scan.  Others are a semi join.
     """
+    if at_most is not None and at_most <= NAMED:
+        return restrict_to_values(df, partitions.select(*columns).distinct().collect(), columns)
     keys = partitions.select(*[F.col(c).alias(f"__{c}") for c in columns])
     if at_most is not None and at_most <= BROADCAST_ROWS:
         keys = F.broadcast(keys)
@@ -185,8 +189,13 @@ def reconciliation_work(mapping: DataFrame, candidates: DataFrame, bucket: str |
         made = made.filter(F.col("table_name").isin(*tables))
     if only_open:
         made = made.filter(F.col("recon_job_run").isNull())
-    made = made.select(F.col("table_name").alias("dataset_name"), "execution_id").distinct()
-    return mapping.join(made, ["dataset_name"], "inner").select(
+    made = made.select("execution_id", F.col("table_name").alias("__name"), F.col("s3_bucket_name").alias("__bucket"),
+                       F.col("bucket_prefix").alias("__prefix")).distinct()
+    # A name may stand for sources in two buckets; what one side does not state decides nothing.
+    same = ((F.col("dataset_name") == F.col("__name"))
+            & F.coalesce(F.col("s3_bucket_name") == F.col("__bucket"), F.lit(True))
+            & F.coalesce(F.col("bucket_prefix") == F.col("__prefix"), F.lit(True)))
+    return mapping.join(made, same, "inner").select(
         "execution_id", F.col("dbx_catalog").alias("target_catalog_name"),
         F.col("dbx_managed_table_schema").alias("target_schema_name"),
         F.col("dataset_name").alias("target_table_name"),

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from functools import reduce
 from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -34,15 +35,27 @@ WIDENS = {("tinyint", "smallint"), ("tinyint", "int"), ("tinyint", "bigint"), ("
 # --- inventory ---------------------------------------------------------------------
 
 def take_inventory(spark: SparkSession, tables: Tables, execution_id: str,
-                   mapping_csv: str | None = None, spec: PartitionSpec = DEFAULT) -> None:
-    """Adds new mappings and new files, then refreshes the candidates of their datasets."""
+                   mapping_csv: str | None = None, spec: PartitionSpec = DEFAULT,
+                   late: bool = False) -> DataFrame:
+    """Adds new mappings and new files, then refreshes the candidates of their datasets.
+
+    Nothing is stored of a dataset with a folder that could not be listed, so its mark stays
+    where it was and the next run finds its files.  Returns those datasets with the errors.
+    ``late`` also takes files of the very time of the mark that are not stored yet.
+    """
     if mapping_csv is not None:
         incoming = tb.read_mapping(spark, mapping_csv)
         tb.replace_table(inv.add_mappings(spark.table(tables.mapping), incoming), tables.mapping)
     mapping, stored = spark.table(tables.mapping), spark.table(tables.inventory)
-    found = listing.list_files(listing.dataset_roots(mapping, spec.scheme))
     # The listing is fixed before anything is stored: storage may change under a retry.
-    rows = cut_lineage(inv.new_inventory(found, stored, mapping, execution_id, spec))
+    found = cut_lineage(listing.list_files(listing.dataset_roots(mapping, spec.scheme), errors="report"))
+    unlisted = cut_lineage(found.filter(F.col("error").isNotNull()).select(*inv.DATASET, "path", "error"))
+    known = found.filter(F.col("error").isNull()).drop("error")
+    if not unlisted.isEmpty():
+        wrong = cut_lineage(unlisted.select(*inv.DATASET).distinct())
+        LOG.warning("%d folders could not be listed", unlisted.count())
+        known = lookup(known, wrong, inv.DATASET, "left_anti", small=is_small(wrong))
+    rows = cut_lineage(inv.new_inventory(known, stored, mapping, execution_id, spec, late))
     touched = cut_lineage(rows.select(*inv.DATASET).distinct())
     tb.append_rows(rows, tables.inventory)
     fresh = lookup(spark.table(tables.inventory), touched, inv.DATASET, "left_semi",
@@ -50,6 +63,7 @@ def take_inventory(spark: SparkSession, tables: Tables, execution_id: str,
     metrics = inv.candidate_metrics(fresh)
     tb.replace_table(inv.upsert_candidates(spark.table(tables.candidates), metrics, execution_id),
                      tables.candidates)
+    return unlisted
 
 
 # --- drift -------------------------------------------------------------------------
@@ -72,11 +86,13 @@ def assess_drift(spark: SparkSession, tables: Tables, bucket: str, low: int = 0,
     plan = parts.load_plan(inventory, spark.table(tables.tags), spec)
     plan = lookup(plan, run.select(*inv.DATASET), inv.DATASET, "left_semi")
     captured = footers.capture_files(partition_files(inventory, plan, spec))
-    found = footers.capture_partitions(captured, inv.DATASET)
+    # Footers are read once; a row per partition is little.
+    found = cut_lineage(footers.capture_partitions(captured, inv.DATASET))
     catalog = run.join(found, inv.DATASET, "inner").withColumn("run_timestamp", F.current_timestamp())
     catalog = cut_lineage(catalog.select(*[F.col(c) for c in schemas.SCHEMA_CATALOG.names]))
     tb.append_rows(catalog, tables.catalog)
-    verdict = cut_lineage(drift.drift_verdict(catalog))
+    mixed = run.join(found.filter("schemas > 1").select(*inv.DATASET).distinct(), inv.DATASET, "inner")
+    verdict = cut_lineage(drift.drift_verdict(catalog, mixed=mixed))
     tb.replace_table(drift.merge_verdict(spark.table(tables.candidates), verdict), tables.candidates)
     return verdict
 
@@ -105,42 +121,55 @@ def unloadable(captured: DataFrame, schema: T.StructType) -> DataFrame:
     return files.filter("is_corrupted").select("partition_path").unionByName(drifted).distinct()
 
 
-def _layout(row: Row) -> tuple[str, ...]:
-    return tuple(s.split("=")[0] for s in row.partition_path.split("/") if "=" in s)
+# Folders that one partition of the table is made of.
+Unit = list[Row]
 
 
-def _run_isolating(rows: list[Row], work: Callable[[list[Row]], None]) -> list[Row]:
+def _run_isolating(units: list[Unit], work: Callable[[list[Row]], None],
+                   probe: Callable[[], None]) -> list[Row]:
     """Runs one job over many partitions; on failure halves the batch to find the bad ones.
 
     A failed job leaves nothing behind, so a half can run again.  Returns the failures.
+    ``probe`` appends no rows; if that fails as well, the table refuses and the search ends.
     """
+    rows = [r for unit in units for r in unit]
     try:
         work(rows)
         return []
     except (*SPARK_ERRORS, ValueError) as error:
-        if len(rows) == 1:
-            LOG.warning("could not take %s: %s", rows[0].partition_path, error)
+        LOG.warning("could not take %d folders from %s on: %s", len(rows), rows[0].partition_path, error)
+        if len(units) == 1:
             return rows
-    half = len(rows) // 2
-    return _run_isolating(rows[:half], work) + _run_isolating(rows[half:], work)
+    try:
+        probe()
+    except (*SPARK_ERRORS, ValueError) as error:
+        LOG.warning("the table takes nothing: %s", error)
+        return rows
+    half = len(units) // 2
+    return _run_isolating(units[:half], work, probe) + _run_isolating(units[half:], work, probe)
 
 
-def _each_batch(plan: DataFrame, work: Callable[[list[Row]], None]) -> list[Row]:
-    """Bounded batches of partitions of one folder layout each."""
+def _each_batch(plan: DataFrame, work: Callable[[list[Row]], None], pair: list[str],
+                probe: Callable[[], None]) -> list[Row]:
+    """Bounded batches of partitions; folders of one partition (``pair``) stay together."""
     failed: list[Row] = []
-    ordered = plan.select("partition_path").distinct().orderBy("partition_path")
-    for batch in tb.batches(ordered.toLocalIterator()):
-        for _, same in groupby(sorted(batch, key=_layout), key=_layout):
-            failed += _run_isolating(list(same), work)
+    ordered = plan.select(*pair, "partition_path").distinct().orderBy(*pair, "partition_path")
+    units = (list(same) for _, same in groupby(
+        ordered.toLocalIterator(), key=lambda r: tuple(r[c] for c in pair) if pair else r.partition_path))
+    for batch in tb.batches(units):
+        failed += _run_isolating(batch, work, probe)
     return failed
 
 
 def load_dataset(spark: SparkSession, plan: DataFrame, inventory: DataFrame, schema: T.StructType,
                  table: str, root: str, spec: PartitionSpec = DEFAULT,
-                 replace_partitions: bool = False, location: str | None = None,
+                 replace_partitions: bool = True, location: str | None = None,
                  captured: DataFrame | None = None) -> DataFrame:
     """Loads planned partitions into the managed table; load status per partition.
 
+    A partition is loaded whole, all its folders in one write, and takes the place of what
+    the table had of it: neither a late file nor a repeated load doubles rows.
+
     Footers tell beforehand which partitions cannot be read (``captured``, else they are
     read here); all others go through one strict read and one append per batch.
     """
@@ -154,10 +183,16 @@ def load_dataset(spark: SparkSession, plan: DataFrame, inventory: DataFrame, sch
     good = plan.join(bad, ["partition_path"], "left_anti")
 
     def append(rows: list[Row]) -> None:
-        data = tb.read_partitions(spark, root, [r.partition_path for r in rows], schema)
+        folders = sorted((r.partition_path for r in rows), key=tb.layout)
+        parts_ = [tb.read_partitions(spark, root, list(same), schema)
+                  for _, same in groupby(folders, key=tb.layout)]
+        data = reduce(DataFrame.unionByName, parts_)
         tb.append_evolving(data, table, spec, replace_partitions)
 
-    late = _each_batch(good, append)
+    # All folders of a planned partition are read, also those of it that were loaded before.
+    nothing = spark.createDataFrame([], schema)
+    late = _each_batch(good, append, [spec.run, spec.date],
+                       lambda: tb.append_evolving(nothing, table, spec))
     failed = bad.unionByName(spark.createDataFrame([(r.partition_path,) for r in late],
                                                    "partition_path string"))
     status = plan.join(failed.withColumn("bad", F.lit(True)), ["partition_path"], "left")
@@ -228,7 +263,7 @@ def _of(df: DataFrame, row: Row) -> DataFrame:
 
 
 def load(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT,
-         replace_partitions: bool = False, **limits) -> DataFrame:
+         replace_partitions: bool = True, **limits) -> DataFrame:
     """Claims open candidates and loads each claimed dataset; returns status per partition.
 
     ``limits`` are those of ``partitions.claimable``: bucket and range of file counts.  A
@@ -246,13 +281,19 @@ def load(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT,
     catalog = lookup(spark.table(tables.catalog), mine, inv.DATASET, "left_semi", small=small)
     found = drift.latest_readable_schemas(catalog, plan, spec, inv.DATASET)
     targets = parts.table_targets(spark.table(tables.mapping), spec.scheme)
-    work = (claims.join(targets, inv.DATASET, "inner")
+    # A claim without a mapping fails like any other and is given back.
+    work = (claims.join(targets, inv.DATASET, "left")
             .join(found.select(*inv.DATASET, "schema_json"), inv.DATASET, "left"))
     out = spark.createDataFrame([], schemas.load_status(spec))
     failed, returned = [], []
     for row in work.toLocalIterator():
         key = (row.execution_id, row.s3_bucket_name, row.bucket_prefix)
         part = _of(plan, row)
+        if row.managed_table_name is None:
+            LOG.warning("no mapping for %s", row.bucket_prefix)
+            failed.append(key)
+            returned.append(key)
+            continue
         if part.isEmpty():
             returned.append(key)
             continue
@@ -301,6 +342,7 @@ def remediate_dataset(spark: SparkSession, failed: DataFrame, inventory: DataFra
     readable = kinds.filter(~F.col("is_corrupted") & (F.col("kinds") == 1))
     bad = kinds.filter(F.col("is_corrupted") | (F.col("kinds") > 1)).select("partition_path")
     late: list[Row] = []
+    nothing = spark.createDataFrame([], base)
     for kind in readable.select("schema_json").distinct().toLocalIterator():
         raw = drift.read_schema(kind.schema_json, spec)
 
@@ -309,10 +351,13 @@ def remediate_dataset(spark: SparkSession, failed: DataFrame, inventory: DataFra
             if partitions_from == "data":
                 data = tb.read_as_stored(spark, folders, drift.stored_schema(text), spec)
             else:
-                data = tb.read_partitions(spark, root, folders, raw)
+                parts_ = [tb.read_partitions(spark, root, list(same), raw)
+                          for _, same in groupby(sorted(folders, key=tb.layout), key=tb.layout)]
+                data = reduce(DataFrame.unionByName, parts_)
             tb.append_evolving(drift.align(data, base, lenient, fill_missing), table, spec)
 
-        late += _each_batch(readable.filter(F.col("schema_json") == kind.schema_json), append)
+        late += _each_batch(readable.filter(F.col("schema_json") == kind.schema_json), append, [],
+                            lambda: tb.append_evolving(nothing, table, spec))
     failures = bad.unionByName(spark.createDataFrame([(r.partition_path,) for r in late],
                                                      "partition_path string"))
     done = failed.join(failures.withColumn("bad", F.lit(True)), ["partition_path"], "left")
@@ -348,6 +393,31 @@ def reopen(candidates: DataFrame, summary: DataFrame) -> DataFrame:
                           {"recon_job_run": F.lit(None)})
 
 
+def base_schemas(spark: SparkSession, tables: Tables, datasets: DataFrame,
+                 spec: PartitionSpec = DEFAULT) -> DataFrame:
+    """Schema of the newest loaded and tracked partition of each dataset."""
+    small = is_small(datasets)
+    loaded = lookup(parts.work_files(spark.table(tables.inventory), spec, F.col("load_status") == "loaded"),
+                    datasets, inv.DATASET, "left_semi", small=small)
+    tracked = parts.blessed_partitions(parts.partition_rows(loaded, spec), spark.table(tables.tags), spec)
+    catalog = lookup(spark.table(tables.catalog), datasets, inv.DATASET, "left_semi", small=small)
+    return drift.latest_readable_schemas(catalog, tracked, spec, inv.DATASET)
+
+
+def compare_failed_schemas(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT,
+                           bucket: str | None = None, datasets: list[str] | None = None) -> DataFrame:
+    """Column types of failed partitions against the base schema, stored; outcome per column."""
+    settle(spark, tables, spec)
+    failed = cut_lineage(parts.failed_partitions(spark.table(tables.inventory),
+                                                 spark.table(tables.mapping), spec, bucket, datasets))
+    mine = cut_lineage(failed.select(*inv.DATASET).distinct())
+    catalog = lookup(spark.table(tables.catalog), mine, inv.DATASET, "left_semi", small=is_small(mine))
+    base = base_schemas(spark, tables, mine, spec).select(*inv.DATASET, "schema_json")
+    report = cut_lineage(drift.type_report(catalog, failed, base, inv.DATASET, spec))
+    tb.append_rows(drift.comparison_rows(report), tables.comparison)
+    return drift.column_outcome(report, inv.DATASET)
+
+
 def remediate(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT,
               bucket: str | None = None, datasets: list[str] | None = None, **options) -> DataFrame:
     """Repairs failed partitions of every dataset that has a base schema."""
@@ -355,13 +425,8 @@ def remediate(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT
     failed = cut_lineage(parts.failed_partitions(spark.table(tables.inventory),
                                                  spark.table(tables.mapping), spec, bucket, datasets))
     inventory, mine = spark.table(tables.inventory), failed.select(*inv.DATASET).distinct()
-    small = is_small(mine)
     captured = cut_lineage(footers.capture_files(partition_files(inventory, failed, spec)))
-    loaded = lookup(parts.work_files(inventory, spec, F.col("load_status") == "loaded"), mine,
-                    inv.DATASET, "left_semi", small=small)
-    tracked = parts.blessed_partitions(parts.partition_rows(loaded, spec), spark.table(tables.tags), spec)
-    catalog = lookup(spark.table(tables.catalog), mine, inv.DATASET, "left_semi", small=small)
-    found = drift.latest_readable_schemas(catalog, tracked, spec, inv.DATASET)
+    found = base_schemas(spark, tables, mine, spec)
     targets = parts.table_targets(spark.table(tables.mapping), spec.scheme)
     # A dataset without a schema is skipped whole: it has no row here.
     work = mine.join(targets, inv.DATASET, "inner").join(
@@ -389,10 +454,8 @@ def rows_in_failed(spark: SparkSession, failed: DataFrame, root: str, schema: T.
                    spec: PartitionSpec = DEFAULT) -> DataFrame:
     """Rows sitting in failed partitions, counted per partition in one read.
 
-    Whole root with the failed pairs as a semi join: only matching folders are counted.
+    Only the failed folders are named to the reader.
     """
-    data = tb.read_partitions(spark, root, schema=schema, lenient=True)
     keys = [spec.run, spec.date]
-    wanted = cut_lineage(failed.select(*keys).distinct())
-    return lookup(data.select(*keys), wanted, keys, "left_semi", small=is_small(wanted)).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("rows"))
+    data = tb.read_folders(spark, root, failed, schema, lenient=True)
+    return data.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))

@@ -129,22 +129,14 @@ def source_side(spark: SparkSession, index: tuple[DataFrame, DataFrame], bucket:
                 spec: PartitionSpec = DEFAULT) -> DataFrame | None:
     """Source rows of a dataset; None when no schema is known for it.
 
-    Folders are named to the reader, so that no other is listed or opened; a dataset of very
-    many folders is read by its root and restricted by a semi join instead.
+    Folders are named to the reader in batches, so that no other is listed or opened.
     """
     mine = (F.col("s3_bucket_name") == bucket) & (F.col("bucket_prefix") == prefix)
     found = index[0].filter(mine).first()
     if found is None:
         return None
     root, schema = f"{spec.scheme}{bucket}/{prefix}", drift.read_schema(found.schema_json, spec)
-    folders = index[1].filter(mine)
-    if is_small(folders, tb.BATCH):
-        paths = [r.partition_path for r in folders.select("partition_path").toLocalIterator()]
-        return above_floor(tb.read_partitions(spark, root, paths, schema, lenient=True), spec)
-    data = above_floor(tb.read_partitions(spark, root, schema=schema, lenient=True), spec)
-    keys = [spec.run, spec.date]
-    wanted = cut_lineage(folders.select(*keys).distinct())
-    return lookup(data, wanted, keys, "left_semi", small=is_small(wanted))
+    return above_floor(tb.read_folders(spark, root, index[1].filter(mine), schema, lenient=True), spec)
 
 
 def reconcile_all(spark: SparkSession, tables: Tables, bucket: str | None = None,

@@ -22,6 +22,10 @@ class Tables:
     results: str = "recon_results"
     remediation: str = "recon_remediation"
     comparison: str = "schema_comparison_results"
+    copies: str = "copy_mapping"
+    reports: str = "inventory_reports"
+    details: str = "inventory_report_rows"
+    differences: str = "object_differences"
 
     def within(self, schema: str) -> "Tables":
         return Tables(**{f.name: f"{schema}.{getattr(self, f.name)}" for f in fields(self)})
@@ -35,5 +39,8 @@ def create_state(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFA
                          (tables.pending, schemas.pending_status(spec)),
                          (tables.results, schemas.RECON_RESULTS),
                          (tables.remediation, schemas.REMEDIATION_LOG),
-                         (tables.comparison, schemas.SCHEMA_COMPARISON)):
+                         (tables.comparison, schemas.SCHEMA_COMPARISON),
+                         (tables.copies, schemas.COPY_MAPPING), (tables.reports, schemas.REPORT_LIST),
+                         (tables.details, schemas.REPORT_DETAILS),
+                         (tables.differences, schemas.DIFFERENCES)):
         ensure_table(spark, name, schema)

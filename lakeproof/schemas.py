@@ -90,6 +90,16 @@ REPORT_LIST = _struct(
     "bucket_name string, prefix string, inventory_s3_location string, path string, "
     "size double, name string, modificationTime timestamp, processed string, runId string")
 
+REPORT_DETAILS = _struct(
+    "Bucket string, Key string, Size string, LastModifiedDate string, ETag string, "
+    "inventory_s3_location string, path string, name string, prefix string, processed string, "
+    "runId string")
+
+DIFFERENCES = _struct(
+    "s3_batch_copy_id string, runId string, Key string, Size bigint, ETag string, "
+    "lastModifiedDate timestamp, src_bucket string, src_prefix string, dest_bucket_name string, "
+    "dest_prefix string, status string, time_stamp timestamp, sync_to_dest_bucket_status string")
+
 # One element of the JSON text that describes the reports below a manifest root.
 REPORT_ENTRY = _struct("file string, name string, size double, modificationTime timestamp")
 

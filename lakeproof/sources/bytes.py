@@ -4,24 +4,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeproof.functions import paths
-from lakeproof.operators.objects import KEY
+from lakeproof.operators.objects import keys
 from lakeproof.sources import storage
 
 
-def folder_checksums(spark: SparkSession, root: str) -> DataFrame:
-    """MD5 of every visible file below a folder, by Spark's own byte reader."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root))
-    marker = root.rstrip("/") + "/"
-    # Spark reports paths with their scheme; the relative key starts after the root.
-    return files.select(F.substring_index("path", marker, -1).alias("rel_key"),
-                        F.col("length").alias("size"), F.md5("content").alias("md5"))
-
-
 def _digests(columns: dict[str, str]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -44,7 +35,7 @@ def file_checksums(files: DataFrame, columns: dict[str, str], tasks: int | None
     Files are read in chunks, so their size does not matter to a task's memory.  Large
     and small files are dealt out at random over many tasks.
     """
-    tasks = tasks or files.sparkSession.sparkContext.defaultParallelism * 4
+    tasks = tasks or int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     schema = T.StructType(list(files.schema.fields))
     for target in columns.values():
         schema = schema.add(target, "string")
@@ -61,11 +52,16 @@ def compare_contents(sample: DataFrame, scheme: str = "s3://", decode: bool = Tr
     def url(side: str):
         raw = paths.object_url(f"{side}_bucket", f"{side}_prefix", "rel_key", scheme)
         return paths.percent_decode(raw) if decode else raw
-    located = sample.select(*KEY, url("src").alias("src_path"), url("dest").alias("dest_path"))
+    located = sample.select(*keys(sample), url("src").alias("src_path"), url("dest").alias("dest_path"))
     hashed = file_checksums(located, {"src_path": "src_md5", "dest_path": "dest_md5"}, tasks)
     return hashed.withColumn("checksum_valid", F.col("src_md5") == F.col("dest_md5"))
 
 
 def mismatched(contents: DataFrame) -> DataFrame:
-    """Keys whose content differs; files that could not be read decide nothing."""
-    return contents.filter(~F.col("checksum_valid")).select(*KEY)
+    """Keys whose content differs; files that could not be read are ``unread``."""
+    return contents.filter(~F.col("checksum_valid")).select(*keys(contents))
+
+
+def unread(contents: DataFrame) -> DataFrame:
+    """Keys of which one side or both could not be read: nothing is known of their content."""
+    return contents.filter(F.col("checksum_valid").isNull()).select(*keys(contents))

@@ -92,7 +92,7 @@ def _capture(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def capture_files(files: DataFrame, tasks: int | None = None) -> DataFrame:
     """Adds schema_json, is_corrupted and error_message to rows with a ``data_file``."""
-    tasks = tasks or files.sparkSession.sparkContext.defaultParallelism * 4
+    tasks = tasks or int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     schema = T.StructType(list(files.schema.fields)).add("schema_json", "string").add(
         "is_corrupted", "boolean").add("error_message", "string")
     return files.repartition(tasks, "data_file").mapInPandas(_capture, schema)

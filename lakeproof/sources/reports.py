@@ -9,9 +9,11 @@ from pyspark.sql import types as T
 
 from lakeproof import schemas
 from lakeproof.functions import paths
-from lakeproof.operators.lookup import SALT, lookup
+from lakeproof.operators.lookup import SALT, is_small, lookup
 from lakeproof.operators.merge import supersede, update_matched
+from lakeproof.session import cut_lineage
 from lakeproof.sources.listing import list_files
+from lakeproof.sources.tables import batches
 
 NOT_REPORTS = ("hive", "data")  # fixed values: folders beside the reports
 
@@ -61,11 +63,12 @@ def manifest_files(spark: SparkSession, waiting: DataFrame, jpath: str = "manife
     One read for all manifests, one manifest per waiting report.
     """
     named = waiting.withColumn("manifest", F.concat_ws("/", "path", "name", F.lit(jpath)))
-    files = [r.manifest for r in named.select("manifest").distinct().toLocalIterator()]
-    if not files:
+    listed = (r.manifest for r in named.select("manifest").distinct().toLocalIterator())
+    reads = [spark.read.option("multiLine", True).schema(schemas.MANIFEST).json(files)
+             .withColumn("manifest", _plain(F.input_file_name())) for files in batches(listed)]
+    if not reads:
         raise LookupError("no new inventory reports to process")
-    documents = (spark.read.option("multiLine", True).schema(schemas.MANIFEST).json(files)
-                 .withColumn("manifest", _plain(F.input_file_name())))
+    documents = reduce(DataFrame.unionByName, reads)
     keyed = named.withColumn("manifest", _plain(F.col("manifest")))
     entries = documents.select("manifest", "fileFormat", "fileSchema", F.explode("files").alias("f"))
     return keyed.join(entries, ["manifest"], "inner").select(
@@ -105,7 +108,8 @@ def read_reports(spark: SparkSession, files: DataFrame, run: str, header: bool =
         owners = same.select(
             _plain(F.col("data_file")).alias("data_file"), "bucket_name", "prefix",
             "inventory_s3_location", "path", "name").distinct()
-        parts.append(lookup(rows, owners, ["data_file"], "inner", salt).drop("data_file"))
+        owners = cut_lineage(owners)
+        parts.append(lookup(rows, owners, ["data_file"], "inner", salt, is_small(owners)).drop("data_file"))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     if "IsLatest" in rows.columns:
         rows = rows.filter(paths.current_version("IsLatest"))

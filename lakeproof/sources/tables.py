@@ -2,7 +2,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from itertools import islice
+from functools import reduce
+from itertools import groupby, islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from lakeproof.functions.paths import partition_date, partition_value
 from lakeproof.spec import DEFAULT, PartitionSpec
 
 BATCH = 5000  # partition paths named in one read
+OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def read_mapping(spark: SparkSession, path: str) -> DataFrame:
@@ -25,13 +27,40 @@ def read_partitions(spark: SparkSession, root: str, paths: list[str] | None = No
                     schema: T.StructType | None = None, lenient: bool = False) -> DataFrame:
     """Partition folders below ``root`` in one read, partition columns from the path.
 
-    Without ``schema`` it is inferred; without ``paths`` the whole root is read.  Strict
-    reads fail on an unreadable file, lenient ones skip it; the choice binds this read only.
+    Without ``schema`` it is inferred; without ``paths`` the whole root is read, while an
+    empty list of paths is no rows.  Strict reads fail on an unreadable file, lenient ones
+    skip it; the choice binds this read only.
     """
+    if paths is not None and not paths:
+        if schema is None:
+            raise ValueError("no paths to infer a schema from")
+        return spark.createDataFrame([], schema)
     reader = spark.read.option("basePath", root).option("ignoreCorruptFiles", lenient)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.parquet(*(paths or [root]))
+    return reader.parquet(*([root] if paths is None else paths))
+
+
+def read_folders(spark: SparkSession, root: str, folders: DataFrame, schema: T.StructType,
+                 lenient: bool = False) -> DataFrame:
+    """Rows of the folders named by ``partition_path``, whatever their number.
+
+    Folders are named to the reader in bounded batches, one layout of partition columns in
+    each, so that nothing else below the root is listed, opened or mistaken for a partition.
+    """
+    ordered = folders.select("partition_path").distinct().orderBy("partition_path")
+    reads = [read_partitions(spark, root, list(same), schema, lenient)
+             for batch in batches(r.partition_path for r in ordered.toLocalIterator())
+             for _, same in groupby(sorted(batch, key=layout), key=layout)]
+    if not reads:
+        return spark.createDataFrame([], schema)
+    names = [f.name for f in schema.fields]
+    return reduce(DataFrame.unionByName, [r.select(*[F.col(f"`{n}`") for n in names]) for r in reads])
+
+
+def layout(path: str) -> tuple[str, ...]:
+    """The names of the partition columns in a path, as it spells them."""
+    return tuple(s.split("=")[0] for s in path.split("/") if "=" in s)
 
 
 def read_as_stored(spark: SparkSession, folders: list[str], schema: T.StructType,
@@ -116,11 +145,16 @@ def append_evolving(df: DataFrame, table: str, spec: PartitionSpec = DEFAULT,
          else F.lit(None).cast(f.dataType)).alias(f.name) for f in target.fields])
     # Rebalancing splits hot partitions over several tasks and files and merges tiny ones.
     rows = rows.hint("rebalance", spec.run, spec.date)
-    if replace_partitions:
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .insertInto(table))
-    else:
+    if not replace_partitions:
         rows.write.mode("append").insertInto(table)
+        return
+    # Inserting into a catalog table heeds the session's setting, not the writer's option.
+    before = spark.conf.get(OVERWRITE)
+    spark.conf.set(OVERWRITE, "dynamic")
+    try:
+        rows.write.mode("overwrite").insertInto(table)
+    finally:
+        spark.conf.set(OVERWRITE, before)
 
 
 def append_rows(df: DataFrame, table: str) -> None:

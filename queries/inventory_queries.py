@@ -348,9 +348,9 @@ def layout_guard(spark, sf):
 SELECT k.execution_id, m.dbx_catalog AS target_catalog_name, m.dbx_managed_table_schema AS target_schema_name,
        m.dataset_name AS target_table_name, m.s3_bucket_name AS source_s3_bucket,
        m.bucket_prefix AS source_bucket_prefix
-FROM mapping m JOIN (SELECT DISTINCT table_name, execution_id FROM candidates
+FROM mapping m JOIN (SELECT DISTINCT table_name, s3_bucket_name, bucket_prefix, execution_id FROM candidates
   WHERE managed_table_created = 'true' AND recon_job_run IS NULL AND s3_bucket_name = 'bkt-1') k
-  ON m.dataset_name = k.table_name""")
+  ON m.dataset_name = k.table_name AND m.s3_bucket_name = k.s3_bucket_name AND m.bucket_prefix = k.bucket_prefix""")
 def reconciliation_work(spark, sf):
     return parts.reconciliation_work(view(spark, sf, "mapping"), view(spark, sf, "candidates"),
                                      "bkt-1", only_open=True)

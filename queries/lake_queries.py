@@ -15,8 +15,9 @@ from lakeproof import PartitionSpec
 from lakeproof.functions import paths
 from lakeproof.operators import drift, inventory as inv, partitions as parts
 from lakeproof.plans import migrate
-from lakeproof.plans.compare import compare_batch, ingest_reports
+from lakeproof.plans.compare import compare_batch, compare_buckets, ingest_reports
 from lakeproof.plans.reconcile import reconcile_pair
+from lakeproof.plans.state import Tables, create_state
 from lakeproof.session import cut_lineage, fresh_folder
 from lakeproof.sources import bytes as by, footers, listing, storage, tables as tb
 from lakeproof import schemas
@@ -224,10 +225,8 @@ def _report_rows(objects: DataFrame) -> DataFrame:
         F.col("etag").alias("ETag"), F.lit("true").alias("IsLatest"))
 
 
-@query("report_ingest", """
-SELECT s3_batch_copy_id, rel_key, src_size, dest_size, status FROM object_pairs""")
-def report_ingest(spark, sf):
-    """Discovery, manifests, data files and comparison, over reports in two formats."""
+def _report_tree(spark, sf) -> tuple[str, DataFrame]:
+    """Reports of both sides in two formats, each source with an older one; their mapping."""
     folder = fresh_folder(spark, "reports")
     source, dest = view(spark, sf, "src_objects"), view(spark, sf, "dest_objects")
     rows = _report_rows(source).withColumn("IsLatest", F.when(F.col("ETag") == "old", "false").otherwise(""))
@@ -241,14 +240,74 @@ def report_ingest(spark, sf):
         "src_inventory_s3_location": F.lit(folder), "dest_inventory_s3_location": F.lit(folder),
         "src_inventory_name": F.lit("daily"), "dest_inventory_name": F.lit("daily"),
         "enabled": F.lit(True)})
+    return folder, mapping
+
+
+@query("report_ingest", """
+SELECT s3_batch_copy_id, rel_key, src_size, dest_size, status FROM object_pairs""")
+def report_ingest(spark, sf):
+    """Discovery, manifests, data files and comparison, over reports in two formats."""
+    _, mapping = _report_tree(spark, sf)
     reports = spark.createDataFrame([], schemas.REPORT_LIST)
-    details = spark.createDataFrame([], "Bucket string, Key string, Size string, LastModifiedDate string, "
-                                        "ETag string, inventory_s3_location string, path string, name string, "
-                                        "prefix string, processed string, runId string")
+    details = spark.createDataFrame([], schemas.REPORT_DETAILS)
     _, details = ingest_reports(spark, mapping, reports, details, "run-1")
     return compare_batch(details, mapping).select("s3_batch_copy_id", "rel_key", "src_size", "dest_size", "status")
 
 
+def _compared(spark, sf) -> tuple[Tables, str, DataFrame]:
+    """State tables after one whole comparison."""
+    folder, mapping = _report_tree(spark, sf)
+    name = f"compared_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name}")
+    tables = Tables().within(name)
+    create_state(spark, tables)
+    typed = mapping.select(*[(F.col(f.name) if f.name in mapping.columns else F.lit(None))
+                             .cast(f.dataType).alias(f.name) for f in schemas.COPY_MAPPING.fields])
+    tb.append_rows(typed, tables.copies)
+    return tables, folder, compare_buckets(spark, tables, "run-1")
+
+
+_STORED = """
+SELECT s3_batch_copy_id, rel_key AS Key, coalesce(src_size, dest_size) AS Size, status,
+  CASE WHEN status = 'EXISTS_IN_SRC_AND_BUT_NOT_IN_DEST' THEN 'Copy' ELSE 'Review' END AS sync_to_dest_bucket_status
+FROM object_pairs WHERE status <> 'EXISTS_IN_SRC_AND_DEST_SAME'"""
+
+
+@query("bucket_compare_run", _STORED)
+def bucket_compare_run(spark, sf):
+    """A whole run over state tables; the stored differences."""
+    tables, *_ = _compared(spark, sf)
+    found = cut_lineage(spark.table(tables.differences).select(
+        "s3_batch_copy_id", "Key", "Size", "status", "sync_to_dest_bucket_status"))
+    spark.sql(f"DROP DATABASE {tables.copies.split('.')[0]} CASCADE")
+    return found
+
+
+@query("bucket_compare_mapping", """
+SELECT s3_batch_copy_id, CASE WHEN count(*) FILTER (status <> 'EXISTS_IN_SRC_AND_DEST_SAME') > 0 THEN 'WARNING' ELSE 'SUCCESS' END AS status,
+  'run-1' AS runId FROM object_pairs GROUP BY 1""")
+def bucket_compare_mapping(spark, sf):
+    """What the run writes into the mappings."""
+    tables, *_ = _compared(spark, sf)
+    found = cut_lineage(spark.table(tables.copies).select("s3_batch_copy_id", "status", "runId").distinct())
+    spark.sql(f"DROP DATABASE {tables.copies.split('.')[0]} CASCADE")
+    return found
+
+
+@query("bucket_compare_second_run", """
+SELECT r.runId, 'true' AS processed, CAST(sum(n) AS BIGINT) AS n FROM (VALUES ('run-1'), ('run-2')) r(runId),
+  (SELECT count(*) AS n FROM dest_objects UNION ALL SELECT count(*) FROM src_objects WHERE etag <> 'old') GROUP BY 1""")
+def bucket_compare_second_run(spark, sf):
+    """A newer report of one bucket: both sides are read again, the first run's rows stay done."""
+    tables, folder, _ = _compared(spark, sf)
+    rows = _report_rows(view(spark, sf, "src_objects")).filter("Bucket = 'bkt-1' AND ETag <> 'old'")
+    _write_report(spark, folder, "bkt-1", "daily", "2025-01-03T01-00Z", rows, "CSV")
+    compare_buckets(spark, tables, "run-2")
+    found = cut_lineage(spark.table(tables.details).groupBy("runId", "processed").agg(F.count("*").alias("n")))
+    spark.sql(f"DROP DATABASE {tables.copies.split('.')[0]} CASCADE")
+    return found
+
+
 @query("streaming_inventory", """
 SELECT 'run-1' AS execution_id, i.s3_bucket_name, i.bucket_prefix, key, extension, size, last_modified_time, partition_key, run_id, snapshot_date
 FROM inventory i JOIN dataset_mapping m ON i.s3_bucket_name = m.s3_bucket_name AND i.bucket_prefix = m.bucket_prefix""")

@@ -121,7 +121,8 @@ _DETAILS = """SELECT bucket AS Bucket, replace(key, '=', '%3D') AS Key, cast(siz
 
 
 @query("object_side", f"""WITH det AS ({_DETAILS})
-SELECT m.s3_batch_copy_id, d.Bucket AS bucket, d.prefix, substr(d.Key, length(d.prefix) + 1) AS rel_key, CAST(d.Size AS BIGINT) AS size, d.ETag AS etag
+SELECT m.s3_batch_copy_id, concat('["', m.src_bucket_name, '","', m.src_prefix, '","', m.dest_bucket_name, '","', m.dest_prefix, '"]') AS pair,
+  d.Bucket AS bucket, d.prefix, substr(d.Key, length(d.prefix) + 1) AS rel_key, CAST(d.Size AS BIGINT) AS size, d.ETag AS etag
 FROM det d JOIN copy_mapping m ON d.Bucket = m.src_bucket_name AND d.prefix = m.src_prefix WHERE d.processed = 'false' AND m.enabled""")
 def object_side(spark, sf):
     details = view(spark, sf, "inv_src").select(
