@@ -6,8 +6,12 @@ centroid for the vectors it already has, so lists are balanced. A vector near a
 put in every list whose centroid is at most ``1 + CLOSURE`` times as far as its nearest (at
 most ``REPLICAS`` lists, the nearest always). Tasks search the centroids through an in-memory
 graph of their neighbours, best first. A query scans the lists whose centroid is at most
-``1 + PRUNE`` times as far as its nearest one, and further ones, next in order, until the
-lists' own vectors suffice for the number asked.
+``1 + prune`` times as far as its nearest one (``probes`` lists at most), and further ones,
+next in order, until the lists' own vectors suffice for the number asked. How many lists that
+takes depends on the table: ``HELD`` vectors, those of queries first, are held back from
+the k-means sample of a table much larger than that, their nearest are found by brute force
+over the whole table, and ``probes`` and ``prune`` grow from ``PROBES`` and ``PRUNE`` until
+``RECALL`` of these are in scanned lists.
 
 Equal vectors are one: only the ``k + 1`` smallest ids of a vector can be among anybody's k
 nearest, and a query's own id may be one of them. They are cut to that by a ranked window,
@@ -32,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, FloatType, StructType
 
 from lakeproof.llm.common import stored
 
@@ -40,7 +44,8 @@ SAMPLE = 40_000
 LIST = 160          # vectors of a list aimed at
 CENTROIDS = 4096    # at most; beyond that lists grow and are scanned in blocks
 REPLICAS, CLOSURE = 4, 0.15
-PROBES, PRUNE = 24, 0.35
+PROBES, PRUNE = 24, 0.35    # at least
+HELD, RECALL = 512, 0.95
 LINKS, BEAM = 16, 64
 BLOCK = 4096
 SEED = 11
@@ -56,6 +61,11 @@ class Centroids:
         """Ids and distances of the nearest centroids found for each unit vector."""
         k = len(self.points)
         count = min(count, k)
+        if count == k:    # all of them: a walk would save nothing
+            every = [np.argsort(d, kind="stable") for d in 2 - 2 * vectors @ self.points.T]
+            ids = np.array(every, dtype=np.int64).reshape(len(vectors), k)
+            far = np.maximum(2 - 2 * vectors @ self.points.T, 0.0)
+            return ids, np.sqrt(np.take_along_axis(far, ids, axis=1))
         ids, dist = np.zeros((len(vectors), count), np.int64), np.zeros((len(vectors), count))
         for row, v in enumerate(vectors):
             found = self._search(v, max(beam, count), count)
@@ -153,13 +163,16 @@ def assigned(df: DataFrame, key: str, index: Centroids, count: int, ratio: float
     With ``own`` (vectors that have each list as their nearest) lists are taken beyond the
     ratio until they hold ``enough``.
     """
-    schema = StructType.fromDDL("key long, list int, nearest boolean, vec array<double>")
+    # Single precision stays so: the vectors of queries travel once for each list.
+    vec = "array<float>" if df.schema["vec"].dataType == ArrayType(FloatType()) else "array<double>"
+    schema = StructType.fromDDL(f"key long, list int, nearest boolean, vec {vec}")
     arrow = to_arrow_schema(schema)
+    step = max(1, min(2048, 50_000 // min(count, len(index.points))))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 2048):
-                part = batch.slice(at, 2048)
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
                 keys, vectors = part.column("key").to_pylist(), as_matrix(part.column("vec"))
                 ids, dist = index.nearest(unit(vectors), count)
                 out: list[tuple] = []
@@ -181,7 +194,53 @@ def assigned(df: DataFrame, key: str, index: Centroids, count: int, ratio: float
                 columns = list(zip(*out, strict=True)) if out else [()] * 4
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
-    return df.select(F.col(key).alias("key"), F.col("vec").cast("array<double>").alias("vec")).mapInArrow(run, schema)
+    return df.select(F.col(key).alias("key"), F.col("vec").cast(vec).alias("vec")).mapInArrow(run, schema)
+
+
+def true_nearest(one: DataFrame, held: np.ndarray, own: list[int], k: int) -> DataFrame:
+    """``query, key``: the ``k`` nearest vectors of each of ``held`` (unit vectors with keys
+    ``own``), by brute force over all of ``one``; ``query`` is the place in ``held``."""
+    schema = StructType.fromDDL("query int, key long, score double")
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, scores = np.zeros((len(held), 0), np.int64), np.zeros((len(held), 0))
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                new = part.column("key").to_numpy()
+                close = held @ unit(as_matrix(part.column("vec"))).T
+                close[np.array(own)[:, None] == new[None, :]] = -np.inf
+                scores = np.concatenate([scores, close], axis=1)
+                keys = np.concatenate([keys, np.broadcast_to(new, close.shape)], axis=1)
+                if scores.shape[1] > k:
+                    top = np.argpartition(-scores, k - 1, axis=1)[:, :k]
+                    scores, keys = np.take_along_axis(scores, top, 1), np.take_along_axis(keys, top, 1)
+        query, column = np.nonzero(scores > -np.inf)
+        yield pa.RecordBatch.from_arrays([pa.array(query, pa.int32()), pa.array(keys[query, column]),
+                                          pa.array(scores[query, column])], schema=arrow)
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "key")
+    return (one.select("key", F.col("vec").cast("array<double>").alias("vec")).mapInArrow(run, schema)
+            .withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k).select("query", "key"))
+
+
+def calibrated(index: Centroids, held: np.ndarray, near: dict[tuple[int, int], set[int]], probes: int,
+               prune: float, recall: float) -> tuple[int, float]:
+    """The number of lists and the distance ratio, from the given ones up, with which ``recall``
+    of ``near`` is scanned; ``near`` has the lists of each near vector of each of ``held``."""
+    probes = max(1, probes)
+    while near:
+        ids, dist = index.nearest(held, probes)
+        nearest = np.maximum(dist[:, :1], 1e-6)
+        # For each near vector the ratio at which its first list is scanned.
+        ratio = np.array([min((dist[q, j] / nearest[q, 0] - 1 for j in np.flatnonzero(np.isin(ids[q], list(lists)))),
+                              default=math.inf) for (q, _), lists in near.items()])
+        if probes < len(index.points) and (ratio < math.inf).mean() < recall:
+            probes = min(len(index.points), probes + max(1, probes // 4))
+            continue
+        needed = float(np.sort(ratio)[math.ceil(recall * len(ratio)) - 1])
+        return probes, max(prune, needed + 1e-9)
+    return probes, prune
 
 
 def cosine(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
@@ -217,10 +276,12 @@ def scanned(postings: DataFrame, probes: DataFrame, keep: int) -> DataFrame:
 
 
 def nearest_vectors(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id",
-                    vector_col: str = "embedding", probes: int = PROBES, prune: float = PRUNE) -> DataFrame:
+                    vector_col: str = "embedding", probes: int = PROBES, prune: float = PRUNE,
+                    recall: float = RECALL) -> DataFrame:
     """``query_id, rank, vec_id, score``: the k nearest found of each row that is a query.
 
-    ``is_query`` is a condition on ``vec_id``.
+    ``is_query`` is a condition on ``vec_id``. More than ``probes`` and ``prune`` are taken
+    where held-back vectors need it for ``recall``.
     """
     spark = df.sparkSession
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{vector_col}`").alias("vec"))
@@ -232,7 +293,15 @@ def nearest_vectors(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "
     rows = rows.where(F.size("vec") == sizes[0][0])
     one = stored(distinct_vectors(rows, k), "vectors")
     n = one.count()
-    sample = one.orderBy(F.xxhash64("vec"), "key").limit(SAMPLE).select(F.col("vec").cast("array<double>")).toArrow()
+    asked = rows.where(is_query).select("vec", "vec_id")
+    queries = asked.join(one, "vec").select("key", "vec", F.col("vec_id").alias("query_id"))
+    queries = stored(queries, "queries")
+    few = (one.join(queries.select("key").distinct().withColumn("asked", F.lit(1)), "key", "left")
+           .orderBy(F.desc_nulls_last("asked"), F.xxhash64("vec"), "key").limit(HELD)
+           .select("key", F.col("vec").cast("array<double>").alias("vec")).toArrow())
+    own_keys, held_back = few.column("key").to_pylist(), unit(as_matrix(few.column("vec").combine_chunks()))
+    rest = one.where(~F.col("key").isin(own_keys)) if n > 8 * HELD else one
+    sample = rest.orderBy(F.xxhash64("vec"), "key").limit(SAMPLE).select(F.col("vec").cast("array<double>")).toArrow()
     vectors = unit(as_matrix(sample.column(0).combine_chunks()))
     count = max(1, min(CENTROIDS, len(vectors) // 4, -(-n // LIST)))
     index = linked(balanced_means(vectors, count))
@@ -242,9 +311,11 @@ def nearest_vectors(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "
     own = np.array([held.get(c, (0, 0))[1] for c in range(count)])
     blocks = [max(1, -(-held.get(c, (0, 0))[0] // BLOCK)) for c in range(count)]
     table = spark.createDataFrame(list(enumerate(blocks)), "list int, blocks int")
-    asked = rows.where(is_query).select("vec", "vec_id")
-    queries = asked.join(one, "vec").select("key", "vec", F.col("vec_id").alias("query_id"))
-    queries = stored(queries, "queries")
+    near: dict[tuple[int, int], set[int]] = {}
+    truth = true_nearest(one, held_back, own_keys, k)
+    for q, key, c in lists.select("key", "list").join(F.broadcast(truth), "key").select("query", "key", "list").collect():
+        near.setdefault((q, key), set()).add(c)    # HELD * k * REPLICAS at most
+    probes, prune = calibrated(index, held_back, near, probes, prune, recall)
     wanted = assigned(queries.dropDuplicates(["key"]), "key", index, probes, prune, own, 4 * (k + 1))
     wanted = (wanted.join(F.broadcast(table), "list")
               .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))

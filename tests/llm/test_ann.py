@@ -3,6 +3,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,6 +49,34 @@ def test_recall_on_the_table(spark, folder):
     assert recall(got, brute(rows, 5, lambda i: i % 50 == 0)) >= 0.9
 
 
+def test_recall_on_many_lists(spark, monkeypatch):
+    """100,000 vectors with the mean and covariance of the given ones, in 625 lists."""
+    given = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("embedding").toArrow()
+    given = ann.as_matrix(given.column(0).combine_chunks())
+    n, k, every = 100_000, 5, 500
+    vectors = np.random.default_rng(3).multivariate_normal(given.mean(0), np.cov(given.T), n).astype(np.float32)
+    table = pa.table({"vec_id": pa.array(range(n), pa.int64()), "embedding": pa.array(list(vectors), pa.list_(pa.float32()))})
+    pairs = []
+
+    def watched(postings, probes, keep):
+        a, b = (x.groupBy("list", "block").count() for x in (postings, probes))
+        pairs.append(a.join(b.withColumnRenamed("count", "m"), ["list", "block"]).agg(F.sum(F.col("count") * F.col("m"))))
+        return scanned(postings, probes, keep)
+    scanned = ann.scanned
+    monkeypatch.setattr(ann, "scanned", watched)
+    got = defaultdict(set)
+    for r in ann.nearest_vectors(spark.createDataFrame(table).repartition(16), F.col("vec_id") % every == 0, k).collect():
+        got[r.query_id].add(r.vec_id)
+    unit, asked = ann.unit(vectors.astype(float)), range(0, n, every)
+    close = unit[asked] @ unit.T
+    close[range(len(asked)), asked] = -2
+    near = np.argpartition(-close, k - 1, axis=1)[:, :k].tolist()
+    found = sum(len(got[i] & set(row)) for i, row in zip(asked, near, strict=True)) / k / len(asked)
+    share = pairs[0].collect()[0][0] / n / len(asked)   # copies of a vector in several lists count each
+    print(f"recall {found:.4f}, scanned share {share:.4f}")
+    assert found >= 0.93 and share < 0.6
+
+
 def test_hot_vector_ties_and_blocks(spark, monkeypatch):
     monkeypatch.setattr(ann, "BLOCK", 16)
     r = random.Random(1)
