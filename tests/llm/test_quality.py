@@ -1,4 +1,5 @@
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -77,6 +78,30 @@ def test_forest_isolates_outliers():
     assert math.isclose(qr.mean_path(256), 10.24, abs_tol=0.05)
 
 
+def test_rules_reject_junk_of_other_kinds(spark, labelled):
+    """Junk that the given bad rows do not show: digits, repeated short lines, another script."""
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    rules = qr.fit(ts.statistics(docs).cache(), labels)
+    r = random.Random(4)
+
+    def digits(text):
+        return "".join(r.choice("0123456789") if c not in BLANKS and r.random() < 0.64 else c for c in text)
+
+    def short_lines(text):
+        n = len([line for line in text.split("\n") if line.strip(BLANKS)])
+        return text + "".join("\n" + r.choice(["home", "menu", "next", "login"]) for _ in range(3 * n + 8))
+
+    def script(text):
+        return "".join(chr(0x4E00 + ord(c) * 37 % 5000) if c.isalpha() else c for c in text)
+    good = [t.text for t in docs.collect() if labelled.get(t.doc_id) == 1]
+    good = [t for t, kept in zip(good, rules.judge(ts.count_table(good))[2], strict=True) if kept][:200]
+    for change in (digits, short_lines, script):
+        failed, _, kept = rules.judge(ts.count_table([change(t) for t in good]))
+        share = (~kept)[~failed].mean()
+        print(f"{change.__name__}: {(~failed).sum()} pass the base rules, {share:.3f} of them rejected")
+        assert share >= 0.9
+
+
 def test_classifier_on_held_out_rows(spark, labelled):
     rows = QUERIES["op7_quality_classifier"](spark, SF).collect()
     assert len(rows) == 1000
