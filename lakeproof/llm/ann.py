@@ -48,6 +48,7 @@ PROBES, PRUNE = 24, 0.35    # at least
 HELD, RECALL = 512, 0.95
 LINKS, BEAM = 16, 64
 BLOCK = 4096
+ROUNDING = 1e-10    # more than two ways of summing a cosine differ by
 SEED = 11
 
 
@@ -158,14 +159,14 @@ def as_matrix(column: pa.Array) -> np.ndarray:
 
 def assigned(df: DataFrame, key: str, index: Centroids, count: int, ratio: float,
              own: np.ndarray | None, enough: int) -> DataFrame:
-    """``key, list, nearest, vec``: the lists of each vector whose distance passes the ratio.
+    """``key, first, list, nearest, vec``: the lists of each vector whose distance passes the ratio.
 
     With ``own`` (vectors that have each list as their nearest) lists are taken beyond the
     ratio until they hold ``enough``.
     """
     # Single precision stays so: the vectors of queries travel once for each list.
     vec = "array<float>" if df.schema["vec"].dataType == ArrayType(FloatType()) else "array<double>"
-    schema = StructType.fromDDL(f"key long, list int, nearest boolean, vec {vec}")
+    schema = StructType.fromDDL(f"key long, first long, list int, nearest boolean, vec {vec}")
     arrow = to_arrow_schema(schema)
     step = max(1, min(2048, 50_000 // min(count, len(index.points))))
 
@@ -174,6 +175,7 @@ def assigned(df: DataFrame, key: str, index: Centroids, count: int, ratio: float
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
                 keys, vectors = part.column("key").to_pylist(), as_matrix(part.column("vec"))
+                first = part.column("first").to_pylist()
                 ids, dist = index.nearest(unit(vectors), count)
                 out: list[tuple] = []
                 for i, key_ in enumerate(keys):
@@ -190,11 +192,11 @@ def assigned(df: DataFrame, key: str, index: Centroids, count: int, ratio: float
                                 if c not in chosen:
                                     chosen.append(c)
                                     held += int(own[c])
-                    out += [(key_, c, j == 0, vectors[i]) for j, c in enumerate(chosen)]
-                columns = list(zip(*out, strict=True)) if out else [()] * 4
+                    out += [(key_, first[i], c, j == 0, vectors[i]) for j, c in enumerate(chosen)]
+                columns = list(zip(*out, strict=True)) if out else [()] * 5
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
-    return df.select(F.col(key).alias("key"), F.col("vec").cast(vec).alias("vec")).mapInArrow(run, schema)
+    return df.select(F.col(key).alias("key"), "first", F.col("vec").cast(vec).alias("vec")).mapInArrow(run, schema)
 
 
 def true_nearest(one: DataFrame, held: np.ndarray, own: list[int], k: int) -> DataFrame:
@@ -250,7 +252,8 @@ def cosine(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
 
 
 def scanned(postings: DataFrame, probes: DataFrame, keep: int) -> DataFrame:
-    """``query, key, score``: the best ``keep`` vectors of each block for each query."""
+    """``query, key, score``: the best ``keep`` vectors of each block for each query, those
+    with the smaller ``first`` id where scores are equal."""
     schema = StructType.fromDDL("query long, key long, score double")
     arrow = to_arrow_schema(schema)
 
@@ -259,14 +262,15 @@ def scanned(postings: DataFrame, probes: DataFrame, keep: int) -> DataFrame:
         if left.num_rows and right.num_rows:
             vectors, keys = as_matrix(left.column("vec").combine_chunks()), left.column("key").to_numpy()
             wanted = as_matrix(right.column("vec").combine_chunks())
+            first = left.column("first").to_numpy()
             rough, queries = unit(vectors), right.column("key").to_numpy()
             for q, w in zip(queries, wanted, strict=True):
                 close = rough @ (w / math.sqrt(float((w * w).sum())))
-                # A little more than asked, as the last digits are settled below.
-                n = min(len(keys), keep + 8)
-                near = np.argpartition(-close, n - 1)[:n]
+                # All within rounding of the last one asked, as the last digits are settled below.
+                n = min(len(keys), keep)
+                near = np.flatnonzero(close >= np.partition(close, -n)[-n] - ROUNDING)
                 score = cosine(w, vectors[near])
-                best = np.lexsort((keys[near], -score))[:keep]
+                best = np.lexsort((keys[near], first[near], -score))[:keep]
                 out.append((np.full(len(best), q), keys[near][best], score[best]))
         columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [[], [], []]
         return pa.table(dict(zip(("query", "key", "score"), columns, strict=True)),
@@ -305,7 +309,7 @@ def nearest_vectors(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "
     vectors = unit(as_matrix(sample.column(0).combine_chunks()))
     count = max(1, min(CENTROIDS, len(vectors) // 4, -(-n // LIST)))
     index = linked(balanced_means(vectors, count))
-    lists = stored(assigned(one, "key", index, REPLICAS, CLOSURE, None, 0), "postings")
+    lists = stored(assigned(one.withColumn("first", F.col("ids")[0]), "key", index, REPLICAS, CLOSURE, None, 0), "postings")
     held = {r[0]: (r[1], r[2]) for r in lists.groupBy("list").agg(
         F.count("*"), F.sum(F.col("nearest").cast("int"))).collect()}    # a row per centroid
     own = np.array([held.get(c, (0, 0))[1] for c in range(count)])
@@ -316,12 +320,12 @@ def nearest_vectors(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "
     for q, key, c in lists.select("key", "list").join(F.broadcast(truth), "key").select("query", "key", "list").collect():
         near.setdefault((q, key), set()).add(c)    # HELD * k * REPLICAS at most
     probes, prune = calibrated(index, held_back, near, probes, prune, recall)
-    wanted = assigned(queries.dropDuplicates(["key"]), "key", index, probes, prune, own, 4 * (k + 1))
+    wanted = assigned(queries.dropDuplicates(["key"]).withColumn("first", F.col("query_id")), "key", index, probes, prune, own, 4 * (k + 1))
     wanted = (wanted.join(F.broadcast(table), "list")
               .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
     dealt = (lists.join(F.broadcast(table), "list")
              .withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")))
-    found = scanned(dealt.select("list", "block", "key", "vec"), wanted.select("list", "block", "key", "vec"), k + 1)
+    found = scanned(dealt.select("list", "block", "key", "first", "vec"), wanted.select("list", "block", "key", "vec"), k + 1)
     found = found.dropDuplicates(["query", "key"]).join(one.select("key", "ids"), "key")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     # k + 1 ids of each query's vector: one of them may be the query itself.

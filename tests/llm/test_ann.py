@@ -90,6 +90,18 @@ def test_hot_vector_ties_and_blocks(spark, monkeypatch):
     assert [v for _, v in near] == [5, 1000, 1001, 1002, 1003]
 
 
+def test_distinct_vectors_of_one_direction(spark):
+    """More equal scores than are kept of a block: the smaller ids win."""
+    r = random.Random(2)
+    scales = [2.0 ** j for j in range(-30, 30)]
+    r.shuffle(scales)
+    rows = [(i, [s * x for x in (1.0, 0.5, -0.25, 3.0)]) for i, s in enumerate(scales)] + [(100, [1.0, 0.5, -0.25, 2.5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.nearest_vectors(df, F.col("vec_id").isin(7, 100), 5).orderBy("query_id", "rank").collect()
+    want = brute(rows, 5, lambda i: i in (7, 100))
+    assert [(x.query_id, x.vec_id) for x in got] == [(i, j) for (_, i), near in sorted(want.items()) for j, _ in near]
+
+
 def test_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (50, [0.0, 1.0]), (1, [1.0, 1.0]), (2, None), (3, []), (4, [0.0, 0.0]), (5, [nan, 1.0]),
