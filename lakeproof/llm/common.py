@@ -32,10 +32,10 @@ def texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
                      F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """``df`` written below the shared folder and read again: cut lineage, fixed rows."""
     path = fresh_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeproof.llm import (ann, bpe, license_scan, line_dedup, ngram_join, packing,
+from lakeproof.llm import (ann, bpe, cross_align, license_scan, line_dedup, ngram_join, packing,
                            quality_classifier, quality_rules, sharding, token_counts)
 from lakeproof.llm.common import documents, file_bytes, table
 
@@ -83,3 +83,10 @@ def op4_posting_list_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(documents(spark, sf_dir))
+
+
+@query
+def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measures, _ = cross_align.alignment_measures(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"),
+                                                 vocabulary("piece_bpe_32k.model"))
+    return measures
