@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeproof.llm import (ann, bpe, cross_align, license_scan, line_dedup, ngram_join, packing,
+from lakeproof.llm import (ann, bpe, cross_align, license_scan, line_dedup, merkle, ngram_join, packing,
                            quality_classifier, quality_rules, sharding, token_counts)
 from lakeproof.llm.common import documents, file_bytes, table
 
@@ -90,3 +90,11 @@ def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFram
     measures, _ = cross_align.alignment_measures(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"),
                                                  vocabulary("piece_bpe_32k.model"))
     return measures
+
+
+@query
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.fingerprints(documents(spark, sf_dir))
+
+
+ORACLE["op12_document_fingerprints"] = merkle.SQL
