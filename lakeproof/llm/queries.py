@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeproof.llm import (ann, bpe, cross_align, license_scan, line_dedup, merkle, ngram_join, packing,
+from lakeproof.llm import (ann, bpe, collocations, cross_align, license_scan, line_dedup, merkle, ngram_join, packing,
                            quality_classifier, quality_rules, sharding, token_counts)
 from lakeproof.llm.common import documents, file_bytes, table
 
@@ -98,3 +98,8 @@ def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op12_document_fingerprints"] = merkle.SQL
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
