@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from lakeproof import schemas
 from lakeproof.functions import paths
 from lakeproof.functions.types import canonical_schema, captured_columns
-from lakeproof.operators import drift, inventory as inv, partitions as parts
+from lakeproof.operators import drift, inventory as inv, ledger, partitions as parts
 from lakeproof.operators.lookup import is_small, lookup
 from lakeproof.operators.merge import update_matched
 from lakeproof.plans.state import Tables
@@ -121,7 +121,7 @@ def unloadable(captured: DataFrame, schema: T.StructType) -> DataFrame:
     return files.filter("is_corrupted").select("partition_path").unionByName(drifted).distinct()
 
 
-# Folders that one partition of the table is made of.
+# Files that one partition of the table is made of.
 Unit = list[Row]
 
 
@@ -137,7 +137,7 @@ def _run_isolating(units: list[Unit], work: Callable[[list[Row]], None],
         work(rows)
         return []
     except (*SPARK_ERRORS, ValueError) as error:
-        LOG.warning("could not take %d folders from %s on: %s", len(rows), rows[0].partition_path, error)
+        LOG.warning("could not take %d files from %s on: %s", len(rows), rows[0].partition_path, error)
         if len(units) == 1:
             return rows
     try:
@@ -149,53 +149,67 @@ def _run_isolating(units: list[Unit], work: Callable[[list[Row]], None],
     return _run_isolating(units[:half], work, probe) + _run_isolating(units[half:], work, probe)
 
 
-def _each_batch(plan: DataFrame, work: Callable[[list[Row]], None], pair: list[str],
+def _each_batch(files: DataFrame, work: Callable[[list[Row]], None], spec: PartitionSpec,
                 probe: Callable[[], None]) -> list[Row]:
-    """Bounded batches of partitions; folders of one partition (``pair``) stay together."""
+    """Bounded batches of files; all files of one partition pair stay together."""
     failed: list[Row] = []
-    ordered = plan.select(*pair, "partition_path").distinct().orderBy(*pair, "partition_path")
-    units = (list(same) for _, same in groupby(
-        ordered.toLocalIterator(), key=lambda r: tuple(r[c] for c in pair) if pair else r.partition_path))
-    for batch in tb.batches(units):
+    pair = [spec.run, spec.date]
+    ordered = files.orderBy(*pair, "data_file")
+    units = (list(same) for _, same in groupby(ordered.toLocalIterator(), key=lambda r: tuple(r[c] for c in pair)))
+    for batch in tb.batches(units, weight=len):
         failed += _run_isolating(batch, work, probe)
     return failed
 
 
+def _read_files(spark: SparkSession, root: str, rows: list[Row], schema: T.StructType) -> DataFrame:
+    """Just these files in one frame; folders may spell the partition columns differently."""
+    ordered = sorted(rows, key=lambda r: tb.layout(r.partition_path))
+    reads = [tb.read_partitions(spark, root, [r.data_file for r in same], schema)
+             for _, same in groupby(ordered, key=lambda r: tb.layout(r.partition_path))]
+    return reduce(DataFrame.unionByName, reads)
+
+
+def _failed_pairs(spark: SparkSession, rows: list[Row], spec: PartitionSpec) -> DataFrame:
+    kind = T.StructType([f for f in schemas.ledger(spec).fields if f.name in (spec.run, spec.date)])
+    return spark.createDataFrame(list({(r[spec.run], r[spec.date]) for r in rows}), kind)
+
+
 def load_dataset(spark: SparkSession, plan: DataFrame, inventory: DataFrame, schema: T.StructType,
                  table: str, root: str, spec: PartitionSpec = DEFAULT,
                  replace_partitions: bool = True, location: str | None = None,
                  captured: DataFrame | None = None) -> DataFrame:
     """Loads planned partitions into the managed table; load status per partition.
 
-    A partition is loaded whole, all its folders in one write, and takes the place of what
-    the table had of it: neither a late file nor a repeated load doubles rows.
+    A pair is loaded whole, the inventoried files of all its folders in one write, and takes
+    the place of what the table had of it: neither a late file nor a repeated load loses or
+    doubles rows.  A pair with one folder that cannot be read is not touched.  Without
+    ``replace_partitions`` only files that wait are appended.
 
-    Footers tell beforehand which partitions cannot be read (``captured``, else they are
-    read here); all others go through one strict read and one append per batch.
+    Footers tell beforehand which partitions cannot be read (``captured``: the files of the
+    planned pairs with their footers, else read here); all others go through one strict read
+    and one write per batch.
     """
     plan = cut_lineage(plan)
+    pair = [spec.run, spec.date]
     if captured is None:
-        captured = cut_lineage(footers.capture_files(partition_files(inventory, plan, spec)))
-    bad = cut_lineage(unloadable(captured, schema))
+        files = ledger.pair_files(inventory, plan, spec, not replace_partitions)
+        captured = cut_lineage(footers.capture_files(files))
     tb.create_table(spark, table, schema, spec, location)
-    if not tb.fits(spark.table(table).schema, schema):  # nothing can be appended
-        bad = plan.select("partition_path").distinct()
-    good = plan.join(bad, ["partition_path"], "left_anti")
+    if tb.fits(spark.table(table).schema, schema):
+        folders = unloadable(captured, schema)
+        bad = captured.join(folders, ["partition_path"], "left_semi").select(*pair).distinct()
+    else:   # nothing can be appended
+        bad = plan.select(*pair).distinct()
+    bad = cut_lineage(bad)
+    good = captured.join(bad, pair, "left_anti").select(*pair, "partition_path", "data_file")
 
     def append(rows: list[Row]) -> None:
-        folders = sorted((r.partition_path for r in rows), key=tb.layout)
-        parts_ = [tb.read_partitions(spark, root, list(same), schema)
-                  for _, same in groupby(folders, key=tb.layout)]
-        data = reduce(DataFrame.unionByName, parts_)
-        tb.append_evolving(data, table, spec, replace_partitions)
+        tb.append_evolving(_read_files(spark, root, rows, schema), table, spec, replace_partitions)
 
-    # All folders of a planned partition are read, also those of it that were loaded before.
     nothing = spark.createDataFrame([], schema)
-    late = _each_batch(good, append, [spec.run, spec.date],
-                       lambda: tb.append_evolving(nothing, table, spec))
-    failed = bad.unionByName(spark.createDataFrame([(r.partition_path,) for r in late],
-                                                   "partition_path string"))
-    status = plan.join(failed.withColumn("bad", F.lit(True)), ["partition_path"], "left")
+    late = _each_batch(good, append, spec, lambda: tb.append_evolving(nothing, table, spec))
+    failed = bad.unionByName(_failed_pairs(spark, late, spec)).distinct()
+    status = plan.join(failed.withColumn("bad", F.lit(True)), pair, "left")
     return cut_lineage(status.select(
         "partition_path", F.col("s3_bucket_name").alias("bucket_name"), "bucket_prefix",
         spec.run, spec.date,
@@ -262,6 +276,14 @@ def _of(df: DataFrame, row: Row) -> DataFrame:
                      & (F.col("bucket_prefix") == row.bucket_prefix))
 
 
+def whole_plan(inventory: DataFrame, tags: DataFrame, taken: DataFrame,
+               spec: PartitionSpec = DEFAULT) -> DataFrame:
+    """Blessed partitions that wait, and those whose newest load lacks a file that counts as loaded."""
+    waiting = parts.load_plan(inventory, tags, spec)
+    stale = parts.blessed_partitions(ledger.stale_pairs(inventory, taken, spec), tags, spec)
+    return waiting.unionByName(stale.select(*waiting.columns)).distinct()
+
+
 def load(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT,
          replace_partitions: bool = True, **limits) -> DataFrame:
     """Claims open candidates and loads each claimed dataset; returns status per partition.
@@ -275,9 +297,10 @@ def load(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT,
     # Plan, footers and read schemas of all claimed datasets at once; the loop only appends.
     inventory, mine = spark.table(tables.inventory), claims.select(*inv.DATASET).distinct()
     small = is_small(mine)
-    plan = cut_lineage(lookup(parts.load_plan(inventory, spark.table(tables.tags), spec), mine,
-                              inv.DATASET, "left_semi", small=small))
-    captured = cut_lineage(footers.capture_files(partition_files(inventory, plan, spec)))
+    plan = cut_lineage(lookup(whole_plan(inventory, spark.table(tables.tags), spark.table(tables.ledger), spec),
+                              mine, inv.DATASET, "left_semi", small=small))
+    files = cut_lineage(ledger.pair_files(inventory, plan, spec, not replace_partitions))
+    captured = cut_lineage(footers.capture_files(files))
     catalog = lookup(spark.table(tables.catalog), mine, inv.DATASET, "left_semi", small=small)
     found = drift.latest_readable_schemas(catalog, plan, spec, inv.DATASET)
     targets = parts.table_targets(spark.table(tables.mapping), spec.scheme)
@@ -308,6 +331,8 @@ def load(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT,
             failed.append(key)
             returned.append(key)
             continue
+        done = status.filter("load_status = 'loaded'").withColumnRenamed("bucket_name", "s3_bucket_name")
+        tb.append_rows(ledger.taken(_of(files, row), done, row.execution_id, "load", spec), tables.ledger)
         tb.append_rows(status.withColumn("was", F.lit(None).cast("string")), tables.pending)
         out = out.unionByName(status)
     settle(spark, tables, spec)
@@ -327,40 +352,44 @@ def remediate_dataset(spark: SparkSession, failed: DataFrame, inventory: DataFra
                       base: T.StructType, table: str, root: str, spec: PartitionSpec = DEFAULT,
                       lenient: bool = False, fill_missing: bool = False,
                       partitions_from: str = "path", captured: DataFrame | None = None) -> DataFrame:
-    """Casts failed partitions to the base schema and appends them; outcome per partition.
+    """Casts failed partitions to the base schema and loads them; outcome per partition.
 
-    Partitions are grouped by their captured schema, of which a dataset has few; each
-    group is one read and one append.  The partition columns come from the path, or with
-    ``partitions_from="data"`` from the files where those hold them.
+    A pair is repaired whole: the inventoried files of all its folders, each cast from the
+    schema of its own footer, are written at once and take the place of what the table had of
+    the pair, so that neither a repeated repair nor a pair loaded before doubles rows.  A pair
+    with a file that cannot be read is not touched.
+
+    The partition columns come from the path, or with ``partitions_from="data"`` from the
+    files where those hold them; since such files may name any partition, those are appended,
+    and refused where the table already has the partition.
     """
     failed = cut_lineage(failed)
+    pair = [spec.run, spec.date]
     if captured is None:
-        captured = footers.capture_files(partition_files(inventory, failed, spec))
-    kinds = cut_lineage(captured.groupBy("partition_path").agg(
-        F.bool_or("is_corrupted").alias("is_corrupted"),
-        F.count_distinct("schema_json").alias("kinds"), F.min("schema_json").alias("schema_json")))
-    readable = kinds.filter(~F.col("is_corrupted") & (F.col("kinds") == 1))
-    bad = kinds.filter(F.col("is_corrupted") | (F.col("kinds") > 1)).select("partition_path")
-    late: list[Row] = []
+        captured = footers.capture_files(ledger.pair_files(inventory, failed, spec))
+    captured = cut_lineage(captured)
+    bad = captured.filter("is_corrupted").select(*pair).distinct()
+    good = captured.join(bad, pair, "left_anti").select(*pair, "partition_path", "data_file", "schema_json")
     nothing = spark.createDataFrame([], base)
-    for kind in readable.select("schema_json").distinct().toLocalIterator():
-        raw = drift.read_schema(kind.schema_json, spec)
 
-        def append(rows: list[Row], raw=raw, text=kind.schema_json) -> None:
-            folders = [r.partition_path for r in rows]
+    def append(rows: list[Row]) -> None:
+        aligned = []
+        for text, same in groupby(sorted(rows, key=lambda r: r.schema_json), key=lambda r: r.schema_json):
             if partitions_from == "data":
-                data = tb.read_as_stored(spark, folders, drift.stored_schema(text), spec)
+                raw = tb.read_as_stored(spark, [r.data_file for r in same], drift.stored_schema(text), spec)
             else:
-                parts_ = [tb.read_partitions(spark, root, list(same), raw)
-                          for _, same in groupby(sorted(folders, key=tb.layout), key=tb.layout)]
-                data = reduce(DataFrame.unionByName, parts_)
-            tb.append_evolving(drift.align(data, base, lenient, fill_missing), table, spec)
-
-        late += _each_batch(readable.filter(F.col("schema_json") == kind.schema_json), append, [],
-                            lambda: tb.append_evolving(nothing, table, spec))
-    failures = bad.unionByName(spark.createDataFrame([(r.partition_path,) for r in late],
-                                                     "partition_path string"))
-    done = failed.join(failures.withColumn("bad", F.lit(True)), ["partition_path"], "left")
+                raw = _read_files(spark, root, list(same), drift.read_schema(text, spec))
+            aligned.append(drift.align(raw, base, lenient, fill_missing))
+        data = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), aligned)
+        if partitions_from == "data":
+            held = spark.table(table).select(*pair).distinct()
+            if not data.select(*pair).distinct().join(held, pair, "left_semi").isEmpty():
+                raise ValueError("the table already has a partition that the files name")
+        tb.append_evolving(data, table, spec, partitions_from != "data")
+
+    late = _each_batch(good, append, spec, lambda: tb.append_evolving(nothing, table, spec))
+    failures = bad.unionByName(_failed_pairs(spark, late, spec)).distinct()
+    done = failed.join(failures.withColumn("bad", F.lit(True)), pair, "left")
     return cut_lineage(done.select(
         *failed.columns, F.when(F.col("bad"), F.lit("failed")).otherwise(F.lit("loaded")).alias("load_status")))
 
@@ -425,7 +454,8 @@ def remediate(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT
     failed = cut_lineage(parts.failed_partitions(spark.table(tables.inventory),
                                                  spark.table(tables.mapping), spec, bucket, datasets))
     inventory, mine = spark.table(tables.inventory), failed.select(*inv.DATASET).distinct()
-    captured = cut_lineage(footers.capture_files(partition_files(inventory, failed, spec)))
+    files = cut_lineage(ledger.pair_files(inventory, failed, spec))
+    captured = cut_lineage(footers.capture_files(files))
     found = base_schemas(spark, tables, mine, spec)
     targets = parts.table_targets(spark.table(tables.mapping), spec.scheme)
     # A dataset without a schema is skipped whole: it has no row here.
@@ -441,6 +471,9 @@ def remediate(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT
         except (*SPARK_ERRORS, ValueError) as error:
             LOG.warning("could not remediate %s: %s", row.bucket_prefix, error)
             continue
+        newest = outcome.agg(F.max("execution_id")).first()[0]
+        done = outcome.filter("load_status = 'loaded'")
+        tb.append_rows(ledger.taken(_of(files, row), done, newest, "remediate", spec), tables.ledger)
         status = outcome.withColumnRenamed("s3_bucket_name", "bucket_name").withColumn("was", F.lit("failed"))
         tb.append_rows(status.select(*schemas.pending_status(spec).names), tables.pending)
         log = log.unionByName(cut_lineage(remediation_summary(outcome)))

@@ -19,6 +19,7 @@ class Tables:
     catalog: str = "parquet_schemas"
     claims: str = "migration_status"
     pending: str = "pending_load_status"
+    ledger: str = "partition_ledger"
     results: str = "recon_results"
     remediation: str = "recon_remediation"
     comparison: str = "schema_comparison_results"
@@ -37,6 +38,7 @@ def create_state(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFA
                          (tables.candidates, schemas.CANDIDATES), (tables.tags, schemas.PARTITION_TAGS),
                          (tables.catalog, schemas.SCHEMA_CATALOG), (tables.claims, schemas.CLAIMS),
                          (tables.pending, schemas.pending_status(spec)),
+                         (tables.ledger, schemas.ledger(spec)),
                          (tables.results, schemas.RECON_RESULTS),
                          (tables.remediation, schemas.REMEDIATION_LOG),
                          (tables.comparison, schemas.SCHEMA_COMPARISON),

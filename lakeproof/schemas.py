@@ -63,6 +63,14 @@ def pending_status(spec: PartitionSpec = DEFAULT) -> T.StructType:
     return load_status(spec).add("was", "string")
 
 
+def ledger(spec: PartitionSpec = DEFAULT) -> T.StructType:
+    """Files that each load or repair of a partition pair took."""
+    return _struct(
+        f"s3_bucket_name string, bucket_prefix string, `{spec.run}` string, `{spec.date}` date, "
+        "partition_path string, data_file string, size bigint, last_modified_time timestamp, "
+        "load_id string, step string, loaded_at timestamp")
+
+
 RECON_RESULTS = _struct(
     "execution_id string, table_name string, recon_type string, exec_timestamp timestamp, "
     "exec_duration double, status string, source_metrics string, target_metrics string, "

@@ -1,9 +1,10 @@
 """Readers and writers of tables and partition folders."""
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
-from itertools import groupby, islice
+from itertools import groupby
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,10 +79,17 @@ def read_as_stored(spark: SparkSession, folders: list[str], schema: T.StructType
     return data
 
 
-def batches(rows: Iterable, size: int = BATCH) -> Iterator[list]:
-    """Rows in lists of bounded length, for readers that want paths by name."""
-    rows = iter(rows)
-    while chunk := list(islice(rows, size)):
+def batches(rows: Iterable, size: int = BATCH, *, weight: Callable[[Any], int] = lambda row: 1) -> Iterator[list]:
+    """Rows in lists of bounded weight (at least one row), for readers that want paths by name."""
+    chunk, held = [], 0
+    for row in rows:
+        more = weight(row)
+        if chunk and held + more > size:
+            yield chunk
+            chunk, held = [], 0
+        chunk.append(row)
+        held += more
+    if chunk:
         yield chunk
 
 
