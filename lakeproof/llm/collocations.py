@@ -121,6 +121,18 @@ def neighbours(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (left << KEY_BITS) | right, at
 
 
+def squeezed(ids: np.ndarray) -> np.ndarray:
+    """Only ids with a neighbour, runs of them kept apart by one ``NONE``; places do not matter."""
+    has = ids != NONE
+    beside = np.zeros(len(ids), np.bool_)
+    beside[1:] |= has[:-1]
+    beside[:-1] |= has[1:]
+    has &= beside
+    gap = ~has
+    gap[1:] &= has[:-1]     # the first place after a run
+    return np.where(has, ids, np.uint32(NONE))[has | gap]
+
+
 def halves(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (keys >> KEY_BITS).astype(np.int64), (keys & np.uint64(NONE)).astype(np.int64)
 
@@ -235,7 +247,7 @@ def renumbered(bundles: DataFrame, answers: DataFrame, pairs: bool) -> DataFrame
             place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
             has = known[place] == keys
             out[at[has]] = new[place[has]]
-        return to_batch([(bundle, lang, out.tobytes())], arrow)
+        return to_batch([(bundle, lang, squeezed(out).tobytes())], arrow)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
