@@ -59,20 +59,6 @@ def by_rows(df: DataFrame, schema: str | StructType,
     return df.mapInArrow(run, schema)
 
 
-def keep_where(df: DataFrame, text_col: str,
-               decide: Callable[[list[str | None]], list[bool]]) -> DataFrame:
-    """Rows of ``df``, all columns, whose text is decided to stay; a few texts at a time."""
-    at_text, schema = df.columns.index(text_col), df.schema
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
-                mask = decide(part.column(at_text).to_pylist())
-                yield part.filter(pa.array(mask, pa.bool_()))
-    return df.mapInArrow(run, schema)
-
-
 def to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True)) if rows else [()] * len(schema)
     return pa.RecordBatch.from_arrays(

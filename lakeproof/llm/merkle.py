@@ -118,24 +118,29 @@ def with_edit(df: DataFrame, one: str, other: str, start: str, end: str) -> Data
                        F.when(differ, chars(F.slice("_a", F.lit(1), stop))).alias(end))
 
 
+# A row's place in the order: whether it has an id, the id (else 0), a hash of the text. As
+# plain columns without nulls, one exchange by them serves grouping and joins alike.
+KEY = ["has_id", "id", "h"]
+BEFORE = [f"prev_{c}" for c in KEY]
+
+
 def successors(keys: DataFrame) -> DataFrame:
-    """For distinct keys ``doc_id, h`` with ``n``: the key before each one, around the end.
+    """For distinct keys with ``n`` characters: the key before each one, around the end.
 
-    Returns ``doc_id, h, prev_id, prev_h, taken``; ``taken`` is what the one before asks for.
+    Returns ``KEY, BEFORE, taken``; ``taken`` is what the one before asks for.
     """
-    order = [F.col("doc_id").asc_nulls_first(), F.col("h").asc()]
-    pieces = stored(keys.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "order")
-    inside = F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1
+    pieces = stored(keys.repartitionByRange(*KEY).withColumn("part", F.spark_partition_id()), "order")
+    inside = F.row_number().over(Window.partitionBy("part").orderBy(*KEY)) - 1
     # One row for each partition of the exchange.
     sizes = pieces.groupBy("part").agg(F.count("*").cast("long").alias("size"))
     before = F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     starts = sizes.select("part", F.coalesce(before, F.lit(0)).alias("since"))
     total = max(pieces.count(), 1)
-    numbered = pieces.join(F.broadcast(starts), "part").select(
-        "doc_id", "h", "n", (F.col("since") + inside).alias("place"))
-    behind = numbered.select(((F.col("place") + 1) % total).alias("place"), F.col("doc_id").alias("prev_id"),
-                             F.col("h").alias("prev_h"), F.expr(f"cast(n div {TAKEN} as int)").alias("taken"))
-    return numbered.join(behind, "place").select("doc_id", "h", "prev_id", "prev_h", "taken")
+    numbered = pieces.join(F.broadcast(starts), "part").select(*KEY, "n", (F.col("since") + inside).alias("place"))
+    behind = numbered.select(((F.col("place") + 1) % total).alias("place"),
+                             *(F.col(k).alias(b) for k, b in zip(KEY, BEFORE, strict=True)),
+                             F.expr(f"cast(n div {TAKEN} as int)").alias("taken"))
+    return numbered.join(behind, "place").select(*KEY, *BEFORE, "taken")
 
 
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -146,18 +151,17 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     or all, in place of its last quarter (rounded down).
     """
     body = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    rows = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), body.alias("text"))
+    doc = F.col(f"`{id_col}`").cast("long")
+    rows = df.select(doc.isNotNull().alias("has_id"), F.coalesce(doc, F.lit(0)).cast("long").alias("id"), body.alias("text"))
     rows = rows.withColumn("h", F.xxhash64("text"))
-    keys = rows.groupBy("doc_id", "h").agg(F.max(F.char_length("text")).alias("n"))
-    to = successors(keys)
+    keys = rows.groupBy(*KEY).agg(F.max(F.char_length("text")).alias("n"))
 
-    same = rows["doc_id"].eqNullSafe(to["doc_id"]) & (rows["h"] == to["h"])
-    heads = rows.join(to, same).select("prev_id", "prev_h", "text",
-                                       F.expr("substring(text, 1, taken)").alias("head"))
-    heads = (with_fingerprint(heads, "text", "next_fingerprint").select("prev_id", "prev_h", "head", "next_fingerprint")
-             .dropDuplicates(["prev_id", "prev_h"]))
+    heads = rows.join(successors(keys), KEY).select(*BEFORE, "text", F.expr("substring(text, 1, taken)").alias("head"))
+    heads = (with_fingerprint(heads, "text", "next_fingerprint").select(*BEFORE, "head", "next_fingerprint")
+             .dropDuplicates(BEFORE))
 
-    met = rows.join(heads, rows["doc_id"].eqNullSafe(heads["prev_id"]) & (rows["h"] == heads["prev_h"]))
+    met = rows.join(heads.select(*(F.col(b).alias(k) for k, b in zip(KEY, BEFORE, strict=True)), "head", "next_fingerprint"), KEY)
+    met = met.withColumn("doc_id", F.when(F.col("has_id"), F.col("id")))
     n = F.char_length("text").cast("long")
     met = met.select("doc_id", "text", n.alias("n_chars"), "next_fingerprint", F.expr(
         f"concat(substring(text, 1, cast(length(text) - length(text) div {TAKEN} as int)), head)").alias("edited"))

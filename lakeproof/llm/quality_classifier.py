@@ -25,8 +25,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeproof.llm.common import keep_where, stored
-from lakeproof.llm.text_stats import COUNTS, count_table, features, statistics, vectorised
+from lakeproof.llm.common import stored
+from lakeproof.llm.text_stats import COUNTS, features, keep_where, statistics, vectorised
 
 SAMPLE = 20_000
 FOLDS, CUT = 5, 0.3
@@ -141,8 +141,8 @@ def quality_scores(df: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                          (F.col("score") >= CUT).cast("int").alias("predicted"))
 
 
-def accept(df: DataFrame, model: Model | None, text_col: str = "text", cut: float = CUT) -> DataFrame:
-    """Rows of ``df`` whose text reaches the cut; all of them without a model."""
+def accept(df: DataFrame, model: Model | None, cut: float = CUT) -> DataFrame:
+    """Rows of ``df`` whose ``counts`` (of ``with_counts``) reach the cut; all without a model."""
     if model is None:
         return df
-    return keep_where(df, text_col, lambda part: (model.score(count_table(part)) >= cut).tolist())
+    return keep_where(df, lambda table: model.score(table) >= cut)

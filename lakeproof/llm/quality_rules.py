@@ -26,8 +26,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeproof.llm.common import keep_where, stored
-from lakeproof.llm.text_stats import COUNTS, FEATURES, count_table, features, statistics, vectorised
+from lakeproof.llm.common import stored
+from lakeproof.llm.text_stats import COUNTS, FEATURES, features, keep_where, statistics, vectorised
 
 SAMPLE = 20_000
 TREES, PER_TREE, SEED = 48, 256, 7
@@ -167,6 +167,6 @@ def quality_rules(df: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     return judge_statistics(stats, fit(stats, labels))
 
 
-def keep(df: DataFrame, rules: Rules, text_col: str = "text") -> DataFrame:
-    """Rows of ``df`` whose text the rules keep."""
-    return keep_where(df, text_col, lambda part: rules.judge(count_table(part))[2].tolist())
+def keep(df: DataFrame, rules: Rules) -> DataFrame:
+    """Rows of ``df`` whose ``counts`` (of ``with_counts``) the rules keep."""
+    return keep_where(df, lambda table: rules.judge(table)[2])

@@ -8,9 +8,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from lakeproof.llm.common import by_rows, texts
+from lakeproof.llm.common import SLICE, by_rows, texts
 
 BLANKS = " \t\n\x0b\x0c\r"
 # The characters that count as symbols.
@@ -71,6 +73,28 @@ def statistics(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return by_rows(texts(df, id_col, text_col), STATS, lambda: lambda doc, text: (doc, *counts(text)))
 
 
+def with_counts(df: DataFrame, text_col: str = "text", out: str = "counts") -> DataFrame:
+    """``df`` with the ``COUNTS`` of a text as an array; texts go to Python and do not come back."""
+    def count(batch: pa.Array) -> pa.Array:
+        parts = [count_table(batch.slice(at, SLICE).to_pylist()) for at in range(0, len(batch), SLICE)]
+        numbers = np.concatenate(parts).ravel() if parts else np.zeros(0, np.int64)
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, len(numbers) + 1, len(COUNTS)), pa.int32()), pa.array(numbers))
+    return df.withColumn(out, F.arrow_udf(count, "array<bigint>")(F.col(f"`{text_col}`")))
+
+
+def counted_statistics(df: DataFrame, id_col: str = "doc_id", counts: str = "counts") -> DataFrame:
+    """What ``statistics`` gives, from a column of ``with_counts``."""
+    return df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+                     *(F.col(counts)[i].alias(c) for i, c in enumerate(COUNTS)))
+
+
+def keep_where(df: DataFrame, decide: Callable[[np.ndarray], np.ndarray], counts: str = "counts") -> DataFrame:
+    """Rows of ``df`` that are decided to stay by their counts; only those go to Python."""
+    def stays(batch: pa.Array) -> pa.Array:
+        return pa.array(decide(batch.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(COUNTS))), pa.bool_())
+    return df.where(F.arrow_udf(stays, "boolean")(F.col(counts)))
+
+
 def features(table: np.ndarray) -> np.ndarray:
     """Rows of ``COUNTS`` as rows of ``FEATURES``: shares, so that length alone says little."""
     c = dict(zip(COUNTS, np.asarray(table, dtype=float).reshape(-1, len(COUNTS)).T, strict=True))
@@ -84,7 +108,6 @@ def features(table: np.ndarray) -> np.ndarray:
 
 def vectorised(df: DataFrame, schema: str, scored: Callable[[np.ndarray], tuple]) -> DataFrame:
     """``doc_id`` and what ``scored`` makes of the ``COUNTS`` of a batch."""
-    import pyarrow as pa
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
     out = StructType.fromDDL(schema)
