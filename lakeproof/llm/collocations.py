@@ -1,7 +1,8 @@
 """Collocations: frequent phrases of two to five words, counted by direct-address tiles.
 
-Texts become sequences of word numbers, many texts of one language in a bundle. Frequent
-words get ids in order of frequency. All pairs of neighbouring ids are then counted: the
+Texts become sequences of word numbers, many texts of one language in a bundle. Words
+are dealt out by a checksum and counted tile by tile; frequent ones get ids in order of
+frequency. All pairs of neighbouring ids are then counted: the
 space of pairs is dealt out in tiles, a pair going to the tile that both ids name by their
 remainders, so that frequent ids spread over all tiles alike; in a tile, the pairs of its
 most frequent ids are counted in a dense table by ``bincount``, the others as sorted
@@ -23,11 +24,14 @@ table without frequent phrases, or without rows, gives none.
 from __future__ import annotations
 
 import math
+import zlib
 from array import array
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,9 +59,31 @@ GATHERED = "bundle string, lang string, n_words long, ids binary, words array<st
 BUNDLED = "bundle string, lang string, ids binary"
 TILED = "lang string, tile long, bundle string, keys binary, times binary"
 COUNTED = "lang string, bundle string, keys binary, new binary, left array<long>, right array<long>, id array<long>, f array<long>"
+WORDS_TILED = "lang string, tile long, bundle string, words array<string>, numbers binary, times binary"
+WORDS_COUNTED = "lang string, bundle string, keys binary, new binary, word array<string>, id array<long>, f array<long>"
 ANSWERED = "bundle string, lang string, turn int, ids binary, keys binary, new binary"
 
 
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers byte plane by byte plane, compressed: high bytes are mostly alike."""
+    planes = np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, numbers.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as their steps."""
+    return packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data, np.uint64), dtype=np.uint64)
+
+
 class Numbers(dict):
     """Words numbered as they come; 0 is the mark between pieces."""
 
@@ -85,7 +111,7 @@ def gather(df: DataFrame, bundle: int = BUNDLE) -> DataFrame:
                 sequence = np.frombuffer(ids, np.uint32)
                 times = np.bincount(sequence, minlength=len(numbers))
                 words = [w.decode() for w in numbers]
-                yield to_batch([(f"{task}-{written}", lang, int(times[1:].sum()), sequence.tobytes(),
+                yield to_batch([(f"{task}-{written}", lang, int(times[1:].sum()), packed(sequence),
                                  words[1:], times[1:].tolist())], arrow)
                 written += 1
             open_.clear()
@@ -173,13 +199,13 @@ def tiles(bundles: DataFrame, side: int) -> DataFrame:
         for batch in batches:
             for row in range(batch.num_rows):
                 bundle, lang, ids = (batch.column(c)[row].as_py() for c in ("bundle", "lang", "ids"))
-                keys, times = counted(neighbours(np.frombuffer(ids, np.uint32))[0], None, 1)
+                keys, times = counted(neighbours(unpacked(ids, np.uint32))[0], None, 1)
                 left, right = halves(keys)
                 tile = left % side * side + right % side
                 order = np.argsort(tile, kind="stable")
                 keys, times, tile = keys[order], times[order].astype(np.uint32), tile[order]
                 borders = [0, *(np.flatnonzero(np.diff(tile)) + 1), len(tile)] if len(tile) else [0]
-                yield to_batch([(lang, int(tile[a]), bundle, keys[a:b].tobytes(), times[a:b].tobytes())
+                yield to_batch([(lang, int(tile[a]), bundle, packed_keys(keys[a:b]), packed(times[a:b]))
                                 for a, b in zip(borders, borders[1:])], arrow)
     return bundles.select("bundle", "lang", "ids").mapInArrow(run, schema)
 
@@ -205,7 +231,7 @@ def count_tiles(tiled: DataFrame, side: int, least: int) -> DataFrame:
                 place = np.minimum(np.searchsorted(found, mine), len(found) - 1)
                 has = found[place] == mine
                 if has.any():
-                    rows.append((lang, bundle, mine[has].tobytes(), new[place[has]].astype(np.uint32).tobytes(),
+                    rows.append((lang, bundle, packed_keys(mine[has]), packed(new[place[has]].astype(np.uint32)),
                                  None, None, None, None))
         return to_batch(rows, arrow)
 
@@ -218,7 +244,7 @@ def count_tiles(tiled: DataFrame, side: int, least: int) -> DataFrame:
                     yield finish(*now, held)
                     held = []
                 now = lang, tile
-                held.append((bundle, np.frombuffer(keys, np.uint64), np.frombuffer(times, np.uint32).astype(np.int64)))
+                held.append((bundle, unpacked_keys(keys), unpacked(times, np.uint32).astype(np.int64)))
         if held:
             yield finish(*now, held)
     return (tiled.select(*schema_names(TILED)).repartition("lang", "tile").sortWithinPartitions("lang", "tile")
@@ -247,7 +273,7 @@ def renumbered(bundles: DataFrame, answers: DataFrame, pairs: bool) -> DataFrame
             place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
             has = known[place] == keys
             out[at[has]] = new[place[has]]
-        return to_batch([(bundle, lang, squeezed(out).tobytes())], arrow)
+        return to_batch([(bundle, lang, packed(squeezed(out)))], arrow)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, []
@@ -257,39 +283,82 @@ def renumbered(bundles: DataFrame, answers: DataFrame, pairs: bool) -> DataFrame
                 if turn == 0:
                     if now:
                         yield finish(*now, held)
-                    now, held = (bundle, lang, np.frombuffer(ids, np.uint32)), []
+                    now, held = (bundle, lang, unpacked(ids, np.uint32)), []
                 else:
-                    held.append((np.frombuffer(keys, np.uint64), np.frombuffer(new, np.uint32)))
+                    held.append((unpacked_keys(keys), unpacked(new, np.uint32)))
         if now:
             yield finish(*now, held)
     return (rows.select(*schema_names(ANSWERED)).repartition("bundle").sortWithinPartitions("bundle", "turn")
             .mapInArrow(run, schema))
 
 
-def first_level(gathered: DataFrame, deal: int, least: int) -> tuple[DataFrame, DataFrame]:
-    """Frequent words as phrases of one word, and the numbers by which each bundle knows them."""
-    held = gathered.select("bundle", "lang", F.posexplode(F.arrays_zip("words", "times")).alias("at", "w")).select(
-        "bundle", "lang", (F.col("at") + 1).cast("long").alias("number"), "w.words", "w.times")
-    often = held.groupBy("lang", F.col("words").alias("word")).agg(F.sum("times").alias("f")).where(F.col("f") >= least)
-    dealt = often.withColumn("tile", F.pmod(F.xxhash64("word"), F.lit(deal)))
-    rank = F.row_number().over(Window.partitionBy("lang", "tile").orderBy(F.desc("f"), "word")) - 1
-    words = stored(dealt.select("lang", (rank * deal + F.col("tile")).cast("long").alias("id"), F.col("word").alias("phrase"),
-                                F.col("word").alias("last"), "f", F.array().cast("array<long>").alias("heads"),
-                                F.array().cast("array<long>").alias("tails")), "words")
-    known = held.join(words.select("lang", F.col("phrase").alias("words"), "id"), ["lang", "words"])
-    # As many as the bundle has words.
-    lists = known.groupBy("bundle", "lang").agg(F.collect_list(F.struct("number", "id")).alias("l"))
-    schema = StructType.fromDDL("bundle string, lang string, keys binary, new binary")
+def word_tiles(gathered: DataFrame, deal: int) -> DataFrame:
+    """``WORDS_TILED``: the words of each bundle with their numbers and counts, a row for each tile."""
+    schema = StructType.fromDDL(WORDS_TILED)
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                bundle, lang, words, times = (batch.column(c)[row].as_py() for c in ("bundle", "lang", "words", "times"))
+                tile = np.fromiter((zlib.crc32(w.encode()) % deal for w in words), np.int64, len(words))
+                order = np.argsort(tile, kind="stable")
+                borders = [0, *(np.flatnonzero(np.diff(tile[order])) + 1), len(words)] if words else [0]
+                times = np.array(times, np.uint32)
+                rows = []
+                for a, b in zip(borders, borders[1:]):
+                    mine = order[a:b]
+                    rows.append((lang, int(tile[mine[0]]), bundle, [words[i] for i in mine],
+                                 packed_keys(mine.astype(np.uint64) + np.uint64(1)), packed(times[mine])))
+                yield to_batch(rows, arrow)
+    return gathered.select("bundle", "lang", "words", "times").mapInArrow(run, schema)
+
+
+def count_words(tiled: DataFrame, deal: int, least: int) -> DataFrame:
+    """``WORDS_COUNTED``: frequent words of each tile (``bundle`` null), and those each bundle holds."""
+    schema = StructType.fromDDL(WORDS_COUNTED)
     arrow = to_arrow_schema(schema)
 
-    def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def finish(lang: str, tile: int, held: list[tuple]) -> pa.RecordBatch:
+        totals: dict[str, int] = defaultdict(int)
+        for _, words, _, times in held:
+            for word, n in zip(words, times.tolist(), strict=True):
+                totals[word] += n
+        often = sorted((-n, w.encode()) for w, n in totals.items() if n >= least)
+        new = {w.decode(): rank * deal + tile for rank, (_, w) in enumerate(often)}
+        if not new:
+            return to_batch([], arrow)
+        rows = [(lang, None, None, None, list(new), list(new.values()), [-n for n, _ in often])]
+        for bundle, words, numbers, _ in held:
+            ids = [new.get(w, -1) for w in words]
+            known = np.array(ids, np.int64)
+            has = known >= 0
+            if has.any():
+                rows.append((lang, bundle, packed_keys(numbers[has]), packed(known[has].astype(np.uint32)), None, None, None))
+        return to_batch(rows, arrow)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
         for batch in batches:
             for row in range(batch.num_rows):
-                pairs = batch.column("l")[row].values
-                numbers, ids = (pairs.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-                yield to_batch([(batch.column("bundle")[row].as_py(), batch.column("lang")[row].as_py(),
-                                 numbers.astype(np.uint64).tobytes(), ids.astype(np.uint32).tobytes())], arrow)
-    return words, lists.mapInArrow(pack, schema)
+                lang, tile, bundle, words, numbers, times = (c[row].as_py() for c in batch.columns)
+                if now not in (None, (lang, tile)):
+                    yield finish(*now, held)
+                    held = []
+                now = lang, tile
+                held.append((bundle, words, unpacked_keys(numbers), unpacked(times, np.uint32)))
+        if held:
+            yield finish(*now, held)
+    return (tiled.select(*schema_names(WORDS_TILED)).repartition("lang", "tile").sortWithinPartitions("lang", "tile")
+            .mapInArrow(run, schema))
+
+
+def first_level(counts: DataFrame) -> DataFrame:
+    """Frequent words as phrases of one word."""
+    rows = counts.where("bundle is null").select("lang", F.inline(F.arrays_zip("word", "id", "f")))
+    none = F.array().cast("array<long>")
+    return rows.select("lang", "id", F.col("word").alias("phrase"), F.col("word").alias("last"), "f",
+                       none.alias("heads"), none.alias("tails"))
 
 
 def next_level(counts: DataFrame, phrases: DataFrame) -> DataFrame:
@@ -315,16 +384,18 @@ def collocations(df: DataFrame, least: int = MIN_COUNT, longest: int = LONGEST,
     left out.
     """
     source = df.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    gathered = stored(gather(source, bundle), "bundles", "zstd")
+    gathered = stored(gather(source, bundle), "bundles")
     total = gathered.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
     side = max(8, math.ceil(math.sqrt(total / tile)))
     words = gathered.groupBy("lang").agg(F.sum("n_words").alias("n"))
 
-    phrases, answers = first_level(gathered, side * side, least)
+    counts = stored(count_words(word_tiles(gathered, side * side), side * side, least), "words")
+    phrases = stored(first_level(counts), "level")
+    answers = counts.where("bundle is not null").select("bundle", "lang", "keys", "new")
     bundles, levels = gathered, []
     for size in range(2, longest + 1):
-        bundles = stored(renumbered(bundles, answers, size > 2), "phrases", "zstd")
-        counts = stored(count_tiles(tiles(bundles, side), side, least), "counts", "zstd")
+        bundles = stored(renumbered(bundles, answers, size > 2), "phrases")
+        counts = stored(count_tiles(tiles(bundles, side), side, least), "counts")
         phrases = stored(next_level(counts, phrases), "level")
         answers = counts.where("bundle is not null").select("bundle", "lang", "keys", "new")
         levels.append(phrases)
