@@ -187,13 +187,63 @@ def column_outcome(report: DataFrame, by: list[str] | None = None) -> DataFrame:
         F.sum(F.when(passed, 0).otherwise(F.col("partitions"))).alias("partitions_mismatched"))
 
 
+def _aligned(value: Column, have: T.DataType, want: T.DataType, lenient: bool) -> Column:
+    """A value in the wanted type; fields of structs meet by name in any case, at any depth.
+
+    A field the value lacks is null, one the type lacks drops out; a null stays null.
+    """
+    if have == want:
+        return value
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        present = {f.name.lower(): f for f in have.fields}
+        fields = []
+        for field in want.fields:
+            old = present.get(field.name.lower())
+            inner = F.lit(None).cast(field.dataType) if old is None else _aligned(
+                value.getField(old.name), old.dataType, field.dataType, lenient)
+            fields.append(inner.alias(field.name))
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return F.transform(value, lambda x: _aligned(x, have.elementType, want.elementType, lenient))
+    if isinstance(have, T.MapType) and isinstance(want, T.MapType):
+        made = F.map_from_entries(F.transform(F.map_entries(value), lambda e: F.struct(
+            _aligned(e["key"], have.keyType, want.keyType, lenient).alias("key"),
+            _aligned(e["value"], have.valueType, want.valueType, lenient).alias("value"))))
+        if not lenient:
+            return made
+        # A key cannot be null: a map with a key that does not fit is null as a whole.
+        return F.when(~F.exists(F.map_keys(value), lambda k: _loses(k, have.keyType, want.keyType)), made)
+    return value.try_cast(want) if lenient else value.cast(want)
+
+
+def _loses(value: Column, have: T.DataType, want: T.DataType) -> Column:
+    """Whether a lenient cast would turn a part of the value into null."""
+    if have == want:
+        return F.lit(False)
+    if isinstance(have, T.StructType) and isinstance(want, T.StructType):
+        present = {f.name.lower(): f for f in have.fields}
+        lost = F.lit(False)
+        for field in want.fields:
+            old = present.get(field.name.lower())
+            if old is not None:
+                lost = lost | _loses(value.getField(old.name), old.dataType, field.dataType)
+        return value.isNotNull() & lost
+    if isinstance(have, T.ArrayType) and isinstance(want, T.ArrayType):
+        return F.coalesce(F.exists(value, lambda x: _loses(x, have.elementType, want.elementType)), F.lit(False))
+    if isinstance(have, T.MapType) and isinstance(want, T.MapType):
+        return F.coalesce(F.exists(F.map_entries(value), lambda e: _loses(e["key"], have.keyType, want.keyType)
+                                   | _loses(e["value"], have.valueType, want.valueType)), F.lit(False))
+    return value.isNotNull() & value.try_cast(want).isNull()
+
+
 def align(df: DataFrame, schema: T.StructType, lenient: bool = False,
           fill_missing: bool = False) -> DataFrame:
     """``df`` with the columns and types of ``schema``, matched in any case.
 
     Extra columns drop out.  Missing ones are left out, or added as null with
-    ``fill_missing``.  ``lenient`` turns values that do not fit into null instead of
-    failing the job; ``lost_values`` counts them.
+    ``fill_missing``.  Fields inside structs, arrays and maps are matched by name as well,
+    missing ones there being null.  ``lenient`` turns values that do not fit into null
+    instead of failing the job; ``lost_values`` counts them.
     """
     present = {f.name.lower(): f for f in df.schema.fields}
     out = []
@@ -203,23 +253,19 @@ def align(df: DataFrame, schema: T.StructType, lenient: bool = False,
             if fill_missing:
                 out.append(F.lit(None).cast(field.dataType).alias(field.name))
             continue
-        value = F.col(f"`{have.name}`")
-        if have.dataType != field.dataType:
-            value = value.try_cast(field.dataType) if lenient else value.cast(field.dataType)
-        out.append(value.alias(field.name))
+        out.append(_aligned(F.col(f"`{have.name}`"), have.dataType, field.dataType, lenient).alias(field.name))
     return df.select(*out)
 
 
 def lost_values(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Per column of ``schema`` that needs a cast: values a lenient cast would lose."""
+    """Per column of ``schema`` that needs a cast: values a lenient cast would lose a part of."""
     present = {f.name.lower(): f for f in df.schema.fields}
     counts = []
     for field in schema.fields:
         have = present.get(field.name.lower())
         if have is None or have.dataType == field.dataType:
             continue
-        value = F.col(f"`{have.name}`")
-        lost = value.isNotNull() & value.try_cast(field.dataType).isNull()
+        lost = _loses(F.col(f"`{have.name}`"), have.dataType, field.dataType)
         counts.append(F.count_if(lost).alias(field.name))
     if not counts:
         return df.sparkSession.createDataFrame([], "column_name string, lost bigint")

@@ -33,8 +33,8 @@ def pick_columns(descriptors: DataFrame, exclude: list[str], by: list[str],
             .select(*by, "column_name", "data_type", "type_group", "rank"))
 
 
-def picked(df: DataFrame, exclude: list[str], per_group: int = PER_GROUP,
-           limit: int = 8) -> dict[str, str]:
+def picked(df: DataFrame, exclude: list[str], per_group: int | None = PER_GROUP,
+           limit: int | None = 8) -> dict[str, str]:
     """The same choice for one frame, from its schema: column to type group."""
     groups: dict[str, list[str]] = {g: [] for g in GROUPS}
     skip = {c.lower() for c in exclude}

@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from lakeproof import schemas
 from lakeproof.functions.numeric import TOLERANCE_PCT
 from lakeproof.functions.types import describe_columns
-from lakeproof.operators import drift, inventory as inv, partitions as parts, recon
+from lakeproof.operators import digest, drift, inventory as inv, ledger, partitions as parts, recon
 from lakeproof.operators.lookup import is_small, lookup
+from lakeproof.operators.profile import PER_GROUP
 from lakeproof.plans.state import Tables
 from lakeproof.session import SPARK_ERRORS, cut_lineage
-from lakeproof.sources import tables as tb
+from lakeproof.sources import accounting, tables as tb
 from lakeproof.spec import DEFAULT, PartitionSpec
 
 
@@ -36,12 +37,17 @@ Check = tuple[str, Callable[[], DataFrame]]
 
 def pair_checks(source: DataFrame, target: DataFrame, table: str, execution_id: str,
                 spec: PartitionSpec = DEFAULT, latest: int = 1, strict: bool = False,
-                tolerance_pct: float = TOLERANCE_PCT, extra: bool = False) -> list[Check]:
+                tolerance_pct: float = TOLERANCE_PCT, extra: bool = False,
+                all_partitions: bool = False, per_group: int | None = PER_GROUP,
+                limit: int | None = 8) -> list[Check]:
     """The checks of one table pair, each a name and a function that builds its result row.
 
     One pass per side over the partition columns gives the counts; checksum and profile
     then read only the latest partitions, chosen by literals that reach the scan.
-    ``extra`` adds the record counts per partition.
+    ``extra`` adds the record counts per partition.  With ``all_partitions`` the checksum
+    covers every partition by digests and the profile reads all rows; ``latest`` is the
+    number of newest partitions otherwise.  ``per_group`` and ``limit`` bound the profiled
+    columns, None for all of them.
     """
     columns, spark = spec.columns, source.sparkSession
     counts = cut_lineage(recon.partition_counts(source, target, columns))
@@ -61,6 +67,12 @@ def pair_checks(source: DataFrame, target: DataFrame, table: str, execution_id:
         return checks + [(check, partial(recon.error_result, spark, table, check,
                                          "No latest partition found", execution_id, "SKIP"))
                          for check in ("CHECKSUM_VALIDATION", "VERIFIED")]
+    if all_partitions:
+        checks.append(("CHECKSUM_VALIDATION", lambda: recon.digest_check(
+            digest.compare_partitions(source, target, columns, columns), table, execution_id)))
+        checks.append(("VERIFIED", lambda: recon.verify(
+            source, target, columns, table, execution_id, None, tolerance_pct, per_group, limit)))
+        return checks
     checks.append(("CHECKSUM_VALIDATION", lambda: recon.checksum(
         parts.restrict_to_values(source, src_keys[:1], columns),
         parts.restrict_to_values(target, tgt_keys[:1], columns), columns, table, execution_id,
@@ -68,7 +80,7 @@ def pair_checks(source: DataFrame, target: DataFrame, table: str, execution_id:
     checks.append(("VERIFIED", lambda: recon.verify(
         parts.restrict_to_values(source, src_keys, columns),
         parts.restrict_to_values(target, tgt_keys, columns), columns, table, execution_id,
-        [r.asDict() for r in src_keys], tolerance_pct)))
+        [r.asDict() for r in src_keys], tolerance_pct, per_group, limit)))
     return checks
 
 
@@ -102,11 +114,11 @@ def _first_line(error: Exception) -> str:
 
 
 def source_index(spark: SparkSession, tables: Tables, datasets: DataFrame,
-                 spec: PartitionSpec = DEFAULT) -> tuple[DataFrame, DataFrame]:
-    """For all given datasets at once: read schema per dataset, partition folders to read.
+                 spec: PartitionSpec = DEFAULT) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """For all given datasets at once: read schema per dataset, partition folders, their files.
 
     The schema is that of the latest loaded and tracked partition; the folders are those of
-    tracked partitions that were loaded or failed to load.
+    tracked partitions that were loaded or failed to load, the files all that are known there.
     """
     mine = cut_lineage(datasets.select(*inv.DATASET).distinct())
     small = is_small(mine)
@@ -121,11 +133,28 @@ def source_index(spark: SparkSession, tables: Tables, datasets: DataFrame,
 
     found = drift.latest_readable_schemas(only(spark.table(tables.catalog)), tracked("loaded"), spec,
                                           inv.DATASET)
-    folders = tracked("loaded", "failed").select(*inv.DATASET, "partition_path", spec.run, spec.date)
-    return cut_lineage(found.select(*inv.DATASET, "schema_json")), cut_lineage(folders.distinct())
+    folders = cut_lineage(tracked("loaded", "failed").select(*inv.DATASET, "partition_path", spec.run, spec.date).distinct())
+    known = ledger.known_files(only(spark.table(tables.inventory)), spec)
+    files = lookup(known, folders.select(*inv.DATASET, "partition_path"), [*inv.DATASET, "partition_path"], "left_semi")
+    return (cut_lineage(found.select(*inv.DATASET, "schema_json")), folders,
+            cut_lineage(files.select(*inv.DATASET, "partition_path", "data_file")))
 
 
-def source_side(spark: SparkSession, index: tuple[DataFrame, DataFrame], bucket: str, prefix: str,
+Index = tuple[DataFrame, DataFrame, DataFrame]
+
+
+def source_account(spark: SparkSession, index: Index, bucket: str, prefix: str,
+                   spec: PartitionSpec = DEFAULT, decode: bool = False) -> DataFrame | None:
+    """Per known source file of a dataset whether a lenient read gives all its rows."""
+    mine = (F.col("s3_bucket_name") == bucket) & (F.col("bucket_prefix") == prefix)
+    found = index[0].filter(mine).first()
+    if found is None:
+        return None
+    return accounting.account(spark, f"{spec.scheme}{bucket}/{prefix}", index[2].filter(mine),
+                              drift.read_schema(found.schema_json, spec), decode)
+
+
+def source_side(spark: SparkSession, index: Index, bucket: str, prefix: str,
                 spec: PartitionSpec = DEFAULT) -> DataFrame | None:
     """Source rows of a dataset; None when no schema is known for it.
 
@@ -141,8 +170,13 @@ def source_side(spark: SparkSession, index: tuple[DataFrame, DataFrame], bucket:
 
 def reconcile_all(spark: SparkSession, tables: Tables, bucket: str | None = None,
                   only: list[str] | None = None, only_open: bool = False,
-                  spec: PartitionSpec = DEFAULT, **options) -> DataFrame:
-    """Checks every mapped table, stores results and verdicts; one failure stops no other."""
+                  spec: PartitionSpec = DEFAULT, decode: bool = False, **options) -> DataFrame:
+    """Checks every mapped table, stores results and verdicts; one failure stops no other.
+
+    The source is read leniently; ``SOURCE_FILES`` tells how many files that did not give
+    all rows (with ``decode`` also those with a damaged page).  ``options`` are those of
+    ``pair_checks``.
+    """
     work = parts.reconciliation_work(spark.table(tables.mapping), spark.table(tables.candidates),
                                      bucket, only, only_open)
     index = source_index(spark, tables, work.select(
@@ -150,7 +184,7 @@ def reconcile_all(spark: SparkSession, tables: Tables, bucket: str | None = None
         F.col("source_bucket_prefix").alias("bucket_prefix")), spec)
     stored = spark.createDataFrame([], schemas.RECON_RESULTS)
     for row in work.toLocalIterator():
-        rows = _one_table(spark, index, row, spec, options)
+        rows = _one_table(spark, index, row, spec, decode, options)
         tb.append_rows(rows, tables.results)
         stored = stored.unionByName(rows)
     tb.replace_table(recon.merge_rollup(spark.table(tables.candidates), recon.rollup(stored)),
@@ -158,8 +192,8 @@ def reconcile_all(spark: SparkSession, tables: Tables, bucket: str | None = None
     return stored
 
 
-def _one_table(spark: SparkSession, index: tuple[DataFrame, DataFrame], row: Row,
-               spec: PartitionSpec, options: dict) -> DataFrame:
+def _one_table(spark: SparkSession, index: Index, row: Row, spec: PartitionSpec, decode: bool,
+               options: dict) -> DataFrame:
     table, run = row.target_table_name, row.execution_id
     if not row.source_s3_bucket or not row.source_bucket_prefix:
         return recon.error_result(spark, table, schemas.SOURCE_ERROR,
@@ -175,7 +209,10 @@ def _one_table(spark: SparkSession, index: tuple[DataFrame, DataFrame], row: Row
         return recon.error_result(spark, table, schemas.READ_ERROR,
                                   f"Failed to read source or target data: {_first_line(error)}", run)
     try:
-        return run_checks(pair_checks(source, target, table, run, spec, **options), spark, table, run)
+        account = source_account(spark, index, row.source_s3_bucket, row.source_bucket_prefix, spec, decode)
+        checks = [("SOURCE_FILES", lambda: recon.source_files(account, table, run)),
+                  *pair_checks(source, target, table, run, spec, **options)]
+        return run_checks(checks, spark, table, run)
     except Exception as error:  # recorded, so that the other tables are still checked
         return recon.error_result(spark, table, schemas.CRITICAL_ERROR,
                                   f"Critical processing error: {_first_line(error)}", run)

@@ -1,12 +1,12 @@
 """Readers and writers of tables and partition folders."""
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import reduce
 from itertools import groupby
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,9 +43,11 @@ def read_partitions(spark: SparkSession, root: str, paths: list[str] | None = No
 
 
 def read_folders(spark: SparkSession, root: str, folders: DataFrame, schema: T.StructType,
-                 lenient: bool = False) -> DataFrame:
+                 lenient: bool = False, extra: Sequence[Column] = ()) -> DataFrame:
     """Rows of the folders named by ``partition_path``, whatever their number.
 
+    ``extra`` adds columns that only the reader knows, such as those of ``_metadata``.
+
     Folders are named to the reader in bounded batches, one layout of partition columns in
     each, so that nothing else below the root is listed, opened or mistaken for a partition.
     """
@@ -53,10 +55,12 @@ def read_folders(spark: SparkSession, root: str, folders: DataFrame, schema: T.S
     reads = [read_partitions(spark, root, list(same), schema, lenient)
              for batch in batches(r.partition_path for r in ordered.toLocalIterator())
              for _, same in groupby(sorted(batch, key=layout), key=layout)]
+    names = [F.col(f"`{f.name}`") for f in schema.fields]
+    if not reads:   # a read of nothing still knows its columns
+        reads = [read_partitions(spark, root, None, schema, lenient).filter(F.lit(False))] if extra else []
     if not reads:
         return spark.createDataFrame([], schema)
-    names = [f.name for f in schema.fields]
-    return reduce(DataFrame.unionByName, [r.select(*[F.col(f"`{n}`") for n in names]) for r in reads])
+    return reduce(DataFrame.unionByName, [r.select(*names, *extra) for r in reads])
 
 
 def layout(path: str) -> tuple[str, ...]:

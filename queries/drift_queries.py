@@ -162,3 +162,27 @@ SELECT 'quantity' AS column_name, CAST(count(*) AS BIGINT) AS lost FROM lineitem
 UNION ALL SELECT 'l_orderkey', 0 UNION ALL SELECT 'l_linenumber', 0 UNION ALL SELECT 'ship_date', 0""")
 def remediation_lost_values(spark, sf):
     return drift.lost_values(drifted_lines(spark, sf), BASE_SCHEMA)
+
+
+NESTED = ("key bigint, s struct<A: decimal(18,2), b: bigint, c: string>, items array<struct<k: bigint, v: int>>, "
+          "m map<int, struct<p: string, q: decimal(18,2)>>")
+
+
+@query("remediation_nested", """
+SELECT l_orderkey AS key, CASE WHEN l_orderkey % 53 <> 0 THEN CAST(l_quantity AS DECIMAL(18,2)) END AS a, CAST(l_partkey AS BIGINT) AS b,
+  CAST(NULL AS VARCHAR) AS c, CAST(l_orderkey AS BIGINT) AS k, CAST(l_linenumber AS INTEGER) AS v, CAST(l_linenumber AS INTEGER) AS map_key,
+  CAST(l_extendedprice AS DECIMAL(18,2)) AS q, l_orderkey % 7 = 0 AS no_struct FROM lineitem WHERE l_orderkey % 7 <> 0
+UNION ALL SELECT l_orderkey, NULL, NULL, NULL, CAST(l_orderkey AS BIGINT), CAST(l_linenumber AS INTEGER), CAST(l_linenumber AS INTEGER),
+  CAST(l_extendedprice AS DECIMAL(18,2)), true FROM lineitem WHERE l_orderkey % 7 = 0""")
+def remediation_nested(spark, sf):
+    """Structs with swapped, renamed-in-case, missing and extra fields, also in arrays and maps."""
+    raw = table(spark, sf, "lineitem").selectExpr(
+        "l_orderkey AS key",
+        """CASE WHEN l_orderkey % 7 <> 0 THEN named_struct('B', cast(l_partkey as string), 'x', 1,
+           'a', CASE WHEN l_orderkey % 53 = 0 THEN 'n/a' ELSE cast(cast(l_quantity as decimal(18,2)) as string) END) END AS s""",
+        "array(named_struct('v', cast(l_linenumber as string), 'K', l_orderkey)) AS items",
+        "map(cast(l_linenumber as string), named_struct('q', cast(cast(l_extendedprice as decimal(18,2)) as string))) AS m")
+    base = T.StructType.fromDDL(NESTED)
+    done = drift.align(raw, base, lenient=True)
+    return done.selectExpr("key", "s.A AS a", "s.b AS b", "s.c AS c", "items[0].k AS k", "items[0].v AS v", "map_keys(m)[0] AS map_key",
+                           "map_values(m)[0].q AS q", "s IS NULL AS no_struct")

@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from lakeproof import PartitionSpec
 from lakeproof.functions import paths
-from lakeproof.operators import drift, inventory as inv, partitions as parts
+from lakeproof.operators import drift, inventory as inv, ledger, partitions as parts
 from lakeproof.plans import migrate
 from lakeproof.plans.compare import compare_batch, compare_buckets, ingest_reports
-from lakeproof.plans.reconcile import reconcile_pair
+from lakeproof.plans.reconcile import reconcile_all, reconcile_pair
 from lakeproof.plans.state import Tables, create_state
 from lakeproof.session import cut_lineage, fresh_folder
 from lakeproof.sources import bytes as by, footers, listing, storage, tables as tb
@@ -133,6 +133,106 @@ def lake_load_and_remediate(spark, sf):
         F.sum("l_orderkey").alias("keys"))
 
 
+@dataclass
+class Migration:
+    """State tables of one migration and the tree it reads; ``day`` writes more of it."""
+    spark: SparkSession
+    folder: str
+    spec: PartitionSpec
+    tables: Tables
+    schema: str
+
+    def write(self, rows: DataFrame, dataset: str = "ds_a", upper: bool = False) -> None:
+        """Adds partition folders, with ``upper`` under the other spelling of the run id."""
+        rows, run = (rows.withColumnRenamed("run_id", "RUN_ID"), "RUN_ID") if upper else (rows, "run_id")
+        rows = rows.withColumn("snapshot_date", F.col("snapshot_date").cast("string"))
+        (rows.hint("rebalance", run, "snapshot_date").write.mode("append").partitionBy(run, "snapshot_date")
+         .parquet(f"{self.folder}/bkt/{dataset}"))
+        tags = rows.select(F.lit(dataset).alias("dataset_name"), F.col(run).alias("run_id"),
+                           F.lit("snapshot_date").alias("run_tag_key"), F.col("snapshot_date").alias("run_tag_value"))
+        tb.append_rows(tags.distinct(), self.tables.tags)
+
+    def run(self, name: str) -> DataFrame:
+        """Inventory, verdicts and load: one run of the migration."""
+        migrate.take_inventory(self.spark, self.tables, name, f"{self.folder}/mapping", self.spec)
+        migrate.assess_drift(self.spark, self.tables, "bkt", spec=self.spec)
+        return migrate.load(self.spark, self.tables, self.spec)
+
+    def table(self, dataset: str = "ds_a") -> DataFrame:
+        return self.spark.table(f"{self.schema}.{dataset}")
+
+    def result(self, df: DataFrame) -> DataFrame:
+        """The result, kept, without the state tables."""
+        kept = cut_lineage(df)
+        self.spark.sql(f"DROP DATABASE {self.schema} CASCADE")
+        return kept
+
+
+def migration(spark: SparkSession, datasets: tuple[str, ...] = ("ds_a",)) -> Migration:
+    """Empty state tables and the mapping file of some datasets."""
+    folder, name = fresh_folder(spark, "migration"), f"migrated_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name}")
+    spec, tables = PartitionSpec(floor=None, scheme=f"{folder}/"), Tables().within(name)
+    create_state(spark, tables, spec)
+    rows = [(d, "bkt", f"{d}/", "spark_catalog", name, None) for d in datasets]
+    spark.createDataFrame(rows, schemas.MAPPING).coalesce(1).write.option("header", True).csv(f"{folder}/mapping")
+    return Migration(spark, folder, spec, tables, name)
+
+
+def _totals(df: DataFrame) -> DataFrame:
+    return df.groupBy("run_id", "snapshot_date").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("quantity").cast("double").alias("quantity"), F.sum("l_orderkey").alias("keys"))
+
+
+_TOTALS = """SELECT run_id, snapshot_date, CAST(count(*) AS BIGINT) AS n, CAST(sum(quantity) AS DOUBLE) AS quantity,
+  CAST(sum(l_orderkey) AS BIGINT) AS keys FROM recon_src WHERE {} GROUP BY 1, 2"""
+
+
+@query("lake_late_folder", _TOTALS.format("l_linenumber < 6 OR month(snapshot_date) = 3"))
+def lake_late_folder(spark, sf):
+    """Pairs of two folders each; files that come late into one folder of some pairs lose nothing."""
+    lake, rows = migration(spark), view(spark, sf, "recon_src")
+    lake.write(rows.filter("l_linenumber < 4"))
+    lake.write(rows.filter("l_linenumber IN (4, 5)"), upper=True)
+    lake.run("run-1")
+    lake.write(rows.filter("l_linenumber > 5 AND month(snapshot_date) = 3"), upper=True)
+    lake.run("run-2")
+    return lake.result(_totals(lake.table()))
+
+
+@query("lake_remediate_late", _TOTALS.format("l_linenumber < 6 OR month(snapshot_date) = 3 OR snapshot_date = (SELECT max(snapshot_date) FROM recon_src)"))
+def lake_remediate_late(spark, sf):
+    """Late files in loaded pairs after the read schema changed: repaired whole, nothing twice."""
+    lake, rows = migration(spark), view(spark, sf, "recon_src")
+    last = rows.agg(F.max("snapshot_date")).first()[0]
+    newest = F.col("snapshot_date") == F.lit(last)
+    lake.write(rows.filter(~newest & F.expr("l_linenumber < 6")))
+    lake.run("run-1")
+    lake.write(rows.filter(~newest & F.expr("l_linenumber > 5 AND month(snapshot_date) = 3")))
+    lake.write(rows.filter(newest).withColumn("quantity", F.col("quantity").cast("string")))
+    lake.run("run-2")
+    migrate.remediate(spark, lake.tables, lake.spec)
+    return lake.result(_totals(lake.table()))
+
+
+@query("lake_ledger", """
+SELECT run_id, snapshot_date, 2 AS folders, CAST(0 AS BIGINT) AS files_missing, month(snapshot_date) = 3 AS loaded_again FROM recon_src
+WHERE l_linenumber < 6 GROUP BY 1, 2 HAVING count(*) FILTER (l_linenumber < 4) > 0 AND count(*) FILTER (l_linenumber > 3) > 0""")
+def lake_ledger(spark, sf):
+    """Per pair of two folders: known files the table lacks; whether a second load took it."""
+    lake, rows = migration(spark), view(spark, sf, "recon_src")
+    lake.write(rows.filter("l_linenumber < 4"))
+    lake.write(rows.filter("l_linenumber IN (4, 5)"), upper=True)
+    lake.run("run-1")
+    lake.write(rows.filter("l_linenumber < 6 AND month(snapshot_date) = 3"))
+    lake.run("run-2")
+    taken, inventory = spark.table(lake.tables.ledger), spark.table(lake.tables.inventory)
+    again = taken.groupBy("run_id", "snapshot_date").agg((F.count_distinct("load_id") > 1).alias("loaded_again"))
+    report = ledger.ledger_report(inventory, taken, lake.spec).filter("folders = 2")
+    return lake.result(report.join(again, ["run_id", "snapshot_date"]).select(
+        "run_id", "snapshot_date", F.col("folders").cast("int").alias("folders"), "files_missing", "loaded_again"))
+
+
 @query("lake_reconcile", """
 WITH p AS (SELECT count(*) AS n FROM (SELECT DISTINCT run_id, snapshot_date FROM recon_src)),
 l AS (SELECT count(*) AS n, count(DISTINCT (l_orderkey, l_linenumber, l_partkey, l_returnflag, quantity, price, ship_date)) AS d FROM recon_src
@@ -156,6 +256,35 @@ def lake_reconcile(spark, sf):
                        "metrics_compared")
 
 
+def damage(spark: SparkSession, path: str) -> None:
+    """Cuts a file to its first bytes, as a broken copy leaves it."""
+    system, inner = storage.resolve(path)
+    with system.open_output_stream(inner) as out:
+        out.write(b"PAR1")
+
+
+@query("lake_reconcile_all", """
+WITH t AS (SELECT * FROM (VALUES ('ds_a'), ('ds_b')) v(table_name)), c AS (SELECT * FROM (VALUES ('ROW_COUNT'), ('COLUMN_COUNT'),
+  ('SCHEMA_VALIDATION'), ('Partiton_Data_count'), ('CHECKSUM_VALIDATION'), ('VERIFIED'), ('SOURCE_FILES')) v(recon_type))
+SELECT table_name, recon_type, CASE WHEN table_name = 'ds_a' OR recon_type IN ('COLUMN_COUNT', 'SCHEMA_VALIDATION') THEN 'PASS'
+  WHEN recon_type = 'SOURCE_FILES' THEN 'WARNING' ELSE 'FAIL' END AS status,
+  CASE WHEN recon_type = 'SOURCE_FILES' AND table_name = 'ds_b' THEN 1 END AS files_not_read,
+  CASE WHEN table_name = 'ds_a' THEN 'PASS' ELSE 'FAIL' END AS verdict FROM t, c""")
+def lake_reconcile_all(spark, sf):
+    """A migration of two datasets over state tables; afterwards a source file of one is damaged."""
+    lake, rows = migration(spark, ("ds_a", "ds_b")), view(spark, sf, "recon_src")
+    lake.write(rows.filter("l_linenumber = 1"))
+    lake.write(rows.filter("l_linenumber = 2 AND month(snapshot_date) IN (1, 2)"), "ds_b")
+    lake.run("run-1")
+    held = spark.table(lake.tables.ledger).filter("bucket_prefix = 'ds_b/'")
+    damage(spark, held.agg(F.min("data_file")).first()[0])
+    found = reconcile_all(spark, lake.tables, "bkt", spec=lake.spec, all_partitions=True, per_group=None, limit=None)
+    verdict = spark.table(lake.tables.candidates).select("table_name", F.col("recon_status").alias("verdict"))
+    bad = F.when((F.col("recon_type") == "SOURCE_FILES") & (F.col("status") == "WARNING"), F.col("metrics_different"))
+    return lake.result(found.join(verdict, "table_name").select(
+        "table_name", "recon_type", "status", bad.alias("files_not_read"), "verdict"))
+
+
 @query("lake_rows_in_failed", """
 SELECT run_id, snapshot_date, CAST(count(*) AS BIGINT) AS rows FROM recon_src WHERE month(snapshot_date) = 6 GROUP BY 1, 2""")
 def lake_rows_in_failed(spark, sf):

@@ -81,3 +81,23 @@ def test_newest_readable_schema(spark):
                        "UNION ALL SELECT 'p', 'R1', date'2024-01-02'")
     found = drift.latest_readable_schemas(catalog(spark, rows), wanted).collect()
     assert [(r.schema_json, str(r.snapshot_date)) for r in found] == [(A, "2024-01-01")]
+
+
+def test_nested_values_meet_by_name(spark):
+    """Structs, arrays and maps; nulls stay null, missing fields are null, extra ones go."""
+    raw = spark.sql("""SELECT 1 id, named_struct('b', '7', 'a', 'x', 'extra', 1) s, array(named_struct('y', 1, 'x', 'one'), NULL) l,
+        map('3', named_struct('q', '1.5')) m, map('k', 1) bad
+        UNION ALL SELECT 2, NULL, NULL, NULL, NULL
+        UNION ALL SELECT 3, named_struct('b', 'no', 'a', NULL, 'extra', 2), array(), map(), map()""")
+    base = T.StructType.fromDDL("id int, s struct<A: string, B: int, c: date>, l array<struct<x: string, y: bigint>>, "
+                                "m map<int, struct<q: double>>, bad map<int, int>")
+    rows = {r.id: r for r in drift.align(raw, base, lenient=True).collect()}
+    assert rows[1].s.asDict() == {"A": "x", "B": 7, "c": None} and rows[1].m[3].q == 1.5 and rows[1].bad is None
+    assert [None if x is None else x.asDict() for x in rows[1].l] == [{"x": "one", "y": 1}, None]
+    assert rows[2].s is None and rows[2].l is None and rows[2].m is None
+    assert rows[3].s.asDict() == {"A": None, "B": None, "c": None} and rows[3].l == [] and rows[3].m == {} and rows[3].bad == {}
+    lost = {r.column_name: r.lost for r in drift.lost_values(raw, base).collect()}
+    assert lost == {"s": 1, "l": 0, "m": 0, "bad": 1}
+    assert drift.align(raw, base, lenient=True).schema["s"].dataType.names == ["A", "B", "c"]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        drift.align(raw, base).select("s").collect()

@@ -326,6 +326,52 @@ def test_a_load_that_missed_a_file_is_found_and_repeated(spark, lake):
     assert [str(r.snapshot_date) for r in plan.collect()] == [DAYS[2]]
 
 
+def results(spark, lake, **options):
+    spec, tables, *_ = lake
+    return {r.recon_type: r for r in reconcile.reconcile_all(spark, tables, spec=spec, **options).collect()}
+
+
+def test_source_files_that_are_not_read_are_counted(spark, lake):
+    spec, tables, _, root, _ = lake
+    run(spark, lake, "run-1")
+    got = results(spark, lake)
+    assert (got["SOURCE_FILES"].status, got["SOURCE_FILES"].metrics_compared, got["SOURCE_FILES"].metrics_different) == ("PASS", 4, 0)
+    folder = f"{root}/run_id=R1/snapshot_date={DAYS[0]}"
+    name = next(n for n in os.listdir(folder) if n.endswith(".parquet"))
+    for extra in os.listdir(folder):
+        if extra.endswith(".crc"):
+            os.unlink(f"{folder}/{extra}")
+    with open(f"{folder}/{name}", "rb") as file:
+        whole = file.read()
+    # a damaged page: the footer reads, the rows do not
+    with open(f"{folder}/{name}", "wb") as out:
+        out.write(whole[:4] + os.urandom(len(whole) // 3) + whole[4 + len(whole) // 3:])
+    assert results(spark, lake)["SOURCE_FILES"].status == "PASS"
+    row = results(spark, lake, decode=True)["SOURCE_FILES"]
+    assert (row.status, row.metrics_different) == ("WARNING", 1) and name in row.summary
+    with open(f"{folder}/{name}", "wb") as out:
+        out.write(whole[:20])
+    row = results(spark, lake)["SOURCE_FILES"]
+    assert (row.status, row.source_metrics, row.target_metrics) == ("WARNING", "4", "3")
+    os.unlink(f"{folder}/{name}")
+    write(spark, folder, 0, 1)      # another file in its place is not the one that is known
+    assert results(spark, lake)["SOURCE_FILES"].metrics_different == 1
+
+
+def test_every_partition_and_column_can_be_checked(spark, lake):
+    """A value changed in an older partition, which the default checks do not read."""
+    spec, tables, _, root, table = lake
+    run(spark, lake, "run-1")
+    changed = spark.table(table).withColumn("amt", F.expr("if(id = 3, -1D, amt)"))
+    rows = changed.filter(F.col("snapshot_date") == DAYS[0]).collect()
+    tb.append_evolving(spark.createDataFrame(rows, changed.schema), table, spec, replace_partitions=True)
+    got = results(spark, lake)
+    assert got["CHECKSUM_VALIDATION"].status == got["VERIFIED"].status == "PASS"
+    got = results(spark, lake, all_partitions=True, per_group=None, limit=None)
+    assert got["CHECKSUM_VALIDATION"].status == got["VERIFIED"].status == "FAIL"
+    assert got["CHECKSUM_VALIDATION"].metrics_different == 1 and DAYS[0] in got["CHECKSUM_VALIDATION"].summary
+
+
 def test_second_file_with_another_schema_is_seen(spark, lake):
     spec, tables, csv, root, _ = lake
     spark.range(5).selectExpr("id", "'x' as amt").coalesce(1).write.mode("append").parquet(
