@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import functools
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -87,6 +88,30 @@ class Memo(dict):
         return value
 
 
+_kept: dict = {}
+
+
+def drop_kept() -> None:
+    """Frees what ``worker_cache`` keeps in this Python worker."""
+    _kept.clear()
+    gc.collect()
+
+
+def worker_cache(fn: Callable) -> Callable:
+    """Keeps the result of ``fn`` between the tasks of a Python worker.
+
+    Only the latest one: workers outlive a stage, and what the stages of a pipeline remember
+    would add up.
+    """
+    @functools.wraps(fn)
+    def kept(*args):
+        if _kept.get("of") != (fn.__qualname__, args):
+            drop_kept()
+            _kept.update({"of": (fn.__qualname__, args), "value": fn(*args)})
+        return _kept["value"]
+    return kept
+
+
 @functools.cache
 def file_bytes(path: str) -> bytes:
     """A vocabulary file, read once by the driver and sent to the tasks (a few MB)."""

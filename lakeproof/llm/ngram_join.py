@@ -32,7 +32,6 @@ in one class; columns other than id and text are left out; an empty table stays
 """
 from __future__ import annotations
 
-import functools
 import hashlib
 from collections.abc import Callable, Iterable, Iterator
 
@@ -43,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from lakeproof.llm.common import Memo, by_rows, stored, texts
+from lakeproof.llm.common import Memo, by_rows, stored, texts, worker_cache
 from lakeproof.llm.components import components
 
 FREQUENT = 64       # sets sharing a shingle, from which on it counts as frequent
@@ -61,7 +60,7 @@ def word_code(word: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
 
 
-@functools.cache
+@worker_cache
 def word_codes() -> Memo:
     return Memo(word_code, 100_000)     # cheap to compute again
 

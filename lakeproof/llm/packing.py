@@ -20,7 +20,6 @@ empty.
 """
 from __future__ import annotations
 
-import functools
 import re
 from collections.abc import Iterable, Iterator
 
@@ -33,7 +32,7 @@ from pyspark.sql.types import StructType
 from tokenizers import Tokenizer
 
 from lakeproof.llm.bpe import pack_ids
-from lakeproof.llm.common import SLICE, Memo, stored, texts, to_batch
+from lakeproof.llm.common import SLICE, Memo, stored, texts, to_batch, worker_cache
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 MARKS = (b".", b",", b"!", b"?", b":", b";")
@@ -87,7 +86,7 @@ class ChunkCodes:
         return b"".join(map(self.known.__getitem__, (text or "").encode().lower().split()))
 
 
-@functools.lru_cache(maxsize=2)
+@worker_cache
 def codes_of(tokenizer_file: bytes) -> ChunkCodes:
     """One memo for all tasks of a Python worker."""
     return ChunkCodes(tokenizer_file)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeproof.llm.common import SLICE, by_rows, texts
+from lakeproof.llm.common import SLICE, by_rows, drop_kept, texts
 
 BLANKS = " \t\n\x0b\x0c\r"
 # The characters that count as symbols.
@@ -76,6 +76,7 @@ def statistics(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def with_counts(df: DataFrame, text_col: str = "text", out: str = "counts") -> DataFrame:
     """``df`` with the ``COUNTS`` of a text as an array; texts go to Python and do not come back."""
     def count(batch: pa.Array) -> pa.Array:
+        drop_kept()
         parts = [count_table(batch.slice(at, SLICE).to_pylist()) for at in range(0, len(batch), SLICE)]
         numbers = np.concatenate(parts).ravel() if parts else np.zeros(0, np.int64)
         return pa.ListArray.from_arrays(pa.array(np.arange(0, len(numbers) + 1, len(COUNTS)), pa.int32()), pa.array(numbers))
