@@ -250,24 +250,25 @@ def partition_columns(sides: DataFrame, execution_id: str, table: str = "table_n
                        F.array_join("t", ", "), summary, F.col(table), execution_id)
 
 
-def source_files(account: DataFrame, table: str, execution_id: str) -> DataFrame:
-    """Were all source files read whole? WARNING with their number when some were not.
+def note_files(rows: DataFrame, account: DataFrame) -> DataFrame:
+    """A result row that also tells how many source files were not read whole.
 
-    ``account`` has a row per file with ``data_file, footer_rows, rows_read, state``.
+    Then PASS becomes WARNING, and the number stands first in ``error_log``.  ``account`` has
+    a row per file with ``data_file, footer_rows, rows_read, state``.
     """
     bad = F.col("state") != "read"
     counted = account.agg(
-        F.count(F.lit(1)).alias("files"), F.count_if(bad).alias("bad"),
+        F.count_if(bad).alias("bad_files"),
         F.sum(F.when(bad, F.col("footer_rows") - F.col("rows_read"))).alias("missing"),
         F.min(F.when(bad, F.concat("data_file", F.lit(" "), "state"))).alias("first"))
-    n, lost = F.col("bad"), F.coalesce(F.col("missing").cast("string"), F.lit("unknown number of"))
-    summary = F.when(n == 0, F.lit("Every source file was read whole")).otherwise(F.concat(
-        n.cast("string"), F.lit(" source files not read whole, rows missing by their footers: "), lost,
-        F.lit("; first: "), F.col("first")))
-    status = F.when(n == 0, F.lit("PASS")).otherwise(F.lit("WARNING"))
-    read = F.col("files") - n
-    return result_rows(counted, "SOURCE_FILES", status, F.col("files").cast("string"), read.cast("string"),
-                       summary, table, execution_id, F.col("files"), read, n)
+    n, lost = F.col("bad_files"), F.coalesce(F.col("missing").cast("string"), F.lit("an unknown number"))
+    note = F.when(n > 0, F.concat(n.cast("string"), F.lit(" source files not read whole, rows missing by their footers: "),
+                                  lost, F.lit("; first: "), F.col("first")))
+    both = one_row(rows, counted.select("bad_files", note.alias("note")))
+    noted = both.withColumns({
+        "status": F.when((n > 0) & (F.col("status") == "PASS"), F.lit("WARNING")).otherwise(F.col("status")),
+        "error_log": F.when(n > 0, F.concat_ws("; ", "note", "error_log")).otherwise(F.col("error_log"))})
+    return noted.select(*rows.columns)
 
 
 def digest_check(verdicts: DataFrame, table: str, execution_id: str) -> DataFrame:

@@ -58,8 +58,7 @@ def take_inventory(spark: SparkSession, tables: Tables, execution_id: str,
     rows = cut_lineage(inv.new_inventory(known, stored, mapping, execution_id, spec, late))
     touched = cut_lineage(rows.select(*inv.DATASET).distinct())
     tb.append_rows(rows, tables.inventory)
-    fresh = lookup(spark.table(tables.inventory), touched, inv.DATASET, "left_semi",
-                   small=is_small(touched))
+    fresh = tb.of_datasets(spark.table(tables.inventory), touched)
     metrics = inv.candidate_metrics(fresh)
     tb.replace_table(inv.upsert_candidates(spark.table(tables.candidates), metrics, execution_id),
                      tables.candidates)
@@ -253,8 +252,8 @@ def release(claims: DataFrame, returned: DataFrame) -> DataFrame:
 def settle(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT) -> None:
     """Merges pending load status into inventory and candidates, all datasets at once.
 
-    Status is appended as each dataset finishes and merged once per run, so the inventory is
-    rewritten once however many datasets there are.  Runs first as well, for what a run that
+    Status is appended as each dataset finishes and merged once per run; of the inventory only
+    the datasets with pending status are read and written.  Runs first as well, for what a run that
     was cut off has left.
     """
     pending = cut_lineage(spark.table(tables.pending))
@@ -262,9 +261,10 @@ def settle(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT) -
         return
     small = is_small(pending)
     first, again = pending.filter(F.col("was").isNull()), pending.filter(F.col("was") == "failed")
-    inventory = record_status(spark.table(tables.inventory), first, spec, small=small)
+    touched = pending.select(F.col("bucket_name").alias("s3_bucket_name"), "bucket_prefix").distinct()
+    inventory = record_status(tb.of_datasets(spark.table(tables.inventory), touched), first, spec, small=small)
     inventory = record_status(inventory, again, spec, F.col("t.load_status") == "failed", small)
-    tb.replace_table(inventory, tables.inventory)
+    tb.replace_touched(inventory, tables.inventory)
     loaded = first.withColumnRenamed("bucket_name", "s3_bucket_name")
     tb.replace_table(finish_load(spark.table(tables.candidates), loaded), tables.candidates)
     tb.empty_like(pending, tables.pending)
@@ -295,9 +295,9 @@ def load(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT,
     claims = cut_lineage(parts.claim(spark.table(tables.candidates), spark.table(tables.claims), **limits))
     tb.append_rows(claims, tables.claims)
     # Plan, footers and read schemas of all claimed datasets at once; the loop only appends.
-    inventory, mine = spark.table(tables.inventory), claims.select(*inv.DATASET).distinct()
-    small = is_small(mine)
-    plan = cut_lineage(lookup(whole_plan(inventory, spark.table(tables.tags), spark.table(tables.ledger), spec),
+    mine = claims.select(*inv.DATASET).distinct()
+    small, inventory = is_small(mine), tb.of_datasets(spark.table(tables.inventory), mine)
+    plan = cut_lineage(lookup(whole_plan(inventory, spark.table(tables.tags), tb.of_datasets(spark.table(tables.ledger), mine), spec),
                               mine, inv.DATASET, "left_semi", small=small))
     files = cut_lineage(ledger.pair_files(inventory, plan, spec, not replace_partitions))
     captured = cut_lineage(footers.capture_files(files))
@@ -453,7 +453,8 @@ def remediate(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT
     settle(spark, tables, spec)
     failed = cut_lineage(parts.failed_partitions(spark.table(tables.inventory),
                                                  spark.table(tables.mapping), spec, bucket, datasets))
-    inventory, mine = spark.table(tables.inventory), failed.select(*inv.DATASET).distinct()
+    mine = failed.select(*inv.DATASET).distinct()
+    inventory = tb.of_datasets(spark.table(tables.inventory), mine)
     files = cut_lineage(ledger.pair_files(inventory, failed, spec))
     captured = cut_lineage(footers.capture_files(files))
     found = base_schemas(spark, tables, mine, spec)

@@ -173,8 +173,8 @@ def reconcile_all(spark: SparkSession, tables: Tables, bucket: str | None = None
                   spec: PartitionSpec = DEFAULT, decode: bool = False, **options) -> DataFrame:
     """Checks every mapped table, stores results and verdicts; one failure stops no other.
 
-    The source is read leniently; ``SOURCE_FILES`` tells how many files that did not give
-    all rows (with ``decode`` also those with a damaged page).  ``options`` are those of
+    The source is read leniently; the row count's result tells how many files did not give
+    all their rows (with ``decode`` also those with a damaged page).  ``options`` are those of
     ``pair_checks``.
     """
     work = parts.reconciliation_work(spark.table(tables.mapping), spark.table(tables.candidates),
@@ -210,8 +210,9 @@ def _one_table(spark: SparkSession, index: Index, row: Row, spec: PartitionSpec,
                                   f"Failed to read source or target data: {_first_line(error)}", run)
     try:
         account = source_account(spark, index, row.source_s3_bucket, row.source_bucket_prefix, spec, decode)
-        checks = [("SOURCE_FILES", lambda: recon.source_files(account, table, run)),
-                  *pair_checks(source, target, table, run, spec, **options)]
+        checks = pair_checks(source, target, table, run, spec, **options)
+        name, build = checks[0]     # the row count speaks of rows, so it tells what was not read
+        checks[0] = (name, lambda: recon.note_files(build(), account))
         return run_checks(checks, spark, table, run)
     except Exception as error:  # recorded, so that the other tables are still checked
         return recon.error_result(spark, table, schemas.CRITICAL_ERROR,

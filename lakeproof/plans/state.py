@@ -33,12 +33,17 @@ class Tables:
 
 
 def create_state(spark: SparkSession, tables: Tables, spec: PartitionSpec = DEFAULT) -> None:
-    """Creates the state tables that do not exist yet."""
-    for name, schema in ((tables.mapping, schemas.MAPPING), (tables.inventory, schemas.inventory(spec)),
+    """Creates the state tables that do not exist yet.
+
+    Inventory and ledger grow with the files of the lake; they are kept by dataset, so that a
+    change to one dataset leaves the files of the others as they are.
+    """
+    for name, schema in ((tables.inventory, schemas.inventory(spec)), (tables.ledger, schemas.ledger(spec))):
+        ensure_table(spark, name, schema, by_dataset=True)
+    for name, schema in ((tables.mapping, schemas.MAPPING),
                          (tables.candidates, schemas.CANDIDATES), (tables.tags, schemas.PARTITION_TAGS),
                          (tables.catalog, schemas.SCHEMA_CATALOG), (tables.claims, schemas.CLAIMS),
                          (tables.pending, schemas.pending_status(spec)),
-                         (tables.ledger, schemas.ledger(spec)),
                          (tables.results, schemas.RECON_RESULTS),
                          (tables.remediation, schemas.REMEDIATION_LOG),
                          (tables.comparison, schemas.SCHEMA_COMPARISON),

@@ -12,8 +12,11 @@ from pyspark.sql import types as T
 
 from lakeproof import schemas
 from lakeproof.functions.paths import partition_date, partition_value
+from lakeproof.operators.lookup import is_small, lookup
+from lakeproof.session import cut_lineage
 from lakeproof.spec import DEFAULT, PartitionSpec
 
+FEW = 64  # datasets named as literals in one filter
 BATCH = 5000  # partition paths named in one read
 OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
 
@@ -160,7 +163,13 @@ def append_evolving(df: DataFrame, table: str, spec: PartitionSpec = DEFAULT,
     if not replace_partitions:
         rows.write.mode("append").insertInto(table)
         return
+    _overwrite_partitions(rows, table)
+
+
+def _overwrite_partitions(rows: DataFrame, table: str) -> None:
+    """Overwrites just the partitions that the rows belong to."""
     # Inserting into a catalog table heeds the session's setting, not the writer's option.
+    spark = rows.sparkSession
     before = spark.conf.get(OVERWRITE)
     spark.conf.set(OVERWRITE, "dynamic")
     try:
@@ -169,9 +178,49 @@ def append_evolving(df: DataFrame, table: str, spec: PartitionSpec = DEFAULT,
         spark.conf.set(OVERWRITE, before)
 
 
+# State that has rows of many datasets is kept in a folder for each. The column is derived, of
+# fixed length and never empty, whatever bucket and prefix are.
+DATASET_KEY = "dataset_key"
+
+
+def with_dataset_key(df: DataFrame) -> DataFrame:
+    """``df`` with the key of its bucket and prefix, last."""
+    text = F.concat(F.coalesce("s3_bucket_name", F.lit("")), F.lit("/"), F.coalesce("bucket_prefix", F.lit("")))
+    return df.drop(DATASET_KEY).withColumn(DATASET_KEY, F.sha2(text, 256))
+
+
+def of_datasets(df: DataFrame, datasets: DataFrame) -> DataFrame:
+    """Rows of the given datasets; of a table kept by dataset, only their folders are read."""
+    names = ["s3_bucket_name", "bucket_prefix"]
+    if DATASET_KEY not in df.columns:
+        return lookup(df, datasets.select(*names).distinct(), names, "left_semi")
+    keys = cut_lineage(with_dataset_key(datasets).select(DATASET_KEY).distinct())
+    if keys.count() <= FEW:
+        return df.filter(F.col(DATASET_KEY).isin([r[0] for r in keys.collect()]))
+    return lookup(df, keys, [DATASET_KEY], "left_semi", small=is_small(keys))
+
+
+def _by_dataset(spark: SparkSession, table: str) -> bool:
+    return spark.catalog.tableExists(table) and DATASET_KEY in partition_columns_of(spark, table)
+
+
 def append_rows(df: DataFrame, table: str) -> None:
     """Appends audit or result rows, creating the table at first use."""
-    df.write.mode("append").saveAsTable(table)
+    if _by_dataset(df.sparkSession, table):
+        with_dataset_key(df).write.mode("append").partitionBy(DATASET_KEY).saveAsTable(table)
+    else:
+        df.write.mode("append").saveAsTable(table)
+
+
+def replace_touched(df: DataFrame, table: str) -> None:
+    """Puts the rows of ``df`` in place of what a table kept by dataset has of their datasets.
+
+    ``df`` must hold all rows of each dataset in it and may be computed from the table itself.
+    Other datasets' files are not read, written or renamed, and the table never goes away.
+    """
+    columns = [F.col(f"`{c}`") for c in df.sparkSession.table(table).columns]
+    rows = with_dataset_key(df).select(*columns).hint("rebalance", DATASET_KEY)
+    _overwrite_partitions(rows, table)
 
 
 def empty_like(df: DataFrame, table: str) -> None:
@@ -184,12 +233,17 @@ def write_partitioned(df: DataFrame, path: str, columns: list[str]) -> None:
     df.hint("rebalance", *columns).write.mode("errorifexists").partitionBy(*columns).parquet(path)
 
 
-def ensure_table(spark: SparkSession, table: str, schema: T.StructType) -> None:
-    """Creates an empty table unless it exists, or finishes a replacement cut off half-way."""
+def ensure_table(spark: SparkSession, table: str, schema: T.StructType, by_dataset: bool = False) -> None:
+    """Creates an empty table unless it exists, or finishes a replacement cut off half-way.
+
+    ``by_dataset`` keeps the rows of each dataset (bucket and prefix) in a folder of its own.
+    """
     if spark.catalog.tableExists(table):
         return
     if spark.catalog.tableExists(_following(table)):
         spark.sql(f"ALTER TABLE {_following(table)} RENAME TO {table}")
+    elif by_dataset:
+        with_dataset_key(spark.createDataFrame([], schema)).write.partitionBy(DATASET_KEY).saveAsTable(table)
     else:
         spark.createDataFrame([], schema).write.saveAsTable(table)
 
@@ -205,8 +259,22 @@ def replace_table(df: DataFrame, table: str) -> None:
     a replacement that was cut off in between.
     """
     spark = df.sparkSession
+    if _by_dataset(spark, table):
+        _replace_all_datasets(df, table)
+        return
     following = _following(table)
     spark.sql(f"DROP TABLE IF EXISTS {following}")
     df.write.saveAsTable(following)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
     spark.sql(f"ALTER TABLE {following} RENAME TO {table}")
+
+
+def _replace_all_datasets(df: DataFrame, table: str) -> None:
+    """``replace_table`` where rows are kept by dataset: folder by folder, the table stays."""
+    spark = df.sparkSession
+    rows = cut_lineage(with_dataset_key(df))
+    gone = spark.table(table).select(DATASET_KEY).distinct().join(
+        rows.select(DATASET_KEY).distinct(), [DATASET_KEY], "left_anti").collect()
+    replace_touched(rows, table)
+    for row in gone:    # datasets without rows: at most as many as there are datasets
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({DATASET_KEY} = '{row[0]}')")

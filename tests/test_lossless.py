@@ -326,16 +326,50 @@ def test_a_load_that_missed_a_file_is_found_and_repeated(spark, lake):
     assert [str(r.snapshot_date) for r in plan.collect()] == [DAYS[2]]
 
 
+def state_files(spark, table):
+    """Data files of a state table by dataset prefix."""
+    rows = spark.table(table).select("bucket_prefix", F.col("_metadata.file_path").alias("f")).distinct().collect()
+    return {p: {r.f for r in rows if r.bucket_prefix == p} for p in {r.bucket_prefix for r in rows}}
+
+
+def test_a_change_to_one_dataset_leaves_the_files_of_others(spark, lake, tmp_path):
+    spec, tables, csv, root, table = lake
+    other = root.replace("ds_a", "ds_b")
+    write(spark, f"{other}/run_id=R1/snapshot_date={DAYS[0]}", 0, 20)
+    with open(csv, "a") as out:
+        out.write(f"ds_b,bkt,trusted/ds_b/,spark_catalog,{table.split('.')[0]},\n")
+    spark.createDataFrame([("ds_b", "R1", "snapshot_date", DAYS[0])], spark.table(tables.tags).schema).write.insertInto(tables.tags)
+    run(spark, lake, "run-1")
+    before, ledger_before = state_files(spark, tables.inventory), state_files(spark, tables.ledger)
+    n = spark.table(tables.inventory).filter("extension IS NOT NULL").count()
+    write(spark, f"{root}/run_id=R1/snapshot_date={DAYS[1]}", 5000, 5010)
+    assert [r.load_status for r in run(spark, lake, "run-2").collect()] == ["loaded"]
+    after = state_files(spark, tables.inventory)
+    assert after["trusted/ds_b/"] == before["trusted/ds_b/"] and not after["trusted/ds_a/"] & before["trusted/ds_a/"]
+    assert state_files(spark, tables.ledger)["trusted/ds_b/"] == ledger_before["trusted/ds_b/"]
+    assert spark.table(tables.inventory).filter("extension IS NOT NULL").count() == n + 1 and len(states(spark, tables)) == 4
+    assert not any(status is None for _, status in states(spark, tables))
+    one = tb.of_datasets(spark.table(tables.inventory), spark.createDataFrame([("bkt", "trusted/ds_b/")], "s3_bucket_name string, bucket_prefix string"))
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and one.select("bucket_prefix").distinct().count() == 1
+
+
 def results(spark, lake, **options):
     spec, tables, *_ = lake
     return {r.recon_type: r for r in reconcile.reconcile_all(spark, tables, spec=spec, **options).collect()}
 
 
 def test_source_files_that_are_not_read_are_counted(spark, lake):
-    spec, tables, _, root, _ = lake
+    spec, tables, _, root, table = lake
+    bad = f"{root}/run_id=R1/snapshot_date=2024-01-09"
+    os.makedirs(bad)
+    with open(f"{bad}/part-0.parquet", "w") as out:
+        out.write("no parquet")
+    spark.createDataFrame([("ds_a", "R1", "snapshot_date", "2024-01-09")], spark.table(tables.tags).schema).write.insertInto(tables.tags)
     run(spark, lake, "run-1")
-    got = results(spark, lake)
-    assert (got["SOURCE_FILES"].status, got["SOURCE_FILES"].metrics_compared, got["SOURCE_FILES"].metrics_different) == ("PASS", 4, 0)
+    row = results(spark, lake)["ROW_COUNT"]     # both sides lack the file, so the counts agree
+    assert (row.status, row.source_metrics, row.target_metrics) == ("WARNING", "200", "200")
+    assert row.error_log.startswith("1 source files not read whole") and "2024-01-09/part-0.parquet skipped" in row.error_log
     folder = f"{root}/run_id=R1/snapshot_date={DAYS[0]}"
     name = next(n for n in os.listdir(folder) if n.endswith(".parquet"))
     for extra in os.listdir(folder):
@@ -346,16 +380,14 @@ def test_source_files_that_are_not_read_are_counted(spark, lake):
     # a damaged page: the footer reads, the rows do not
     with open(f"{folder}/{name}", "wb") as out:
         out.write(whole[:4] + os.urandom(len(whole) // 3) + whole[4 + len(whole) // 3:])
-    assert results(spark, lake)["SOURCE_FILES"].status == "PASS"
-    row = results(spark, lake, decode=True)["SOURCE_FILES"]
-    assert (row.status, row.metrics_different) == ("WARNING", 1) and name in row.summary
-    with open(f"{folder}/{name}", "wb") as out:
-        out.write(whole[:20])
-    row = results(spark, lake)["SOURCE_FILES"]
-    assert (row.status, row.source_metrics, row.target_metrics) == ("WARNING", "4", "3")
+    assert results(spark, lake)["ROW_COUNT"].error_log.startswith("1 source files")
+    assert results(spark, lake, decode=True)["ROW_COUNT"].error_log.startswith("2 source files")
     os.unlink(f"{folder}/{name}")
     write(spark, folder, 0, 1)      # another file in its place is not the one that is known
-    assert results(spark, lake)["SOURCE_FILES"].metrics_different == 1
+    row = results(spark, lake)["ROW_COUNT"]
+    assert row.status == "FAIL" and row.error_log.startswith("2 source files")
+    tb.replace_table(spark.table(tables.inventory).filter("snapshot_date <> date'2024-01-09' AND snapshot_date <> date'2024-01-01'"), tables.inventory)
+    assert results(spark, lake)["ROW_COUNT"].error_log is None
 
 
 def test_every_partition_and_column_can_be_checked(spark, lake):
