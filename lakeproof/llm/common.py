@@ -17,6 +17,8 @@ from lakeproof.session import fresh_folder
 SLICE = 256
 # Words in each generation of a memo in one Python worker.
 MEMO = 250_000
+# Rows of one key that stay together in a join, and how many keys may have more.
+TOGETHER, HUBS = 512, 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +42,27 @@ def stored(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread_join(rows: DataFrame, side: DataFrame, key: str, counts: DataFrame, total: int,
+                how: str = "inner") -> DataFrame:
+    """``rows`` joined with the one row that ``side`` has for their ``key``, keys of many rows split.
+
+    ``counts`` (``key, n``) counts the rows of each key, ``total`` all of them. A key with more than
+    ``TOGETHER`` rows, or with its share of ``total`` by ``HUBS`` if that is more, is dealt over
+    copies of its row in ``side``. There are ``HUBS`` such keys at most, so they are broadcast.
+    Rows without a key are dealt alike.
+    """
+    most = max(TOGETHER, total // HUBS)
+    hubs = F.broadcast(counts.where(F.col("n") > most).select(
+        key, F.ceil(F.col("n") / most).cast("int").alias("_copies")))
+    copies = F.when(F.col(key).isNull(), F.lit(HUBS)).otherwise(F.coalesce("_copies", F.lit(1)))
+    dealt = (rows.join(hubs, key, "left")
+             .withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), copies).cast("int")).drop("_copies"))
+    copied = (side.join(hubs, key, "left")
+              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_copies", F.lit(1)) - 1)))
+              .drop("_copies"))
+    return dealt.join(copied, [key, "_salt"], how).drop("_salt")
+
+
 def by_rows(df: DataFrame, schema: str | StructType,
             start: Callable[[], Callable[..., tuple]]) -> DataFrame:
     """One output row for each input row.

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeproof.llm.common import stored
+from lakeproof.llm.common import spread_join, stored
 
 
 def _print(df: DataFrame) -> tuple:
@@ -17,19 +17,21 @@ def components(links: DataFrame) -> DataFrame:
 
     Every step makes stars smaller: first each node ties its larger neighbours to its
     smallest one, then its smaller neighbours. Steps are stored, so nothing is recomputed
-    after a lost executor; a node's links are folded to their minimum before any shuffle.
+    after a lost executor; a node's links are folded to their minimum before any shuffle, and
+    those of a star's centre are dealt over many tasks.
     """
     edges = stored(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                    .where("u > v").distinct(), "links")
     seen = _print(edges)
     while seen[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .distinct())
-        large = stored(large, "links")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        least = low.select("u", F.least("u", "m").alias("m"))
+        large = spread_join(both.where("v > u"), least, "u", low.select("u", "n"), 2 * seen[0])
+        large = stored(large.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "links")
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = (spread_join(large, low.select("u", "m"), "u", low.select("u", "n"), 2 * seen[0])
+                 .where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         edges = stored(small, "links")
         now = _print(edges)

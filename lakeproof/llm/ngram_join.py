@@ -37,12 +37,12 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from lakeproof.llm.common import Memo, by_rows, stored, texts, worker_cache
+from lakeproof.llm.common import Memo, by_rows, spread_join, stored, texts, worker_cache
 from lakeproof.llm.components import components
 
 FREQUENT = 64       # sets sharing a shingle, from which on it counts as frequent
@@ -159,17 +159,25 @@ def candidate_groups(sets: DataFrame, num: int, den: int,
     duos = rare.where("n = 2").select("a", "b").unionByName(two.where("n = 2").select("a", "b"))
     more = [(single, rare.where("n > 2").select("sig", "n")), (pair, two.where("n > 2").select("sig", "n"))]
     rows = [r.join(lookup(s), "sig").select("sig", "n", "row") for r, s in more]
-    return duos.distinct(), rows[0].unionByName(rows[1])
+    return stored(duos.distinct(), "duos"), rows[0].unionByName(rows[1])
 
 
-def cells(rows: DataFrame, sets: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Rows of index entries with size and bitmap, each in every pair of blocks it takes part in."""
+def cells(rows: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Rows of index entries, each in every pair of blocks it takes part in."""
     blocks = F.ceil(F.col("n") / block).cast("int")
     own = F.pmod(F.xxhash64("row", "sig"), blocks).cast("int")
     return (rows.withColumns({"block": own, "other": F.explode(F.sequence(F.lit(0), blocks - 1))})
             .select("sig", "row", "block", F.least("block", "other").alias("i"),
-                    F.greatest("block", "other").alias("j"))
-            .join(sets.select("row", F.col("n").alias("size"), "bits"), "row"))
+                    F.greatest("block", "other").alias("j")))
+
+
+def mixed_cells(entries: DataFrame, parts: DataFrame) -> DataFrame:
+    """``entries`` with their sets' components, without the pairs of blocks that hold only one."""
+    cell = Window.partitionBy("sig", "i", "j")      # two blocks at most
+    return (entries.join(parts.withColumnRenamed("id", "row"), "row", "left")
+            .withColumn("component", F.coalesce("component", "row"))
+            .withColumns({"low": F.min("component").over(cell), "high": F.max("component").over(cell)})
+            .where("low < high").drop("low", "high"))
 
 
 def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -192,7 +200,7 @@ def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def near_pairs(rows: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
+def near_pairs(rows: DataFrame, sets: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
     """Candidates ``a, b`` of index entries: a spanning forest, or all between components."""
     schema = StructType.fromDDL("a long, b long")
     arrow = to_arrow_schema(schema)
@@ -253,10 +261,20 @@ def near_pairs(rows: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
             if len(seen) > 200_000:
                 seen = set()
             seen |= fresh
+    # Bitmaps are joined here and not stored with the entries, of which a set has many.
+    rows = rows.join(sets.select("row", F.col("n").alias("size"), "bits"), "row")
     dealt = rows.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
     return dealt.select("sig", "i", "j", "row", "size", "block", "component", "bits").mapInArrow(run, schema)
 
 
+def with_sides(pairs: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
+    """Stored ``pairs`` with both sides' rows; a set of many pairs is dealt over many tasks."""
+    out, total = pairs, pairs.count()
+    for key, side in (("a", a), ("b", b)):
+        out = spread_join(out, side, key, pairs.groupBy(key).agg(F.count("*").alias("n")), total)
+    return out
+
+
 def near_duos(duos: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs that pass the tests of size and bitmap."""
     def side(name: str) -> DataFrame:
@@ -272,7 +290,7 @@ def near_duos(duos: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
             near = (np.bitwise_count(x ^ y).sum(axis=1) <= total + 2 * (-num * total // (num + den)))
             near &= den * np.minimum(n_a, n_b) >= num * np.maximum(n_a, n_b)
             yield batch.select(["a", "b"]).filter(pa.array(near))
-    both = duos.join(side("a"), "a").join(side("b"), "b")
+    both = with_sides(duos, side("a"), side("b"))
     return both.select("a", "b", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, schema)
 
 
@@ -290,7 +308,7 @@ def near_wide(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
             near = [apart(x.as_py(), y.as_py()) <= m for x, y, m in
                     zip(batch.column("x"), batch.column("y"), most, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    both = with_sides(pairs, side("a"), side("b"))
     return both.select("a", "b", "n_a", "n_b", F.coalesce("wide_a", "bits_a").alias("x"),
                        F.coalesce("wide_b", "bits_b").alias("y")).mapInArrow(run, schema)
 
@@ -310,8 +328,8 @@ def verified(pairs: DataFrame, sets: DataFrame, source: DataFrame, width: int, n
     whole = by_rows(found.select("row", "print", "text").dropDuplicates(["row"]), SETS, start)
     whole = stored(whole, "sets").select("row", "shingles")
     shared = F.size(F.array_intersect("set_a", "set_b"))
-    return (pairs.join(whole.select(F.col("row").alias("a"), F.col("shingles").alias("set_a")), "a")
-            .join(whole.select(F.col("row").alias("b"), F.col("shingles").alias("set_b")), "b")
+    sides = (whole.select(F.col("row").alias(c), F.col("shingles").alias(f"set_{c}")) for c in ("a", "b"))
+    return (with_sides(pairs, *sides)
             .where(den * shared >= num * (F.size("set_a") + F.size("set_b") - shared))
             .select("a", "b"))
 
@@ -320,15 +338,14 @@ def similar_sets(sets: DataFrame, source: DataFrame, width: int, num: int, den:
                  frequent: int = FREQUENT, block: int = BLOCK) -> DataFrame:
     """``id, component`` of the representatives that link with another one."""
     duos, rows = candidate_groups(sets, num, den, frequent)
-    entries = stored(cells(rows, sets, block), "entries")
+    entries = stored(cells(rows, block), "entries")
     first = stored(near_duos(duos, sets, num, den)
-                   .unionByName(near_pairs(entries.withColumn("component", F.col("row")), num, den, True))
+                   .unionByName(near_pairs(entries.withColumn("component", F.col("row")), sets, num, den, True))
                    .distinct(), "candidates")
     links = stored(verified(first, sets, source, width, num, den), "links")
     parts = components(links)
-    known = (entries.join(parts.withColumnRenamed("id", "row"), "row", "left")
-             .withColumn("component", F.coalesce("component", "row")))
-    second = near_pairs(known, num, den, False).distinct().join(first, ["a", "b"], "left_anti")
+    known = mixed_cells(entries, parts)
+    second = near_pairs(known, sets, num, den, False).distinct().join(first, ["a", "b"], "left_anti")
     second = stored(second, "candidates")
     if second.isEmpty():
         return parts
@@ -345,17 +362,20 @@ def link_documents(df: DataFrame, width: int = 5, num: int = 80, den: int = 100,
     """
     source = texts(df, id_col, text_col)
     rows = stored(prepare(numbered(df, id_col, text_col), width, num, den), "prepared")
-    classes = stored(rows.where("n > 0").groupBy("print").agg(F.min("row").alias("class_row")), "classes")
+    classes = stored(rows.where("n > 0").groupBy("print")
+                     .agg(F.min("row").alias("class_row"), F.count("*").alias("n")), "classes")
     sets = rows.join(lookup(classes.select(F.col("class_row").alias("row"))), "row", "left_semi")
     parts = similar_sets(sets, source, width, num, den, frequent, block)
     named = classes.join(parts.withColumnRenamed("id", "class_row"), "class_row", "left")
     named = named.select("print", "class_row", F.coalesce("component", "class_row").alias("component_row"))
-    small = rows.select("row", "doc_id", "text_hash", "n", "print").join(named, "print", "left")
+    total = rows.count()
+    small = spread_join(rows.select("row", "doc_id", "text_hash", "n", "print"), named, "print",
+                        classes.select("print", "n"), total, "left")
     out = stored(small.select(
         "row", "doc_id", "text_hash", F.col("n").alias("n_shingles"), F.coalesce("class_row", "row").alias("class_row"),
         F.coalesce("component_row", "row").alias("component_row")), "members")
-    least = out.groupBy("component_row").agg(F.min("doc_id").alias("component_id"))
-    return out.join(least, "component_row").select(
+    least = out.groupBy("component_row").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("n"))
+    return spread_join(out, least.drop("n"), "component_row", least.drop("component_id"), total).select(
         "row", "doc_id", "text_hash", "n_shingles", "class_row", "component_row", "component_id")
 
 
@@ -367,17 +387,18 @@ def without_near_duplicates(df: DataFrame, width: int = 5, num: int = 80, den: i
     id and text are one document, of which one row stays. Documents without words stay.
     """
     linked = link_documents(df, width, num, den, id_col, text_col)
-    known = [c for c in df.columns if c not in (id_col, text_col)]
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
     first = linked.groupBy("component_row").agg(F.min(order).alias("first")).select(
         F.col("first.row").alias("row"))
     keep = linked.join(first, "row", "left_semi").select("doc_id", "text_hash", "n_shingles")
     keep = stored(keep.dropDuplicates(["doc_id", "text_hash"]), "kept").select(
         F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), "n_shingles")
-    marked = (df.withColumn("_text_hash", F.xxhash64(F.col(f"`{text_col}`").cast("string")))
-              .join(lookup(keep), F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_doc"))
-                    & (F.col("_text_hash") == F.col("_hash"))))
+    # All columns travel in one, so that none can clash with those added here.
+    whole = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("whole"),
+                      F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+                      F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("text_hash"))
+    marked = whole.join(lookup(keep), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash")))
     # Of equal rows one stays; copies meet only with their own kind.
     one = marked.where("n_shingles > 0").dropDuplicates(["_doc", "_hash"])
     return (one.unionByName(marked.where("n_shingles = 0"))
-            .select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), *(F.col(f"`{c}`") for c in known)))
+            .select(*(F.col(f"whole.`{c}`").alias(c) for c in df.columns)))

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeproof.llm import ngram_join as nj
+from lakeproof.llm.common import TOGETHER, spread_join
 from lakeproof.llm.queries import QUERIES
 
 
@@ -107,3 +108,26 @@ def test_edges(spark, edge):
     assert got.count() == edge.count()
     assert nj.link_documents(edge.where(F.lit(False))).count() == 0
     assert nj.without_near_duplicates(edge.drop("text_hash")).count() == edge.count() - 2
+
+
+def test_extra_columns_may_have_any_name(spark):
+    df = spark.createDataFrame([(i, f"text number {i % 2} of some words", i, "h", "d", 1) for i in range(4)],
+                               "doc_id long, text string, n_shingles int, _text_hash string, _doc string, whole int")
+    got = nj.without_near_duplicates(df)
+    assert got.columns == df.columns
+    assert sorted((r.doc_id, r.n_shingles, r._text_hash, r._doc, r.whole) for r in got.collect()) == [
+        (0, 0, "h", "d", 1), (1, 1, "h", "d", 1)]
+
+
+def test_a_hub_is_dealt_over_many_tasks(spark):
+    """Rows of one key, and rows without a key, lie in many partitions; none is lost or doubled."""
+    rows = spark.range(6000).selectExpr("id", "case when id % 3 = 0 then 7 when id % 3 = 1 then null else id end as key")
+    side = spark.range(0, 6000, 2).selectExpr("id as key", "id * 10 as value").unionByName(
+        spark.createDataFrame([(7, 70)], "key long, value long"))
+    counts = rows.groupBy("key").agg(F.count("*").alias("n"))
+    for how in ("inner", "left"):
+        got = spread_join(rows, side, "key", counts, 6000, how)
+        plain = rows.join(side, "key", how)
+        assert sorted(map(str, got.select(*plain.columns).collect())) == sorted(map(str, plain.collect()))
+    hubs = counts.where(F.col("n") > TOGETHER).count()
+    assert hubs == 2 and TOGETHER < 2000
