@@ -55,11 +55,19 @@ class ChunkCodes:
     """Ids of texts, chunk by chunk between ASCII blanks, as packed bytes.
 
     The tokenizer drops blanks and neither its normaliser nor its split reaches over one,
-    so the ids of a text are those of its chunks in a row.
+    so the ids of a text are those of its chunks in a row. It first looks for its added tokens
+    in the text as written; each stands for its own id and ends the chunk before it.
     """
 
     def __init__(self, tokenizer_file: bytes):
         self.tokenizer = Tokenizer.from_str(tokenizer_file.decode())
+        added = self.tokenizer.get_added_tokens_decoder()
+        if any(t.normalized or t.single_word for t in added.values()):
+            raise ValueError("added tokens must be found in the text as written, anywhere")
+        self.added = {t.content: pack_ids([i]) for i, t in added.items()}
+        longest_first = sorted(self.added, key=len, reverse=True)
+        self.marks = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if added else None
+        # Chunks are lower-cased: what looks like an added token in them was none as written.
         self.tokenizer.encode_special_tokens = True
         self.merges = self.tokenizer.model
         self.known = Memo(self._code, 300_000)
@@ -83,7 +91,15 @@ class ChunkCodes:
 
     def encode(self, text: str | None) -> bytes:
         """Packed ids; the tokenizer lower-cases, doing so for A-Z beforehand changes nothing."""
-        return b"".join(map(self.known.__getitem__, (text or "").encode().lower().split()))
+        text = text or ""
+        if self.marks is None or not any(t in text for t in self.added):
+            return self._plain(text)
+        # Parts at odd places are the added tokens that the others stand between.
+        parts = self.marks.split(text)
+        return b"".join([self.added[p] if i % 2 else self._plain(p) for i, p in enumerate(parts)])
+
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.known.__getitem__, text.encode().lower().split()))
 
 
 @worker_cache

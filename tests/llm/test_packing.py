@@ -18,7 +18,6 @@ FILE = file_bytes(public_tokenizers.path("word_bpe_49k.json"))
 @pytest.fixture(scope="module")
 def library():
     tokenizer = Tokenizer.from_str(FILE.decode())
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -31,6 +30,14 @@ def test_chunks_equal_the_library(library, few):
         assert codes.encode(text) == pack_ids(library(text)), repr(text)
 
 
+def test_added_tokens_are_found_as_written(library):
+    codes = packing.ChunkCodes(FILE)
+    assert library("hello <|endoftext|> world")[1] == 49407
+    for text in ["hello <|endoftext|> world", "a<|endoftext|>b", "<|EndOfText|>", "<|endoftext|><|startoftext|>",
+                 "x\n<|startoftext|>\ny <|endoftext|", "don<|endoftext|>'t", "e<|endoftext|>\u0301"]:
+        assert codes.encode(text) == pack_ids(library(text)), text
+
+
 @pytest.mark.parametrize("rule", ["dot", "norm"])
 @pytest.mark.parametrize("limits", [(100, 100, 10_000), (100, 3, 10_000), (100, 100, 4000), (100, 4, 3600)])
 def test_plan_keeps_every_capacity(rule, limits):
