@@ -3,9 +3,10 @@
 Templates are short licence texts, phrases among them. An index holds, for each template's
 words of highest IDF (over the scanned corpus), where in the template they stand. A file's
 words that are in the index are looked up; each hit proposes a place of the template,
-the difference of the two positions, and hits that agree on it are intersected. A proposed
-place counts if the template's mandatory key phrase stands there word for word; its score is
-the IDF-weighted share of the template's words found at their places, give or take ``DRIFT``.
+the difference of the two positions. Hits are intersected by place: a place of a longer template
+needs hits from ``AGREE`` places of its index (all, if it has fewer) that propose it, give or take
+``DRIFT`` words. It counts if the template's mandatory key phrase stands there word for word; its
+score is the IDF-weighted share of the template's words found at their places, as freely.
 
 A phrase is a template that is its own key phrase. Its rarest word is in the index, so each
 place where its words stand consecutively is proposed and found.
@@ -32,6 +33,7 @@ from lakeproof.llm.common import by_rows, texts
 SEPARATORS = bytes.maketrans(bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]),
                              b" " * (0x30 + 0x27 + 5))
 ANCHORS = 4          # index words of each template
+AGREE = 3            # places of the index that must propose one place of a longer template
 DRIFT = 2            # words a template word may stand off its place
 MIN_SCORE = 0.5      # share of a longer template that its label needs
 
@@ -122,6 +124,7 @@ class Index:
         total = frequency.get(b"", 0)
         self.idf = {w: math.log((total + 1) / (frequency.get(w, 0) + 1)) + 1 for w in vocabulary()}
         self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
+        self.needed: list[int] = []
         for number, t in enumerate(templates()):
             # A phrase or key phrase is always proposed by a word of its own.
             rare = sorted(set(t.words), key=lambda w: (-self.idf[w], w))[:ANCHORS]
@@ -129,18 +132,22 @@ class Index:
             for at, w in enumerate(t.words):
                 if w in rare or w == rarest_key:
                     self.postings[w].append((number, at))
+            indexed = sum(w in rare or w == rarest_key for w in t.words)
+            self.needed.append(1 if t.phrase else min(AGREE, indexed))
 
     def scan(self, text: str | None) -> tuple:
         words = words_of(text)
         postings, every = self.postings, templates()
-        votes: dict[tuple[int, int], int] = defaultdict(int)
+        hits: dict[tuple[int, int], set[int]] = defaultdict(set)
         for at, w in enumerate(words):
             if w in postings:
                 for number, place in postings[w]:
-                    votes[number, at - place] += 1
+                    hits[number, at - place].add(place)
         base, places = [], {}
-        for number, start in votes:
+        for number, start in list(hits):
             t = every[number]
+            if not self._agreed(hits, number, start):
+                continue
             key_at = self._key_place(words, t, start)
             if key_at is None:
                 continue
@@ -158,6 +165,14 @@ class Index:
                 max(places.values(), default=0.0),
                 [(label, at, n, s) for (label, at, n), s in sorted(places.items())])
 
+    def _agreed(self, hits: dict[tuple[int, int], set[int]], number: int, start: int) -> bool:
+        """Whether enough of the template's postings meet at this place."""
+        needed = self.needed[number]
+        if len(hits[number, start]) >= needed:
+            return True
+        near = (hits.get((number, start + off), ()) for off in range(-DRIFT, DRIFT + 1))
+        return len(set().union(*near)) >= needed
+
     @staticmethod
     def _key_place(words: list[bytes], t: Template, start: int) -> int | None:
         """Where the key phrase stands for a proposed start; longer templates may drift."""

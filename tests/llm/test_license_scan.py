@@ -46,6 +46,28 @@ def test_templates_label_their_own_texts(spark):
     assert ls.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).first().labels == ""
 
 
+def test_postings_must_meet_at_one_place():
+    """With the key phrase in place and most words about it, a label still needs agreeing hits."""
+    number, t = next((i, t) for i, t in enumerate(ls.templates()) if t.label == "bsd")
+    index = ls.Index({b"": 1000, **dict.fromkeys(t.key, 900)})      # the rare words stand outside the key phrase
+    indexed = {at for w, found in index.postings.items() for n, at in found if n == number}
+    key = range(t.key_at, t.key_at + len(t.key))
+    outside = indexed - set(key)
+    assert len(outside) >= 2 and len(indexed) - len(outside) < index.needed[number]
+    words = [w.decode() if i not in outside else f"other{i}" for i, w in enumerate(t.words)]
+    assert index._coverage([w.encode() for w in words], t, 0) >= ls.MIN_SCORE
+    assert index.scan(" ".join(words))[5] == ""
+    # One word more or less in between is drift; the hits still meet.
+    at = max(key) + 1
+    moved = [w.decode() for w in t.words]
+    moved[at:at] = ["also"]
+    assert index.scan(" ".join(moved))[5] == "bsd"
+    # The same hits far from each other do not.
+    apart = [w.decode() for w in t.words]
+    apart[at:at] = ["far"] * 50
+    assert index.scan(" ".join(apart))[5] == ""
+
+
 def test_query(spark, sf, few):
     got = {r.doc_id: r for r in QUERIES["op8_license_scan"](spark, sf).collect()}
     assert all((got[d].n_words, got[d].n_base, got[d].first_word, got[d].last_word, got[d].base_labels) == brute(t)
