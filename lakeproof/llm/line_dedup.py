@@ -4,15 +4,21 @@ A seed is a shortest run of lines (blank ones aside) with ``MIN_WORDS`` words or
 forward from each line and backward from it; a long line is a seed by itself. Runs are far
 rarer than lines, and any common block of that many words holds a seed at each of its lines.
 A document is paired with the first document that has one of its seeds, so a passage in
-many documents costs one pair for each, never all pairs. A pair is aligned by patience diff
-on line hashes: lines that are unique in both and in common order are fixed, grown in both
-directions, and the gaps between are aligned in turn. Aligned blocks of ``MIN_WORDS`` words
-or more are deleted from the later document; what is left is aligned again until nothing in
-common remains, seeds that cross over at last. All of a document's pairs count.
-
-The result, for every line: it goes if it lies in a run of ``MIN_WORDS`` words or more that
-stands, line for line, in an earlier document. Earlier is by id, then by a hash of the text;
-a row without an id comes last. Lines are compared without blanks at their ends.
+many documents costs one pair for each, never all pairs.
+
+A pair is aligned by patience diff. Its anchors are seeds that both documents have just once,
+in common order; where there is none, the common seed that occurs least often, first places
+first. An anchor grows in both directions while lines are equal, and the gaps between are aligned
+in turn. Each aligned block has ``MIN_WORDS`` words or more and is deleted from the later
+document. What is left, cut where blocks were deleted, is aligned again with the whole earlier
+document until no block is found, so blocks that cross over go as well. All of a document's pairs
+count.
+
+Hence each deleted line lies in a run of ``MIN_WORDS`` words or more that stands, line for line,
+in an earlier document, and no such run is left whole. Where two common runs overlap, the
+alignment decides: what is left of the second one stays if it has fewer words. Earlier is by id,
+then by a hash of the text; a row without an id comes last. Lines are compared without blanks at
+their ends.
 
 Defined results: a null text stays null, an empty one empty; rows equal in id and text are
 one document and share its result; columns other than id and text are left out; an empty
@@ -22,7 +28,7 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_left
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -48,25 +54,24 @@ def lines_of(text: str | None) -> list[str]:
     return [line for raw in (text or "").split("\n") if (line := raw.strip(BLANKS))]
 
 
-def runs(words: list[int], least: int) -> Iterator[tuple[int, int]]:
-    """Shortest runs ``[a, b)`` of ``least`` words or more: from each line on, and up to each."""
-    n, b, total = len(words), 0, 0
-    for a in range(n):
-        while b < n and total < least:
+def forward_runs(words: list[int], least: int) -> Iterator[tuple[int, int]]:
+    """Shortest runs ``[a, b)`` of ``least`` words or more from each line on."""
+    b = total = 0
+    for a in range(len(words)):
+        while b < len(words) and total < least:
             total, b = total + words[b], b + 1
         if total < least:
-            break
+            return
         yield a, b
         total -= words[a]
-    a, total = n, 0
-    for b in range(n, 0, -1):
-        while a > 0 and total < least:
-            a -= 1
-            total += words[a]
-        if total < least:
-            break
-        yield a, b
-        total -= words[b - 1]
+
+
+def runs(words: list[int], least: int) -> Iterator[tuple[int, int]]:
+    """Shortest runs of ``least`` words or more: from each line on, and up to each."""
+    yield from forward_runs(words, least)
+    n = len(words)
+    for a, b in forward_runs(words[::-1], least):
+        yield n - b, n - a
 
 
 def seed(lines: list[int], a: int, b: int) -> int:
@@ -89,32 +94,46 @@ def lined(df: DataFrame, least: int) -> DataFrame:
 
 # -- alignment of one pair
 
-def patience(x: list[int], y: list[int], a: int, b: int, c: int, d: int) -> Iterator[tuple[int, int]]:
-    """Aligned places of ``x[a:b]`` and ``y[c:d]``, in order."""
-    todo = [(a, b, c, d)]
+def anchors(mine: dict[tuple, list[int]], theirs: dict[tuple, list[int]]) -> list[tuple[int, int]]:
+    """Places of seeds unique on both sides, rising; else of the one that occurs least."""
+    unique = sorted((at[0], theirs[s][0]) for s, at in mine.items() if len(at) == len(theirs.get(s, ())) == 1)
+    if unique:
+        return longest_rising(unique)
+    common = [(len(at) * len(theirs[s]), at[0], theirs[s][0]) for s, at in mine.items() if s in theirs]
+    return [min(common)[1:]] if common else []
+
+
+def patience(x: list[int], words: list[int], y: list[int], a: int, b: int,
+             least: int) -> Iterator[tuple[int, int, int]]:
+    """Aligned blocks ``i, j, n`` of ``x[a:b]`` and ``y``: ``n`` equal lines, ``least`` words or more."""
+    todo = [(a, b, 0, len(y))]
     while todo:
         a, b, c, d = todo.pop()
-        if a >= b or c >= d:
-            continue
-        start = 0
-        while a + start < b and c + start < d and x[a + start] == y[c + start]:
-            yield a + start, c + start
-            start += 1
-        a, c = a + start, c + start
-        while a < b and c < d and x[b - 1] == y[d - 1]:
-            b, d = b - 1, d - 1
-            yield b, d
-        if a >= b or c >= d:
-            continue
-        in_x, in_y = Counter(x[a:b]), Counter(y[c:d])
-        place = {h: j for j, h in enumerate(y[c:d], c) if in_y[h] == 1}
-        unique = [(i, place[h]) for i, h in enumerate(x[a:b], a) if in_x[h] == 1 and h in place]
-        fixed = longest_rising(unique)
-        if not fixed:
-            continue
-        for (i, j), (k, m) in zip([(a - 1, c - 1), *fixed], [*fixed, (b, d)], strict=True):
-            todo.append((i + 1, k, j + 1, m))
-        yield from fixed
+        mine: dict[tuple, list[int]] = defaultdict(list)
+        for i, k in forward_runs(words[a:b], least):
+            mine[tuple(x[a + i:a + k])].append(a + i)
+        theirs: dict[tuple, list[int]] = defaultdict(list)
+        for size in {len(s) for s in mine}:
+            for j in range(c, d - size + 1):
+                if (s := tuple(y[j:j + size])) in mine:
+                    theirs[s].append(j)
+        end_x, end_y, any_block = a, c, False
+        for i, j in anchors(mine, theirs):
+            if i < end_x or j < end_y:      # in the block before
+                continue
+            first_x, first_y = i, j
+            while first_x > end_x and first_y > end_y and x[first_x - 1] == y[first_y - 1]:
+                first_x, first_y = first_x - 1, first_y - 1
+            while i < b and j < d and x[i] == y[j]:
+                i, j = i + 1, j + 1
+            n = i - first_x
+            if sum(words[first_x:i]) < least:   # the block before took a part of it
+                continue
+            yield first_x, first_y, n
+            todo.append((end_x, first_x, end_y, first_y))
+            end_x, end_y, any_block = i, j, True
+        if any_block:
+            todo.append((end_x, b, end_y, d))
 
 
 def longest_rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -136,36 +155,15 @@ def longest_rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def common_blocks(x: list[int], words: list[int], y: list[int], least: int) -> list[int]:
     """Places of ``x`` in aligned blocks with ``y`` of ``least`` words or more."""
     gone = [False] * len(x)
-    found = True
-    while found and not all(gone):
-        found, a = False, 0
-        while a < len(x):       # stretches that are still there
-            if gone[a]:
-                a += 1
-                continue
-            b = a
-            while b < len(x) and not gone[b]:
-                b += 1
-            aligned = sorted(patience(x, y, a, b, 0, len(y)))
-            k = 0
-            while k < len(aligned):
-                m = k + 1
-                while m < len(aligned) and aligned[m] == (aligned[m - 1][0] + 1, aligned[m - 1][1] + 1):
-                    m += 1
-                if sum(words[i] for i, _ in aligned[k:m]) >= least:
-                    found = True
-                    for i, _ in aligned[k:m]:
-                        gone[i] = True
-                k = m
-            a = b
-    # Blocks that cross an aligned one or reach into it: by the seeds themselves.
-    mine = [r for r in runs(words, least) if not all(gone[r[0]:r[1]])]
-    if mine:
-        sizes = {b - a for a, b in mine}
-        theirs = {tuple(y[i:i + s]) for s in sizes for i in range(len(y) - s + 1)}
-        for a, b in mine:
-            if tuple(x[a:b]) in theirs:
-                gone[a:b] = [True] * (b - a)
+    todo = [(0, len(x))]
+    while todo:                 # stretches that are still there
+        a, b = todo.pop()
+        blocks = sorted((i, i + n) for i, _, n in patience(x, words, y, a, b, least))
+        for i, k in blocks:
+            gone[i:k] = [True] * (k - i)
+        if blocks:
+            cuts = [a, *(place for block in blocks for place in block), b]
+            todo += [(i, k) for i, k in zip(cuts[::2], cuts[1::2], strict=True) if i < k]
     return [i for i, g in enumerate(gone) if g]
 
 

@@ -1,5 +1,5 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -44,41 +44,66 @@ def made(seed, docs=60):
     return out + out[:5] + [(1000 + i, out[3][1]) for i in range(30)]
 
 
-def test_equals_brute_force(spark):
+def common_runs(x, words, y, least):
+    """All runs ``(a, b)`` of enough words of ``x`` that stand in ``y``."""
+    return [(a, b) for a in range(len(x)) for b in range(a + 1, len(x) + 1)
+            if sum(words[a:b]) >= least and any(x[a:b] == y[i:i + b - a] for i in range(len(y)))]
+
+
+def test_against_brute_force(spark):
+    """Only lines of repeated runs go, and no repeated run is left whole."""
     for seed, least in ((1, 4), (2, 8), (3, 12)):
         rows, df = rows_of(spark, made(seed))
         want = brute(rows, least)
-        got = ld.dedup_lines(df, least).collect()
-        assert len(got) == len(rows)
-        left = defaultdict(int)
-        for none, doc, text in ((d is None, d or 0, t) for d, _, t in rows):
-            left[none, doc, ld.without(text, want[none, doc, text])] += 1
-        for r in got:
-            left[r.doc_id is None, r.doc_id or 0, (r.text, r.n_lines, r.n_deleted, r.n_deleted_words)] -= 1
-        assert not any(left.values())
-
-
-@settings(max_examples=300, deadline=None)
+        lines = ld.lined(df, least).dropDuplicates(["doc_id", "text_hash"])
+        marked = {(r.doc_id, r.text_hash): set(r.gone) for r in ld.deletions(lines, least).collect()}
+        hashes = {(d is None, d or 0, t): (d, h) for d, h, t in rows}
+        seen = []
+        for key in sorted(want, key=lambda k: (k[0], k[1], hashes[k][1])):
+            mine = ld.lines_of(key[2])
+            gone = marked.get(hashes[key], set())
+            assert gone <= set(want[key])
+            words = [len(x.encode().split()) for x in mine]
+            for a in range(len(mine)):
+                for b in range(a + 1, len(mine) + 1):
+                    if sum(words[a:b]) >= least and not gone.intersection(range(a, b)):
+                        assert not any(mine[a:b] == e[i:i + b - a] for e in seen for i in range(len(e)))
+            seen.append(mine)
+        # The texts are those without the marked lines, one row for each row.
+        got = Counter((r.doc_id, r.text, r.n_lines, r.n_deleted, r.n_deleted_words)
+                      for r in ld.dedup_lines(df, least).collect())
+        assert got == Counter((d, *ld.without(t, list(marked.get((d, h), ())))) for d, h, t in rows)
+
+
+@settings(max_examples=400, deadline=None)
 @given(st.lists(st.integers(0, 6), max_size=14), st.lists(st.integers(0, 6), max_size=14), st.integers(1, 6))
 def test_one_pair(x, y, least):
     words = [1 + v % 3 for v in x]
-    gone = set()
-    for a in range(len(x)):
-        for b in range(a + 1, len(x) + 1):
-            if sum(words[a:b]) >= least and any(x[a:b] == y[i:i + b - a] for i in range(len(y))):
-                gone.update(range(a, b))
-    assert set(ld.common_blocks(x, words, y, least)) <= gone
-    # All seeds in common are found; longer runs are their union over documents.
-    seeds = {i for a, b in ld.runs(words, least) for i in range(a, b)
-             if any(x[a:b] == y[j:j + b - a] for j in range(len(y)))}
-    assert seeds <= set(ld.common_blocks(x, words, y, least)) and seeds == gone
-
-
-@given(st.lists(st.integers(0, 5), max_size=12), st.lists(st.integers(0, 5), max_size=12))
-def test_patience_aligns_equal_lines_in_order(x, y):
-    pairs = sorted(ld.patience(x, y, 0, len(x), 0, len(y)))
-    assert all(x[i] == y[j] for i, j in pairs)
-    assert all(a[0] < b[0] and a[1] < b[1] for a, b in zip(pairs, pairs[1:], strict=False))
+    gone = set(ld.common_blocks(x, words, y, least))
+    common = common_runs(x, words, y, least)
+    assert gone <= {i for a, b in common for i in range(a, b)}
+    assert all(gone.intersection(range(a, b)) for a, b in common)
+
+
+@given(st.lists(st.integers(0, 5), max_size=12), st.lists(st.integers(0, 5), max_size=12), st.integers(1, 6))
+def test_patience_aligns_blocks_in_order(x, y, least):
+    words = [1 + v % 3 for v in x]
+    blocks = sorted(ld.patience(x, words, y, 0, len(x), least))
+    for i, j, n in blocks:
+        assert x[i:i + n] == y[j:j + n] and sum(words[i:i + n]) >= least
+    assert all(i + n <= k and j + n <= m for (i, j, n), (k, m, _) in zip(blocks, blocks[1:], strict=False))
+
+
+def test_the_alignment_decides_what_goes():
+    """Runs that overlap: the aligned one goes, what is left of the other is too short."""
+    x, y = [1, 2, 3, 4], [3, 4, 9, 1, 2, 3]
+    words = [4, 4, 4, 4]
+    assert {i for a, b in common_runs(x, words, y, 8) for i in range(a, b)} == {0, 1, 2, 3}
+    assert ld.common_blocks(x, words, y, 8) == [0, 1, 2]
+    # Blocks that cross over, and blocks that repeat, go as well.
+    assert ld.common_blocks([1, 2, 3, 4], words, [3, 4, 9, 1, 2], 8) == [0, 1, 2, 3]
+    assert ld.common_blocks([1, 2, 7, 1, 2], [4] * 5, [1, 2, 8, 1, 2, 8, 1, 2], 8) == [0, 1, 3, 4]
+    assert ld.common_blocks([], [], y, 8) == ld.common_blocks(x, words, [], 8) == []
 
 
 def test_a_passage_in_many_documents_stays_once(spark):
