@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeproof.llm.common import by_rows, stored, texts
+from lakeproof.llm.common import by_rows, spread_join, stored, texts
 from lakeproof.llm.text_stats import BLANKS
 
 MIN_WORDS = 8
@@ -193,7 +193,10 @@ def deletions(lines: DataFrame, least: int) -> DataFrame:
     keyed = lines.select(order().alias("key"), "lines", "words")
     late = keyed.select(F.col("key").alias("late"), F.col("lines").alias("x"), "words")
     early = keyed.select(F.col("key").alias("early"), F.col("lines").alias("y"))
-    both = pairs(lines).join(late, "late").join(early, "early")
+    met = stored(pairs(lines), "pairs")
+    # A first holder may meet any number of later documents.
+    both = spread_join(met, early, "early", met.groupBy("early").agg(F.count("*").alias("n")),
+                       met.count()).join(late, "late")
 
     def start() -> Callable[..., tuple]:
         return lambda doc, text_hash, x, words, y: (doc, text_hash, common_blocks(x, words, y, least))
