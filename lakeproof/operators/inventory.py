@@ -79,7 +79,10 @@ def candidate_metrics(inventory: DataFrame, only: Column | None = None) -> DataF
 
 
 def upsert_candidates(candidates: DataFrame, metrics: DataFrame, execution_id: str) -> DataFrame:
-    """Refreshes undecided candidates; adds a row for a dataset that has none."""
+    """Refreshes undecided candidates; adds a row for a dataset that has none.
+
+    Both sides hold few rows a dataset, so no key is hot and none is spread over sub-keys.
+    """
     undecided = F.col("candidate_for_managed_table_creation").isNull()
     figures = ["total_file_count", "table_file_size_mb", "structured_file_count"]
     fresh = metrics.select(
@@ -87,7 +90,7 @@ def upsert_candidates(candidates: DataFrame, metrics: DataFrame, execution_id: s
         paths.dataset_name("bucket_prefix").alias("table_name"), *figures)
     return upsert(candidates, metrics, DATASET, {c: c for c in figures},
                   guard=F.col("t.candidate_for_managed_table_creation").isNull(),
-                  present=undecided, new_rows=fresh)
+                  present=undecided, new_rows=fresh, salt=1)
 
 
 def add_mappings(mapping: DataFrame, incoming: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ The many side may hold a third of its rows under one key.  Two ways keep it whol
 
 Lookup sides hold a row per dataset, partition or folder and are small beside the rows.
 Adaptive execution may split what is still uneven after that; nothing here depends on it.
+A side that was not measured is never broadcast: Spark's estimate follows the size of compressed
+files and knows neither derived columns nor the copies per sub-key, so it could fill the driver.
 """
 from __future__ import annotations
 
@@ -37,9 +39,9 @@ def lookup(rows: DataFrame, table: DataFrame, on: list[str], how: str = "inner",
     if small:
         return rows.join(F.broadcast(table), on, how)
     if salt <= 1:
-        return rows.join(table, on, how)
+        return rows.join(table.hint("merge"), on, how)
     # The task's number is the same when the task runs again, reads no column, and differs
     # between the many tasks over which the rows of a hot key are spread.
     left = rows.withColumn(_SALT, F.pmod(F.spark_partition_id(), F.lit(salt)))
     every = F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))
-    return left.join(table.withColumn(_SALT, every), [*on, _SALT], how).drop(_SALT)
+    return left.join(table.withColumn(_SALT, every).hint("merge"), [*on, _SALT], how).drop(_SALT)

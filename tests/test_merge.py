@@ -76,6 +76,22 @@ def test_lookup_gives_the_plain_join(spark, rows, how):
     assert rows(lookup(many, table, ["k"], how, salt=1)) == want
 
 
+def test_unmeasured_side_is_not_broadcast(spark):
+    """A small file may hold many rows, and the copies for sub-keys are not in Spark's estimate."""
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+    table = spark.range(10).withColumn("v", F.lit(1))
+    for salt in (1, 32):
+        assert "Broadcast" not in plan(lookup(spark.range(100), table, ["id"], "left", salt))
+    assert "Broadcast" in plan(lookup(spark.range(100), table, ["id"], "left", small=True))
+    candidates = spark.range(10).selectExpr(
+        "'r' AS execution_id", "'b' AS s3_bucket_name", "concat('p', id, '/') AS bucket_prefix", "'t' AS table_name",
+        "id AS total_file_count", "1.0D AS table_file_size_mb", "id AS structured_file_count",
+        "cast(null AS string) AS candidate_for_managed_table_creation")
+    upserted = plan(inv.upsert_candidates(candidates, candidates.drop("candidate_for_managed_table_creation"), "r2"))
+    assert "Broadcast" not in upserted and "Generate" not in upserted
+
+
 def test_lookup_refuses_other_joins(spark):
     with pytest.raises(ValueError):
         lookup(spark.range(1), spark.range(1), ["id"], "full_outer")
