@@ -72,3 +72,34 @@ def test_empty_and_one_sided(spark, strict):
     row = dg.compare_partitions(some, none, BY, BY, strict).first()
     assert (row.status, row.source_record_count, row.target_record_count) == ("FAIL", 2, 0)
     assert dg.differing_rows(some, none, BY, BY, strict=strict).agg(F.sum("src")).first()[0] == 2
+
+
+def test_widespread_damage_is_compared_in_one_shuffle(spark):
+    """No digest pass and no join with digest ranges where counts differ almost everywhere."""
+    rows = [(f"d{i % 5}", i, "t") for i in range(2000)]
+    source, target = frame(spark, rows), frame(spark, [r for r in rows if r[1] % 7])
+    found = dg.differing_rows(source, target, BY, BY)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "conv(" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert found.count() == sum(1 for r in rows if not r[1] % 7)
+
+
+def test_changed_values_everywhere(spark):
+    """Equal counts, every row changed: the ranges hold all rows, so they are not joined."""
+    rows = [("x" if i % 2 else None, i, "t") for i in range(2000)]
+    source, target = frame(spark, rows), frame(spark, [(p, a, "u") for p, a, _ in rows])
+    for verdicts in (None, dg.compare_partitions(source, target, BY, BY)):
+        found = dg.differing_rows(source, target, BY, BY, verdicts)
+        assert "range" not in found._jdf.queryExecution().executedPlan().toString()
+        assert found.agg(F.sum("src"), F.sum("tgt")).first()[:] == (2000, 2000)
+
+
+def test_second_pass_folds(spark, monkeypatch):
+    """The number of ranges follows the rows, so a small partition is not cut into 4,096."""
+    asked = []
+    real = dg.compare_digests
+    monkeypatch.setattr(dg, "compare_digests", lambda *a: asked.append(a[4]) or real(*a))
+    rows = [("x", i, "t") for i in range(3000)]
+    target = [(p, a, "u" if a == 9 else t) for p, a, t in rows]
+    found = dg.differing_rows(frame(spark, rows), frame(spark, target), BY, BY)
+    assert found.count() == 2 and asked == [dg.FIRST, 1]
