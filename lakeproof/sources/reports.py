@@ -118,7 +118,12 @@ def read_reports(spark: SparkSession, files: DataFrame, run: str, header: bool =
 
 
 def retire_details(details: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Waiting rows of an older report of the same family, marked ``ignore``."""
+    """Waiting rows of an older report of the same family, marked ``ignore``.
+
+    Families are few beside their rows; counted and broadcast, they leave the stored rows where
+    they are.
+    """
     keys = ["Bucket", "inventory_s3_location", "path"]
-    return update_matched(details, incoming.select(*keys).distinct(), keys,
-                          {"processed": F.lit("ignore")}, F.col("t.processed") == "false")
+    families = cut_lineage(incoming.select(*keys).distinct())
+    return update_matched(details, families, keys, {"processed": F.lit("ignore")},
+                          F.col("t.processed") == "false", small=is_small(families))

@@ -265,3 +265,15 @@ def test_footer_schema_is_what_spark_reads(spark, tmp_path):
     pq.write_table(pa.table({"t": pa.array([1], pa.timestamp("ns"))}), f"{tmp_path}/nanos.parquet")
     with pytest.raises(ValueError, match="nanoseconds"):
         footers.footer_schema(f"{tmp_path}/nanos.parquet")
+
+
+def test_stored_report_rows_stay_in_place(spark):
+    """Families are counted and broadcast: retiring shuffles no stored rows, whatever their number."""
+    from lakeproof.sources.reports import retire_details
+    stored = spark.range(60).selectExpr("'b' AS Bucket", "'s3://i' AS inventory_s3_location",
+                                        "concat('f', id % 3) AS path", "if(id < 30, 'false', 'true') AS processed")
+    kept = retire_details(stored, stored.filter("path = 'f1'"))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert kept.filter("processed = 'ignore'").select("path").distinct().collect()[0][0] == "f1"
+    assert kept.filter("processed = 'ignore'").count() == 10 and kept.count() == 60
