@@ -344,7 +344,8 @@ def _write_report(spark, folder: str, bucket: str, name: str, when: str, rows: D
     data = f"{folder}/{family}/data/{when}"
     writer = rows.write.option("header", False)
     if kind == "CSV":
-        writer.option("compression", "gzip").csv(data)
+        # Compressed text cannot be split: many files, so that reading spreads over tasks.
+        writer.options(compression="gzip", maxRecordsPerFile=500_000).csv(data)
     else:
         writer.format(kind.lower()).save(data)
     ending = "gz" if kind == "CSV" else kind.lower()
@@ -375,7 +376,7 @@ def _report_tree(spark, sf) -> tuple[str, DataFrame]:
         mine = rows.filter(F.col("Bucket") == bucket)
         older = mine.withColumn("Size", F.lit("1"))
         _write_report(spark, folder, bucket, "daily", "2025-01-01T01-00Z", older, "CSV")
-        _write_report(spark, folder, bucket, "daily", "2025-01-02T01-00Z", mine.repartition(3), "CSV")
+        _write_report(spark, folder, bucket, "daily", "2025-01-02T01-00Z", mine, "CSV")
     _write_report(spark, folder, "bkt-copy", "daily", "2025-01-02T01-00Z", _report_rows(dest), "Parquet")
     mapping = view(spark, sf, "copy_mapping").withColumns({
         "src_inventory_s3_location": F.lit(folder), "dest_inventory_s3_location": F.lit(folder),

@@ -277,3 +277,12 @@ def test_stored_report_rows_stay_in_place(spark):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     assert kept.filter("processed = 'ignore'").select("path").distinct().collect()[0][0] == "f1"
     assert kept.filter("processed = 'ignore'").count() == 10 and kept.count() == 60
+
+
+def test_report_files_follow_the_rows(spark, tmp_path):
+    """Compressed data files cannot be split, so the number of them must grow with the rows."""
+    import json
+    from queries.lake_queries import _write_report
+    _write_report(spark, str(tmp_path), "b", "daily", "t", spark.range(0, 1_100_000, 1, 1).selectExpr("'b' AS Bucket", "id AS Key"), "CSV")
+    manifest = json.loads((tmp_path / "b/daily/t/manifest.json").read_text())
+    assert len(manifest["files"]) == 3
