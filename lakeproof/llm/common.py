@@ -80,6 +80,7 @@ def by_rows(df: DataFrame, schema: str | StructType,
                 part = batch.slice(at, SLICE)
                 rows = zip(*(c.to_pylist() for c in part.columns), strict=True)
                 yield to_batch([one(*row) for row in rows], arrow)
+            release_unused()
     return df.mapInArrow(run, schema)
 
 
@@ -111,6 +112,11 @@ class Memo(dict):
         return value
 
 
+def release_unused() -> None:
+    """Gives freed Arrow buffers back, which a Python worker else holds as long as it lives."""
+    pa.default_memory_pool().release_unused()
+
+
 _kept: dict = {}
 
 
@@ -118,6 +124,7 @@ def drop_kept() -> None:
     """Frees what ``worker_cache`` keeps in this Python worker."""
     _kept.clear()
     gc.collect()
+    release_unused()
 
 
 def worker_cache(fn: Callable) -> Callable:

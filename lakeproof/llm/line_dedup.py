@@ -244,4 +244,6 @@ def cutter():
     def cut(text: pd.Series, gone: pd.Series) -> pd.DataFrame:
         rows = [without(t, None if g is None else list(g)) for t, g in zip(text, gone, strict=True)]
         return pd.DataFrame(rows, columns=["text", "n_lines", "n_deleted", "n_deleted_words"])
-    return cut
+    # Else a filter on the counts is pushed below and cuts every text once more, in a second Python
+    # worker for each task.
+    return cut.asNondeterministic()

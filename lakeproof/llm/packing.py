@@ -32,9 +32,10 @@ from pyspark.sql.types import StructType
 from tokenizers import Tokenizer
 
 from lakeproof.llm.bpe import pack_ids
-from lakeproof.llm.common import SLICE, Memo, stored, texts, to_batch, worker_cache
+from lakeproof.llm.common import SLICE, Memo, release_unused, stored, texts, to_batch, worker_cache
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
+SLOT = ("length", "first_rank", "n", "first_bin", "offset")
 MARKS = (b".", b",", b"!", b"?", b":", b";")
 # The pieces of a chunk of composed Latin letters, ASCII digits and marks. Without an
 # apostrophe the tokenizer splits it in just these.
@@ -126,6 +127,7 @@ def tokenised_pieces(df: DataFrame, tokenizer_file: bytes, capacity: int, end_id
                     rows += [(doc, i, o // 4, min(step, len(ids) - o) // 4, ids[o:o + step])
                              for i, o in enumerate(range(0, len(ids), step))]
                 yield to_batch(rows, arrow)
+            release_unused()
     return texts(df, id_col, text_col).mapInArrow(run, schema)
 
 
@@ -208,8 +210,10 @@ def pack(pieces: DataFrame, capacity: int = 4096, max_docs: int | None = None,
     max_docs, max_attention = max_docs or capacity, max_attention or capacity * capacity
     counts = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}
     slots = plan(counts, capacity, max_docs, max_attention, rule)
-    table = spark.createDataFrame(
-        slots, "length long, first_rank long, n long, first_bin long, offset long")
+    # From Arrow: a list of rows would start Python workers of another kind on every executor.
+    table = spark.createDataFrame(pa.table(
+        list(np.array(slots, dtype=np.int64).reshape(-1, len(SLOT)).T),
+        pa.schema([(c, pa.int64()) for c in SLOT])))
     salts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = [c for c in ("doc_id", "piece", "ids_crc32") if c in pieces.columns]
     rows = ranked(pieces, F.col("length"), order, salts)

@@ -64,3 +64,18 @@ def test_edges(spark, edge):
         out = stage(spark, docs, SF)
         assert out.count() <= docs.count() or name == cp.STAGES[-1][0]
         assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_more_python_workers_than_one_a_task(spark):
+    """Each task of the line dedup cuts its texts once; the packing's table of slots needs no worker."""
+    rows = [(i, f"a passage of eight words or more, the same\n{'only here ' * i}", "en", "x", 9) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    cleaned = cp.dedup_lines(spark, docs, "")
+    assert plan_of(cleaned).count("ArrowEvalPython") == 1
+    assert {r.doc_id: r.text for r in cleaned.collect()} == {
+        0: rows[0][1], **{i: "only here " * i for i in range(1, 5)}}
+    assert "ExistingRDD" not in plan_of(cp.pack(spark, cleaned, ""))
