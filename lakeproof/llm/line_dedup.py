@@ -232,8 +232,9 @@ def dedup_lines(df: DataFrame, least: int = MIN_WORDS, id_col: str = "doc_id",
     whole = df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                       F.col(f"`{text_col}`").cast("string").alias("text"),
                       F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`").alias(c) for c in carry)).alias("carried"))
+    # Lists of places have no bound, so they are never broadcast by the size of their file.
     joined = whole.withColumn("text_hash", F.xxhash64("text")).join(
-        gone, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash")), "left")
+        gone.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash")), "left")
     return (joined.withColumn("cut", cutter()(F.col("text"), F.col("gone")))
             .select("doc_id", "cut.*", *(F.col(f"carried.`{c}`").alias(c) for c in carry)))
 

@@ -386,19 +386,21 @@ def without_near_duplicates(df: DataFrame, width: int = 5, num: int = 80, den: i
     The first is the one with the smallest id (rows without an id come last). Rows equal in
     id and text are one document, of which one row stays. Documents without words stay.
     """
-    linked = link_documents(df, width, num, den, id_col, text_col)
+    linked = link_documents(df, width, num, den, id_col, text_col).where("n_shingles > 0")
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("row").alias("row"))
     first = linked.groupBy("component_row").agg(F.min(order).alias("first")).select(
-        F.col("first.row").alias("row"))
-    keep = linked.join(first, "row", "left_semi").select("doc_id", "text_hash", "n_shingles")
-    keep = stored(keep.dropDuplicates(["doc_id", "text_hash"]), "kept").select(
-        F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), "n_shingles")
+        F.col("first.row").alias("row"), F.lit(True).alias("stays"))
+    # Most documents stay and have one row: only the others are looked up, so few texts move.
+    marks = stored(linked.join(first, "row", "left").groupBy("doc_id", "text_hash")
+                   .agg(F.coalesce(F.max("stays"), F.lit(False)).alias("stays"), F.count("*").alias("n"))
+                   .where("n > 1 or not stays"), "marks").select(
+        F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), "stays")
     # All columns travel in one, so that none can clash with those added here.
     whole = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("whole"),
                       F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                       F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("text_hash"))
-    marked = whole.join(lookup(keep), F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash")))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash"))
+    single = whole.join(lookup(marks), same, "left_anti").select("whole")
     # Of equal rows one stays; copies meet only with their own kind.
-    one = marked.where("n_shingles > 0").dropDuplicates(["_doc", "_hash"])
-    return (one.unionByName(marked.where("n_shingles = 0"))
-            .select(*(F.col(f"whole.`{c}`").alias(c) for c in df.columns)))
+    one = whole.join(lookup(marks.where("stays")), same).dropDuplicates(["_doc", "_hash"]).select("whole")
+    return single.unionByName(one).select(*(F.col(f"whole.`{c}`").alias(c) for c in df.columns))

@@ -142,7 +142,7 @@ def quality_scores(df: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
 
 def accept(df: DataFrame, model: Model | None, cut: float = CUT) -> DataFrame:
-    """Rows of ``df`` whose ``counts`` (of ``with_counts``) reach the cut; all without a model."""
+    """Rows of ``df`` whose whole text reaches the cut; all without a model."""
     if model is None:
         return df
     return keep_where(df, lambda table: model.score(table) >= cut)

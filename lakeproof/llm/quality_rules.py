@@ -168,5 +168,5 @@ def quality_rules(df: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
 
 def keep(df: DataFrame, rules: Rules) -> DataFrame:
-    """Rows of ``df`` whose ``counts`` (of ``with_counts``) the rules keep."""
+    """Rows of ``df`` whose whole text the rules keep."""
     return keep_where(df, lambda table: rules.judge(table)[2])

@@ -79,3 +79,42 @@ def test_no_more_python_workers_than_one_a_task(spark):
     assert {r.doc_id: r.text for r in cleaned.collect()} == {
         0: rows[0][1], **{i: "only here " * i for i in range(1, 5)}}
     assert "ExistingRDD" not in plan_of(cp.pack(spark, cleaned, ""))
+
+
+def kept_by(monkeypatch, module):
+    """What ``module`` stores, by label."""
+    kept = {}
+
+    def keep(df, label, *more):
+        kept[label] = stored(df, label, *more)
+        return kept[label]
+    monkeypatch.setattr(module, "stored", keep)
+    return kept
+
+
+def test_quality_stages_store_no_texts(spark, monkeypatch):
+    """Disk holds the counts of texts, not a copy of them; a task counts them in one Python worker."""
+    kept = kept_by(monkeypatch, cp)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for _, stage in cp.STAGES[:2]:
+        assert plan_of(stage(spark, docs, SF)).count("ArrowEvalPython") == 1
+    assert set(kept) == {"quality", "rules"}
+    for df in kept.values():
+        assert "text" not in df.columns and df.count() == docs.count()
+
+
+def test_only_documents_that_go_or_repeat_are_looked_up(spark, monkeypatch):
+    """Of single documents no text is shuffled to find out that they stay."""
+    kept = kept_by(monkeypatch, ngram_join)
+    rows = [(i, " ".join(f"w{i}_{k}" for k in range(30)), "x") for i in range(40)]
+    rows += [(50, rows[3][1], "x"), rows[7], (None, rows[9][1], "x"), (60, None, "x"), (60, None, "x"), (61, "", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = ngram_join.without_near_duplicates(df)
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [*rows[:40], *rows[43:]]))
+    assert sorted((r.doc_id or -1, r.stays) for r in kept["marks"].collect()) == [(-1, False), (7, True), (50, False)]
+
+
+def test_lists_of_lines_are_joined_alike_at_every_size(spark):
+    rows = [(i, f"a passage of eight words or more, the same\n{'only here ' * i}", "en", "x", 9) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert "BroadcastHashJoin" not in plan_of(cp.dedup_lines(spark, docs, ""))
